@@ -22,11 +22,12 @@ def whole_number_code(c: Column, width: int) -> Column:
 
 
 def percent(c: Column, digits: int = 3) -> Column:
-    return F.format_string(f"%.{digits}f%%", c * 100)
+    # Ties go to the even digit.
+    return F.format_string(f"%.{digits}f%%", F.bround(c * 100, digits))
 
 
 def money(c: Column) -> Column:
-    return F.format_string("%.2f", c)
+    return F.format_string("%.2f", F.bround(c, 2))
 
 
 def thousands(c: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,3 +57,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             shared = tempfile.mkdtemp(prefix="tallyhawk-checkpoint-")
         context.setCheckpointDir(shared)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="tallyhawk-package-"), "tallyhawk")
+    context.addPyFile(
+        shutil.make_archive(target, "zip", os.path.dirname(root), os.path.basename(root))
+    )
+    _SHIPPED.add(context.applicationId)
