@@ -31,6 +31,8 @@ TRAILING = {"last_5min": 300, "last_30min": 1800, "last_60min": 3600}
 class FeatureGroup:
     needs: HistorySpec
     features: Callable[[Profile], dict[str, Column]]
+    # Values used by several features, in steps that build on each other.
+    values: Callable[[Profile], list[dict[str, Column]]] = lambda profile: []
 
 
 def _has_history() -> Column:
@@ -54,33 +56,39 @@ def gap_hours() -> Column:
     return (micros(F.col(TIME)) - F.col("h_prev")["us"]) / MICROS_PER_HOUR
 
 
-def speed_kmh(limits: Thresholds) -> Column:
+def speed_kmh(moved: Column, gap: Column, limits: Thresholds) -> Column:
     """Speed the card would have travelled at; 0 without a previous place."""
     shortest = F.lit(limits.shortest_gap_seconds / 3600.0)
-    return F.coalesce(moved_km() / F.greatest(gap_hours(), shortest), F.lit(0.0))
+    return F.coalesce(moved / F.greatest(gap, shortest), F.lit(0.0))
+
+
+def _location_values(profile: Profile) -> list[dict[str, Column]]:
+    speed = speed_kmh(F.col("v_moved"), F.col("v_gap"), profile.limits)
+    return [{"v_moved": moved_km(), "v_gap": gap_hours()}, {"v_speed": speed}]
 
 
 def _location(profile: Profile) -> dict[str, Column]:
     limits = profile.limits
-    changed = (moved_km() > limits.moved_km) & F.col("h_prev")["lat"].isNotNull()
+    moved, gap, speed = F.col("v_moved"), F.col("v_gap"), F.col("v_speed")
+    changed = (moved > limits.moved_km) & F.col("h_prev")["lat"].isNotNull()
     if profile.name == "B":
         return {
-            "prev_trans_distance_km": moved_km(),
-            "hours_since_prev_trans": F.coalesce(gap_hours(), F.lit(0.0)),
+            "prev_trans_distance_km": moved,
+            "hours_since_prev_trans": F.coalesce(gap, F.lit(0.0)),
             "location_changed": flag(changed),
-            "implied_travel_speed_kmh": speed_kmh(limits),
-            "rapid_location_change": flag(speed_kmh(limits) > limits.max_speed_kmh),
+            "implied_travel_speed_kmh": speed,
+            "rapid_location_change": flag(speed > limits.max_speed_kmh),
         }
-    rapid = flag(changed & (gap_hours() < limits.rapid_move_hours))
+    rapid = flag(changed & (gap < limits.rapid_move_hours))
     if profile.name == "C":
         return {
             "location_changed": flag(changed),
-            "distance_from_previous_location_km": moved_km(),
+            "distance_from_previous_location_km": moved,
             "rapid_location_change": rapid,
         }
     return {
-        "distance_from_previous_transaction_km": moved_km(),
-        "time_since_previous_transaction_hours": gap_hours(),
+        "distance_from_previous_transaction_km": moved,
+        "time_since_previous_transaction_hours": gap,
         "location_changed": flag(changed),
         "rapid_location_change": rapid,
     }
@@ -96,9 +104,13 @@ def past_mean_amount() -> Column:
     return F.when(_has_history() & F.col(AMOUNT).isNotNull(), mean)
 
 
+def _amount_values(profile: Profile) -> list[dict[str, Column]]:
+    ratio = F.coalesce(F.try_divide(F.col(AMOUNT), F.col("v_mean")), F.lit(1.0))
+    return [{"v_mean": past_mean_amount()}, {"v_ratio": ratio}]
+
+
 def _amount(profile: Profile) -> dict[str, Column]:
-    mean = past_mean_amount()
-    ratio = F.coalesce(F.try_divide(F.col(AMOUNT), mean), F.lit(1.0))
+    mean, ratio = F.col("v_mean"), F.col("v_ratio")
     deviation = F.when(_has_history(), F.col(AMOUNT) - mean).otherwise(F.lit(0.0))
     large = flag((ratio >= profile.limits.large_ratio) & _has_history())
     if profile.name == "B":
@@ -124,22 +136,25 @@ def past_mean_hour() -> Column:
     return F.when(_has_history(), F.col("h_hours") / F.col("h_rows"))
 
 
+def _timing_values(profile: Profile) -> list[dict[str, Column]]:
+    off = circular_hours(F.col("v_hour").cast("double"), F.col("v_usual"))
+    return [{"v_hour": F.hour(TIME), "v_usual": past_mean_hour()},
+            {"v_off": F.coalesce(off, F.lit(0.0))}]
+
+
 def _timing(profile: Profile) -> dict[str, Column]:
     limits = profile.limits
-    hour = F.hour(TIME)
-    deviation = F.coalesce(
-        circular_hours(hour.cast("double"), past_mean_hour()), F.lit(0.0)
-    )
+    hour, deviation = F.col("v_hour"), F.col("v_off")
     night = F.coalesce(hour_within(hour, limits.night_from, limits.night_until), F.lit(0))
     odd = flag((deviation > limits.odd_hour_deviation) & _has_history())
     if profile.name == "B":
-        usual = F.coalesce(past_mean_hour(), hour.cast("double"))
+        usual = F.coalesce(F.col("v_usual"), hour.cast("double"))
         names = ("customer_hist_avg_hour", "hour_deviation_from_normal")
     elif profile.name == "C":
-        usual = past_mean_hour()
+        usual = F.col("v_usual")
         names = ("customer_usual_hour", "hour_deviation_from_customer_pattern")
     else:
-        usual = past_mean_hour()
+        usual = F.col("v_usual")
         names = ("customer_usual_transaction_hour", "hour_deviation_from_normal_behavior")
     return {
         "night_transaction": night,
@@ -177,10 +192,10 @@ def _amount_needs(profile: Profile) -> HistorySpec:
 def feature_groups(profile: Profile) -> dict[str, FeatureGroup]:
     places = {"lat": F.col("merch_lat"), "long": F.col("merch_long")}
     groups = {
-        "location": FeatureGroup(HistorySpec(previous=places), _location),
-        "amount": FeatureGroup(_amount_needs(profile), _amount),
+        "location": FeatureGroup(HistorySpec(previous=places), _location, _location_values),
+        "amount": FeatureGroup(_amount_needs(profile), _amount, _amount_values),
         "timing": FeatureGroup(
-            HistorySpec(sums={"hours": F.hour(TIME).cast("bigint")}), _timing
+            HistorySpec(sums={"hours": F.hour(TIME).cast("bigint")}), _timing, _timing_values
         ),
         "frequency": FeatureGroup(HistorySpec(trailing=TRAILING), _frequency),
     }
@@ -210,21 +225,29 @@ def add_behaviour(
     defined = feature_groups(profile)
     spec = HistorySpec()
     features: dict[str, Column] = {}
+    steps: list[dict[str, Column]] = [{}, {}]
     for name in groups:
         if name in defined:
             spec = spec.merge(defined[name].needs)
             features.update(defined[name].features(profile))
+            for step, values in zip(steps, defined[name].values(profile)):
+                step.update(values)
     if with_card_totals:
         amount = F.col(AMOUNT)
         spec = spec.merge(
             HistorySpec(totals={"all_rows": F.when(amount.isNotNull(), 1),
                                 "all_units": money_units(amount)})
         )
-        mean = F.try_divide(from_units(F.col("h_all_units")), F.col("h_all_rows"))
+        steps[0]["v_card_mean"] = F.try_divide(
+            from_units(F.col("h_all_units")), F.col("h_all_rows")
+        )
+        mean = F.col("v_card_mean")
         features["customer_txn_count"] = F.col("h_all_rows")
         features["customer_avg_amt"] = mean
         features["amt_vs_customer_avg"] = amount - mean
     scanned = scan_history(df, spec, tie=tie, policy=policy)
+    for step in steps:
+        scanned = scanned.withColumns(step)
     out = scanned.select(*df.columns, *[c.alias(n) for n, c in features.items()])
     if profile.name == "C" and "amount" in groups:
         out = add_median_amounts(out, profile, policy=policy)

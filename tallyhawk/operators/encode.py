@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyhawk.functions.numbers import gender_code
-from tallyhawk.schema import DUMMY_FEATURES, ENCODED_COLUMNS, MODEL_FEATURES, MODEL_LEVELS
+from tallyhawk.schema import ENCODED_COLUMNS, MODEL_FEATURES
 
 MAX_LEVELS = 10_000
 
@@ -36,8 +36,8 @@ def fit_levels(
     return {c: sorted(v) for c, v in levels.items()}
 
 
-def _is_level(column: str, level: str) -> Column:
-    return F.coalesce(F.col(f"`{column}`").cast("string") == level, F.lit(False)).cast("int")
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -45,12 +45,12 @@ def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
 
     A null or unknown level is 0 everywhere.
     """
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in levels]
+    kept = [f"`{c}`" for c in df.columns if c not in levels]
     dummies = [
-        _is_level(column, level).alias(f"{column}_{level}")
+        f"cast(cast(`{column}` as string) <=> {_quoted(level)} as int) as `{column}_{level}`"
         for column, values in levels.items() for level in values[1:]
     ]
-    return df.select(*kept, *dummies)
+    return df.selectExpr(*kept, *dummies)
 
 
 def encode_gender(df: DataFrame) -> DataFrame:
@@ -79,15 +79,9 @@ def align(df: DataFrame, features: Sequence[str] = tuple(MODEL_FEATURES),
     """
     have = set(df.columns)
     columns = [
-        F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) if c in have else F.lit(0).alias(c)
-        for c in features
+        f"coalesce(`{c}`, 0) as `{c}`" if c in have else f"0 as `{c}`" for c in features
     ]
-    return df.select(*[F.col(f"`{c}`") for c in keep], *columns)
-
-
-def model_dummies(df: DataFrame) -> DataFrame:
-    """One-hot columns of the model schema, whatever levels the batch has."""
-    return one_hot(df, MODEL_LEVELS)
+    return df.selectExpr(*[f"`{c}`" for c in keep], *columns)
 
 
 def vector_input(df: DataFrame, features: Sequence[str] = tuple(MODEL_FEATURES),
@@ -99,13 +93,8 @@ def vector_input(df: DataFrame, features: Sequence[str] = tuple(MODEL_FEATURES),
     from pyspark.ml.feature import VectorAssembler
 
     names = [f"_f{i}" for i in range(len(features))]
-    staged = df.select(
-        "*", *[F.col(f"`{c}`").cast("double").alias(n) for c, n in zip(features, names)]
+    staged = df.selectExpr(
+        "*", *[f"cast(`{c}` as double) as {n}" for c, n in zip(features, names)]
     )
     return VectorAssembler(inputCols=names, outputCol=output).transform(staged).drop(*names)
 
-
-__all__ = [
-    "DUMMY_FEATURES", "align", "encode_gender", "fit_levels", "level_codes",
-    "model_dummies", "one_hot", "vector_input",
-]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhawk.functions.clock import hour_minute, year_gap
 from tallyhawk.operators.cleaning import duplicate_rows
@@ -76,14 +76,14 @@ def amounts_by_class(df: DataFrame) -> DataFrame:
 
 def class_distribution(df: DataFrame, target: str = TARGET) -> DataFrame:
     """Rows and share per class; rows without a class are a class of their own."""
-    total = F.sum("transactions").over()
+    # The window runs over one row per class.
+    total = F.sum("transactions").over(Window.partitionBy(F.lit(1)))
     label = (
         F.when(F.col(target) == 1, "Fraud")
         .when(F.col(target) == 0, "Legitimate")
         .otherwise(F.coalesce(F.col(target).cast("string"), F.lit("nan")))
     )
     counts = df.groupBy(target).agg(F.count(F.lit(1)).alias("transactions"))
-    # The window runs over one row per class.
     return counts.select(
         target, label.alias("label"), "transactions",
         (F.col("transactions") / total * 100).alias("percentage"),

@@ -81,17 +81,22 @@ class Check:
     total: Column | None = None
 
 
+def _number(column: str) -> Column:
+    """The column as a number; text that is none becomes null and breaks the rule."""
+    return F.col(f"`{column}`").try_cast("double")
+
+
 def not_in(column: str, *allowed: int) -> Column:
-    return violates(F.col(f"`{column}`").isin(*allowed))
+    return violates(_number(column).isin(*[float(a) for a in allowed]))
 
 
 def outside(column: str, low: float, high: float) -> Column:
-    return violates(F.col(f"`{column}`").between(low, high))
+    return violates(_number(column).between(low, high))
 
 
 def negative(column: str) -> Column:
     """Null is not negative."""
-    return F.col(f"`{column}`") < 0
+    return _number(column) < 0
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:

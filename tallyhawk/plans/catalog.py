@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from tallyhawk.plans import queries_history
+from tallyhawk.plans import queries_clean, queries_history, queries_profile
 from tallyhawk.plans.registry import Query
 
-QUERIES: dict[str, Query] = {**queries_history.QUERIES}
+QUERIES: dict[str, Query] = {
+    **queries_clean.QUERIES,
+    **queries_history.QUERIES,
+    **queries_profile.QUERIES,
+}

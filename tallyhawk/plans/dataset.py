@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tallyhawk import schema as S
 from tallyhawk.functions.clock import add_temporal_features
@@ -12,7 +12,7 @@ from tallyhawk.functions.geo import add_home_distance
 from tallyhawk.operators.behaviour import add_behaviour
 from tallyhawk.operators.cleaning import clean, drop_consumed, prune, target_last
 from tallyhawk.operators.customer import add_customer_behaviour
-from tallyhawk.operators.encode import align, encode_gender, fit_levels, one_hot
+from tallyhawk.operators.encode import encode_gender, fit_levels, one_hot
 from tallyhawk.operators.impute import fill_merchant_zip
 from tallyhawk.settings import DEFAULT_SKEW, PROFILE_B, SkewPolicy
 
@@ -54,13 +54,11 @@ def model_dataset(df: DataFrame, *, policy: SkewPolicy | None = DEFAULT_SKEW) ->
     Past and whole-history features of a card come from the same scan, so the
     build shuffles the table once.
     """
-    featured = (
+    return (
         df.transform(add_temporal_features)
         .transform(add_home_distance)
         .transform(add_behaviour, PROFILE_B, with_card_totals=True, policy=policy)
         .transform(encode_gender)
         .transform(one_hot, S.MODEL_LEVELS)
-    )
-    return align(featured, S.MODEL_FEATURES, keep=(S.TXN, S.TARGET)).select(
-        S.TXN, *[F.col(f"`{c}`") for c in S.MODEL_FEATURES], S.TARGET
+        .selectExpr(S.TXN, *[f"`{c}`" for c in S.MODEL_FEATURES], S.TARGET)
     )

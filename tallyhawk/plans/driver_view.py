@@ -118,9 +118,9 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_raw(body: str) -> str:
-    """A query over ``raw``."""
-    return f"with {RAW_SQL} {body}"
+def with_raw(body: str, *more: str) -> str:
+    """A query over ``raw``, with further named parts."""
+    return f"with {', '.join([RAW_SQL, *more])} {body}"
 
 
 def with_txn(body: str, *more: str) -> str:

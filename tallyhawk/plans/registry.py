@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 DIGITS = 6
 # Money means often end in an exact tie at the last digit, where two engines that
@@ -22,9 +22,9 @@ class Query(NamedTuple):
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Round fractions, so two engines may differ in the last bits of a double."""
-    return df.select(*[
-        (F.round(F.col(f"`{c}`") + NUDGE, digits) + 0.0).alias(c) if t in ("double", "float")
-        else F.col(f"`{c}`")
+    return df.selectExpr(*[
+        f"round(`{c}` + {NUDGE}, {digits}) + 0e0 as `{c}`" if t in ("double", "float")
+        else f"`{c}`"
         for c, t in df.dtypes
     ])
 

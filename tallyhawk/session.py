@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,9 @@ def local_session(cores: str = "8", name: str = "tallyhawk", **conf: str) -> Spa
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Wide feature lists build thousands of expressions; noting where in
+        # Python each was made costs more than making it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
@@ -41,21 +45,30 @@ def local_session(cores: str = "8", name: str = "tallyhawk", **conf: str) -> Spa
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` as a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for data all executors must reach.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``. Only a
-    local master may fall back to a folder of its own.
+    Only a local master may fall back to a folder of its own.
     """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        shared = tempfile.mkdtemp(prefix="tallyhawk-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return shared
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Path of a folder of its own in the shared folder; it does not exist yet."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` as a reliable checkpoint in the shared folder."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            shared = tempfile.mkdtemp(prefix="tallyhawk-checkpoint-")
-        context.setCheckpointDir(shared)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 
