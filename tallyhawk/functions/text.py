@@ -5,9 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# Fixed value: every character that counts as white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip_space(c: Column) -> Column:
     """Remove every kind of white space at both ends, not blanks alone."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def zero_pad(c: Column, width: int) -> Column:

@@ -1,9 +1,9 @@
 """Exact quantiles with linear interpolation, for groups of any size.
 
 ``percentile`` keeps every distinct value of a group in the memory of one task.
-Here equal values are counted first, counts are gathered in value ranges fine
-enough to stay small, and only the range that holds the wanted rank is looked at
-value by value.
+Here equal values are counted first and the counts are added up per narrow value
+range. Running totals over the ranges tell which range holds a wanted rank, and
+only the values of that range are looked at one by one.
 """
 
 from __future__ import annotations
@@ -12,15 +12,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Steps per power of two. Doubles span about 2,100 powers of two, so a group has
-# a bounded number of coarse ranges and of fine ranges within one coarse range.
-COARSE, FINE = 16, 65_536
+# Ranges per power of two. Data that spans twenty powers of two has about a
+# million ranges per group at most, however many rows it has.
+STEPS = 65_536
 _SHIFT = 1_200
 
 
-def _range_of(value: Column, steps: int) -> Column:
-    """Number of a value range; grows with the value, over all finite doubles."""
-    size = F.floor((F.log2(F.abs(value)) + _SHIFT) * steps)
+def _range_of(value: Column) -> Column:
+    """Number of a value's range; grows with the value, over all finite doubles."""
+    size = F.floor((F.log2(F.abs(value)) + _SHIFT) * STEPS)
     return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("bigint"))
 
 
@@ -36,19 +36,17 @@ def grouped_quantiles(
         df.filter(usable)
         .groupBy(*keys, number.alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumns({"_coarse": _range_of(F.col("_v"), COARSE),
-                      "_fine": _range_of(F.col("_v"), FINE)})
+        .withColumn("_range", _range_of(F.col("_v")))
+    )
+    holding = _holding_ranges(counted, keys, probs)
+    # Ranks count from 0 within the range that holds them.
+    order = Window.partitionBy(*keys, "prob", "_side").orderBy("_v")
+    upto = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    found = (
+        counted.join(holding, [*keys, "_range"])
+        .withColumn("_upto", upto)
+        .filter((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
     )
-    ranges = counted.groupBy(*keys, "_coarse", "_fine").agg(F.sum("_n").alias("_n"))
-
-    wanted = _ranks(ranges, keys, probs)
-    for level in ("_coarse", "_fine"):
-        within = [*keys] if level == "_coarse" else [*keys, "_coarse"]
-        sizes = ranges.groupBy(*within, level).agg(F.sum("_n").alias("_n"))
-        wanted = _descend(wanted, sizes, within, level)
-    found = _descend(wanted, counted.select(*keys, "_coarse", "_fine", "_v", "_n"),
-                     [*keys, "_coarse", "_fine"], "_v")
-
     low = F.max(F.when(F.col("_side") == 0, F.col("_v")))
     high = F.max(F.when(F.col("_side") == 1, F.col("_v")))
     return (
@@ -59,34 +57,24 @@ def grouped_quantiles(
     )
 
 
-def _ranks(ranges: DataFrame, keys, probs) -> DataFrame:
-    """The two ranks around each wanted position of each group."""
-    position = F.col("prob") * (F.col("_total") - 1)
-    sides = F.array(
-        F.struct(F.lit(0).alias("_side"), F.floor(position).alias("_rank")),
-        F.struct(F.lit(1).alias("_side"), F.ceil(position).alias("_rank")),
-    )
-    return (
-        ranges.groupBy(*keys)
-        .agg(F.sum("_n").alias("_total"))
-        .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("_part", position - F.floor(position))
-        .withColumn("_at", F.explode(sides))
-        .select(*keys, "prob", "_part", "_at._side", "_at._rank")
-    )
-
-
-def _descend(wanted: DataFrame, sizes: DataFrame, within, level: str) -> DataFrame:
-    """Replace each rank in a range by the rank in the part of it that holds it."""
-    parts = sizes.join(wanted.select(*within).distinct(), within, "left_semi")
-    before = Window.partitionBy(*within).orderBy(level).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    parts = parts.withColumn("_from", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    held = (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_from") + F.col("_n"))
-    return (
-        wanted.join(parts, [*within], "inner")
-        .filter(held)
-        .withColumn("_rank", F.col("_rank") - F.col("_from"))
-        .drop("_from", "_n")
+def _holding_ranges(counted: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """The ranges that hold the two ranks around each wanted position."""
+    ranges = counted.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranges.withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0)))
+    placed = placed.withColumn("_total", F.sum("_in").over(group))
+    wanted = []
+    for prob in probs:
+        position = (F.col("_total") - 1) * float(prob)
+        for side, rank in enumerate((F.floor(position), F.ceil(position))):
+            wanted.append(F.struct(
+                F.lit(float(prob)).alias("prob"), F.lit(side).alias("_side"),
+                (position - F.floor(position)).alias("_part"),
+                (rank - F.col("_before")).alias("_rank"),
+            ))
+    inside = F.filter(F.array(*wanted),
+                      lambda w: (w["_rank"] >= 0) & (w["_rank"] < F.col("_in")))
+    return placed.select(*keys, "_range", F.explode(inside).alias("_w")).select(
+        *keys, "_range", "_w.*"
     )

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
-from tallyhawk.plans import queries_clean, queries_history, queries_profile
+from tallyhawk.plans import (
+    queries_activity,
+    queries_clean,
+    queries_history,
+    queries_profile,
+    queries_risk,
+)
 from tallyhawk.plans.registry import Query
 
 QUERIES: dict[str, Query] = {
     **queries_clean.QUERIES,
     **queries_history.QUERIES,
     **queries_profile.QUERIES,
+    **queries_risk.QUERIES,
+    **queries_activity.QUERIES,
 }
