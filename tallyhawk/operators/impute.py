@@ -100,7 +100,9 @@ def nearest_zips(known: DataFrame, wanted: DataFrame) -> DataFrame:
     cells = cut_lineage(
         in_cells.groupBy(*_CELL).agg(
             F.count(F.lit(1)).alias("places"),
-            F.min(F.struct(*_PLACE)).alias("kept"),
+            # The southernmost place: plain doubles keep this a hash aggregate.
+            F.min("merch_lat").alias("kept_lat"),
+            F.min_by("merch_long", "merch_lat").alias("kept_long"),
         )
     )
     near = cut_lineage(_first_cells(rows, cells))
@@ -127,7 +129,7 @@ def _crowded() -> Column:
 
 
 def _kept_distance() -> Column:
-    return _square(F.col("lat"), F.col("long"), F.col("kept.merch_lat"), F.col("kept.merch_long"))
+    return _square(F.col("lat"), F.col("long"), F.col("kept_lat"), F.col("kept_long"))
 
 
 def _first_cells(rows: DataFrame, cells: DataFrame) -> DataFrame:
