@@ -12,13 +12,24 @@ from tallyhawk.schema import RAW_SCHEMA
 TEXT_CODES = ("zip", "merch_zipcode", "cc_num")
 
 
+# Quotes are doubled, text keeps its blanks and times their microseconds.
+CSV_FORMAT = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+}
+
+
 def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """The raw table, with a header and the known schema; nothing is inferred."""
     return read_csv(spark, path, RAW_SCHEMA)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).options(**CSV_FORMAT).csv(path)
 
 
 def with_text_codes(schema: T.StructType, codes=TEXT_CODES) -> T.StructType:
@@ -41,7 +52,7 @@ def load_dataset(spark: SparkSession, path: str, *, format: str = "parquet",
     if schema is not None:
         reader = reader.schema(schema)
     if format == "csv":
-        reader = reader.option("header", True)
+        reader = reader.options(**CSV_FORMAT)
     try:
         df = reader.load(path)
     except AnalysisException as error:
@@ -59,4 +70,4 @@ def write_stage(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_FORMAT).csv(path)
