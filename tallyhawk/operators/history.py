@@ -25,7 +25,7 @@ from tallyhawk.operators.skew import hot_keys, mark_hot
 from tallyhawk.schema import AMOUNT, CARD, TIME, TXN
 from tallyhawk.settings import DEFAULT_SKEW, SkewPolicy
 
-_KEY, _AT, _KIND, _HOT, _SLICE = "_key", "_at", "_kind", "_hot", "_slice"
+_KEY, _AT, _KIND, _HOT, _FINE, _SLICE = "_key", "_at", "_kind", "_hot", "_fine", "_slice"
 _COUNTED = "_counted"
 _SPREAD = 65_536
 
@@ -106,7 +106,8 @@ def _events(df, spec, key, time, tie, counted, policy) -> DataFrame:
             {_SLICE: F.when(F.col(_KEY).isNull(), apart).otherwise(F.lit(0).cast("bigint")),
              _KIND: F.lit(0)}
         )
-    staged = mark_hot(staged, _KEY, hot_keys(df, key, policy).withColumnRenamed(key, _KEY), _HOT)
+    busy = hot_keys(df, key, policy=policy).withColumnRenamed(key, _KEY)
+    staged = mark_hot(staged, busy, _HOT)
     widths = [seconds * 1_000_000 for seconds in spec.trailing.values()]
     if widths:
         kinds = F.when(
@@ -125,14 +126,25 @@ def _events(df, spec, key, time, tie, counted, policy) -> DataFrame:
         )
     else:
         staged = staged.withColumn(_KIND, F.lit(0))
+    # A slice is named by the time it starts at; one that is still too busy gives
+    # way to finer ones within the same time.
+    staged = staged.withColumn(
+        _SLICE, F.when(F.col(_HOT), _start_of(policy.slice_seconds)).otherwise(F.lit(0))
+    )
+    busy = hot_keys(staged.filter(F.col(_HOT)), _KEY, _SLICE, policy=policy)
+    staged = mark_hot(staged, busy, _FINE)
     return staged.withColumn(
         _SLICE,
         F.when(F.col(_KEY).isNull(), apart)
-        .when(F.col(_HOT), F.floor(F.col(_AT) / (policy.slice_seconds * 1_000_000)))
-        .otherwise(F.lit(0).cast("bigint")),
+        .when(F.col(_FINE), _start_of(policy.fine_seconds))
+        .otherwise(F.col(_SLICE)),
     )
 
 
+def _start_of(seconds: int) -> Column:
+    return F.floor(F.col(_AT) / (seconds * 1_000_000)) * F.lit(seconds * 1_000_000)
+
+
 def _left(position: int) -> Column:
     """Marks a row that leaves the trailing window at ``position``."""
     return F.when(F.col(_KIND) == position + 1, 1)

@@ -18,13 +18,14 @@ from tallyhawk.session import cut_lineage
 from tallyhawk.settings import DEFAULT_SKEW, SkewPolicy
 
 # Cell sides in degrees, powers of two so that cells nest without rounding. The
-# first level is one cell for the whole globe, the last is about 13 metres wide.
-SIDES = [512.0, 32.0, 4.0, 2.0**-1, 2.0**-4, 2.0**-7, 2.0**-10, 2.0**-13]
+# first level is one cell for the whole globe, the last is five centimetres wide.
+SIDES = [512.0, 32.0, 4.0, 2.0**-1, 2.0**-4, 2.0**-7, 2.0**-10, 2.0**-13, 2.0**-17, 2.0**-21]
 FINEST = len(SIDES) - 1
-CROWDED = 64
+CROWDED = 128
 
 _PLACE = ["merch_lat", "merch_long"]
 _CELL = ["level", "cx", "cy"]
+_ROW = ["lat", "long"]
 
 
 def flag_missing_zip(df: DataFrame) -> DataFrame:
@@ -37,6 +38,21 @@ def split_by_zip(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.filter(~missing), df.filter(missing)
 
 
+def _cell() -> Column:
+    return F.struct(*_CELL)
+
+
+def _with_cells(df: DataFrame, cells: DataFrame, policy: SkewPolicy | None) -> DataFrame:
+    """Join rows with what is in their cell; rows of an empty cell are dropped.
+
+    Very many rows may look into one cell, so busy cells are spread.
+    """
+    lookup = cells.select(_cell().alias("cell"),
+                          *[c for c in cells.columns if c not in _CELL])
+    joined = lookup_join(df.withColumn("cell", _cell()), lookup, "cell", F.struct(*_ROW), policy)
+    return joined.filter(F.col(lookup.columns[1]).isNotNull()).drop("cell")
+
+
 def _sides() -> Column:
     return F.array(*[F.lit(s) for s in SIDES])
 
@@ -74,13 +90,19 @@ def _reach(side: Column) -> Column:
     return x * x + y * y
 
 
+# The slack in both covers rounding in the distances; it only keeps more cells.
+def _radius() -> Column:
+    return F.sqrt("bound") * (1 + 1e-9) + 1e-9
+
+
 def _within_bound() -> Column:
-    # The slack covers rounding in the two distances; it only keeps more cells.
     side = F.element_at(_sides(), F.col("level") + 1)
     return _reach(side) <= F.col("bound") * (1 + 1e-9) + 1e-18
 
 
-def nearest_zips(known: DataFrame, wanted: DataFrame) -> DataFrame:
+def nearest_zips(
+    known: DataFrame, wanted: DataFrame, policy: SkewPolicy | None = DEFAULT_SKEW
+) -> DataFrame:
     """``merch_lat, merch_long, nearest_zip`` for each distinct wanted place.
 
     Places are compared by straight distance in degrees; among equally near ones
@@ -105,19 +127,19 @@ def nearest_zips(known: DataFrame, wanted: DataFrame) -> DataFrame:
             F.min_by("merch_long", "merch_lat").alias("kept_long"),
         )
     )
-    near = cut_lineage(_first_cells(rows, cells))
+    near = cut_lineage(_first_cells(rows, cells, policy))
     settled = near.filter(~_crowded())
     while True:
         crowded = near.filter(_crowded())
         if crowded.isEmpty():
             break
-        near = cut_lineage(_split_cells(crowded, cells))
+        near = cut_lineage(_split_cells(crowded, cells, policy))
         settled = settled.unionByName(near.filter(~_crowded()))
 
     distance = _square(F.col("lat"), F.col("long"), F.col("merch_lat"), F.col("merch_long"))
     return (
-        settled.join(in_cells, _CELL)
-        .groupBy("lat", "long")
+        _with_cells(settled.select(*_ROW, *_CELL), in_cells, policy)
+        .groupBy(*_ROW)
         .agg(F.min(F.struct(distance.alias("d"), "zip")).alias("best"))
         .select(F.col("lat").alias("merch_lat"), F.col("long").alias("merch_long"),
                 F.col("best.zip").alias("nearest_zip"))
@@ -132,17 +154,16 @@ def _kept_distance() -> Column:
     return _square(F.col("lat"), F.col("long"), F.col("kept_lat"), F.col("kept_long"))
 
 
-def _first_cells(rows: DataFrame, cells: DataFrame) -> DataFrame:
+def _first_cells(rows: DataFrame, cells: DataFrame, policy: SkewPolicy | None) -> DataFrame:
     """Cells that reach into the circle around each row given by its own cells."""
     bounds = (
-        _cells_of(rows, "lat", "long")
-        .join(cells, _CELL)
-        .groupBy("lat", "long")
+        _with_cells(_cells_of(rows, *_ROW), cells, policy)
+        .groupBy(*_ROW)
         .agg(F.min(_kept_distance()).alias("bound"))
     )
     # The finest level whose cells are no smaller than the circle's radius: at
     # most three cells each way cover the circle.
-    radius = F.sqrt("bound") * (1 + 1e-9) + 1e-9
+    radius = _radius()
     level = F.lit(0)
     for number, side in enumerate(SIDES):
         level = F.when(radius <= side, number).otherwise(level)
@@ -155,31 +176,35 @@ def _first_cells(rows: DataFrame, cells: DataFrame) -> DataFrame:
                                                _cell_y(F.col("long") + F.col("radius"), side))))
         .drop("radius")
     )
-    return covered.filter(_within_bound()).join(cells, _CELL).select(
-        "lat", "long", "bound", *_CELL, "places"
+    return _with_cells(covered.filter(_within_bound()), cells, policy).select(
+        *_ROW, "bound", *_CELL, "places"
     )
 
 
-def _split_cells(crowded: DataFrame, cells: DataFrame) -> DataFrame:
+def _split_cells(crowded: DataFrame, cells: DataFrame, policy: SkewPolicy | None) -> DataFrame:
     """Replace crowded cells by their non-empty parts and tighten the bound."""
     sides = _sides()
-    parts = (F.element_at(sides, F.col("level") + 1)
-             / F.element_at(sides, F.col("level") + 2)).cast("bigint")
-    steps = F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)
+    outer, inner = (F.element_at(sides, F.col("level") + n) for n in (1, 2))
+    parts = (outer / inner).cast("bigint")
+    radius = _radius()
+
+    def within(cell: str, value: str, of) -> Column:
+        """Parts of a cell along one axis that the circle reaches."""
+        first = F.greatest(F.col(cell) * parts, of(F.col(value) - radius, inner))
+        last = F.least(F.col(cell) * parts + parts - 1, of(F.col(value) + radius, inner))
+        # A sequence that runs backwards would list cells outside.
+        return F.when(first <= last, F.sequence(first, last))
+
     children = (
         crowded.drop("places")
-        .withColumn("parts", parts)
-        .withColumn("dx", F.explode(steps))
-        .withColumn("dy", F.explode(steps))
-        .select(
-            "lat", "long", "bound",
-            (F.col("level") + 1).alias("level"),
-            (F.col("cx") * F.col("parts") + F.col("dx")).alias("cx"),
-            (F.col("cy") * F.col("parts") + F.col("dy")).alias("cy"),
-        )
+        .withColumns({"xs": within("cx", "lat", _cell_x), "ys": within("cy", "long", _cell_y)})
+        .select(*_ROW, "bound", (F.col("level") + 1).alias("level"),
+                F.explode("xs").alias("cx"), "ys")
+        .withColumn("cy", F.explode("ys"))
+        .drop("ys")
         .filter(_within_bound())
-        .join(cells, _CELL)
     )
+    children = _with_cells(children, cells, policy)
     tighter = children.groupBy("lat", "long").agg(F.min(_kept_distance()).alias("kept_bound"))
     return (
         children.join(tighter, ["lat", "long"])
@@ -196,14 +221,12 @@ def fill_merchant_zip(df: DataFrame, policy: SkewPolicy | None = DEFAULT_SKEW) -
     """
     flagged = flag_missing_zip(df)
     known, missing = split_by_zip(flagged)
-    found = nearest_zips(known, missing).select(
-        F.struct(*[F.col(c) for c in _PLACE]).alias("_place"), "nearest_zip"
+    place = F.struct(*_PLACE)
+    found = nearest_zips(known, missing, policy).select(place.alias("_place"), "nearest_zip")
+    # Rows that have a zip code stay out of the join and its shuffle.
+    filled = lookup_join(
+        missing.withColumn("_place", place), found, "_place", F.struct("trans_num"), policy
     )
-    # Only rows without a zip need the lookup; the rest get a null key.
-    keyed = flagged.withColumn(
-        "_place", F.when(F.col("merch_zipcode_missing"), F.struct(*_PLACE))
+    return known.unionByName(
+        filled.withColumn("merch_zipcode", F.col("nearest_zip")).select(*flagged.columns)
     )
-    joined = lookup_join(keyed, found, "_place", F.struct("trans_num"), policy)
-    return joined.withColumn(
-        "merch_zipcode", F.coalesce("merch_zipcode", "nearest_zip")
-    ).drop("_place", "nearest_zip")

@@ -7,30 +7,30 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyhawk.settings import DEFAULT_SKEW, SkewPolicy
 
 
-def hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
+def hot_keys(df: DataFrame, *keys: str, policy: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
     """Keys above ``policy.hot_rows`` rows, the busiest first.
 
-    Reads the key column only and combines counts before the shuffle. The limit
+    Reads the key columns only and combines counts before the shuffle. The limit
     bounds the list for a broadcast; keys beyond it take the ordinary path.
     """
     return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
+        df.dropna(subset=list(keys))
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > policy.hot_rows)
-        .orderBy(F.desc("_rows"), F.col(key))
-        .limit(policy.max_hot_cards)
-        .select(key)
+        .orderBy(F.desc("_rows"), *keys)
+        .limit(policy.max_hot)
+        .select(*keys)
     )
 
 
-def mark_hot(df: DataFrame, key: str, hot: DataFrame, name: str) -> DataFrame:
-    """Add a boolean column that says whether the key is in the bounded hot list."""
-    listed = hot.select(F.col(key).alias("_hot_key"), F.lit(True).alias("_listed"))
+def mark_hot(df: DataFrame, hot: DataFrame, name: str) -> DataFrame:
+    """Add a boolean column that says whether the keys are in the bounded hot list."""
+    listed = hot.withColumn("_listed", F.lit(True))
     return (
-        df.join(F.broadcast(listed), F.col(key) == F.col("_hot_key"), "left")
-        .withColumn(name, F.coalesce(F.col("_listed"), F.lit(False)))
-        .drop("_hot_key", "_listed")
+        df.join(F.broadcast(listed), hot.columns, "left")
+        .select(*[F.col(f"`{c}`") for c in df.columns],
+                F.coalesce(F.col("_listed"), F.lit(False)).alias(name))
     )
 
 
@@ -41,23 +41,22 @@ def lookup_join(
     spread: Column,
     policy: SkewPolicy | None = DEFAULT_SKEW,
 ) -> DataFrame:
-    """Left join with a table that has one row per key.
+    """Left join with a lookup table.
 
     Rows of hot keys are spread over ``policy.salts`` partitions by the hash of
-    ``spread`` and their lookup row is repeated as often. Catalyst still turns the
-    join into a broadcast when the lookup is small.
+    ``spread`` and their lookup rows are repeated as often.
     """
     if policy is None:
         return df.join(lookup, key, "left")
-    hot = hot_keys(df, key, policy)
-    left = mark_hot(df, key, hot, "_hot").withColumn(
+    hot = hot_keys(df, key, policy=policy)
+    left = mark_hot(df, hot, "_hot").withColumn(
         "_salt",
         F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(policy.salts)).cast("int"))
         # Null keys match nothing; spreading them keeps them out of one task.
         .when(F.col(key).isNull(), F.pmod(F.xxhash64(spread), F.lit(1024)).cast("int"))
         .otherwise(0),
     )
-    right = mark_hot(lookup, key, hot, "_hot").select(
+    right = mark_hot(lookup, hot, "_hot").select(
         *lookup.columns,
         F.explode(
             F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(policy.salts - 1))).otherwise(

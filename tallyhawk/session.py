@@ -65,20 +65,26 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` as a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    """Store ``df`` in the shared folder and go on from there.
+
+    Unlike a checkpoint, which computes its input a second time to write it, this
+    computes the rows once; lost executors cost nothing that was stored.
+    """
+    path = new_folder(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application."""
+    """Let the Python workers of a local session import this package.
+
+    On a cluster the package is installed or passed with ``--py-files``.
+    """
     context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
+    if context.applicationId in _SHIPPED or not context.master.startswith("local"):
         return
     root = os.path.dirname(os.path.abspath(__file__))
     target = os.path.join(tempfile.mkdtemp(prefix="tallyhawk-package-"), "tallyhawk")

@@ -44,15 +44,19 @@ PROFILES = {p.name: p for p in (PROFILE_A, PROFILE_B, PROFILE_C)}
 class SkewPolicy:
     """When and how the history of one busy card is cut into time slices.
 
-    A card above ``hot_rows`` rows is cut into slices of ``slice_seconds``.
-    At most ``max_hot_cards`` cards are cut, the busiest first, so the list that
-    gets broadcast has a fixed bound; a card past it holds less than
-    ``1 / max_hot_cards`` of all rows. Slicing changes the plan, never a result.
+    A card above ``hot_rows`` rows is cut into slices of ``slice_seconds``, and a
+    slice above ``hot_rows`` rows into slices of ``fine_seconds``. At most
+    ``max_hot`` cards and slices are cut, the busiest first, so the lists that get
+    broadcast have a fixed bound; a card past the bound holds less than
+    ``1 / max_hot`` of all rows. Cutting changes the plan, never a result.
+
+    Lookups spread the rows of a busy key over ``salts`` partitions.
     """
 
     hot_rows: int = 1_000_000
     slice_seconds: int = 60
-    max_hot_cards: int = 100_000
+    fine_seconds: int = 1
+    max_hot: int = 100_000
     salts: int = 64
 
 

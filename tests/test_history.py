@@ -13,8 +13,9 @@ from tallyhawk.operators.behaviour import (
 from tallyhawk.settings import PROFILE_A, PROFILE_B, PROFILE_C, SkewPolicy
 from tests.helpers import assert_features, at, by_id, table
 
-SLICED = SkewPolicy(hot_rows=5, slice_seconds=600)
-POLICIES = [None, SkewPolicy(), SLICED, SkewPolicy(hot_rows=0, slice_seconds=60)]
+SLICED = SkewPolicy(hot_rows=5, slice_seconds=600, fine_seconds=60)
+POLICIES = [None, SkewPolicy(), SLICED, SkewPolicy(hot_rows=0, slice_seconds=60, fine_seconds=7),
+            SkewPolicy(hot_rows=5, slice_seconds=36_000, fine_seconds=600, max_hot=2)]
 
 
 def random_rows(n, seed, hot_share=0.4):
@@ -61,9 +62,9 @@ def test_only_busy_cards_are_cut_and_the_list_is_bounded(spark):
 
     df = table(spark, [(f"a{i}", "a", at(i), 1.0) for i in range(9)]
                + [(f"b{i}", "b", at(i), 1.0) for i in range(6)] + [("c", "c", at(), 1.0)])
-    assert [r.cc_num for r in hot_keys(df, "cc_num", SkewPolicy(hot_rows=5)).collect()] == ["a", "b"]
-    bounded = SkewPolicy(hot_rows=5, max_hot_cards=1)
-    assert [r.cc_num for r in hot_keys(df, "cc_num", bounded).collect()] == ["a"]
+    assert [r.cc_num for r in hot_keys(df, "cc_num", policy=SkewPolicy(hot_rows=5)).collect()] == ["a", "b"]
+    bounded = SkewPolicy(hot_rows=5, max_hot=1)
+    assert [r.cc_num for r in hot_keys(df, "cc_num", policy=bounded).collect()] == ["a"]
 
 
 def test_first_row_of_a_card(spark):
