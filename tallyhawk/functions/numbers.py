@@ -33,3 +33,11 @@ def gender_code(c: Column) -> Column:
 
 def log_amount(amount: Column) -> Column:
     return F.log1p(amount)
+
+
+def missing(column: str, kind: str) -> Column:
+    """True for null and, in a column of fractions, for not-a-number."""
+    value = F.col(f"`{column}`")
+    if kind in ("double", "float"):
+        return value.isNull() | F.isnan(value)
+    return value.isNull()

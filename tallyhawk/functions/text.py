@@ -45,3 +45,9 @@ def thousands(c: Column) -> Column:
 def title_words(c: Column) -> Column:
     """An identifier as a heading: underscores to blanks, words capitalised."""
     return F.initcap(F.replace(c, F.lit("_"), F.lit(" ")))
+
+
+def plain_number(c: Column, digits: int) -> Column:
+    """A fraction as text without exponent, zeros at the end removed but one."""
+    text = c.try_cast(f"decimal(38,{digits})").cast("string")
+    return F.coalesce(F.regexp_replace(text, r"(\.\d+?)0+$", "$1"), c.cast("string"))

@@ -69,9 +69,10 @@ def _square(lat1: Column, long1: Column, lat2: Column, long2: Column) -> Column:
     return (lat1 - lat2) * (lat1 - lat2) + (long1 - long2) * (long1 - long2)
 
 
-def _cells_of(points: DataFrame, lat: str, long: str) -> DataFrame:
-    """Every point once per level, with the cell it lies in."""
-    return points.select("*", F.posexplode(_sides()).alias("level", "side")).select(
+def _cells_of(points: DataFrame, lat: str, long: str, depth: int = FINEST) -> DataFrame:
+    """Every point once per level down to ``depth``, with the cell it lies in."""
+    sides = F.slice(_sides(), 1, depth + 1)
+    return points.select("*", F.posexplode(sides).alias("level", "side")).select(
         *points.columns, "level",
         _cell_x(F.col(lat), F.col("side")).alias("cx"),
         _cell_y(F.col(long), F.col("side")).alias("cy"),
@@ -118,27 +119,29 @@ def nearest_zips(
         .filter(F.col("merch_lat").isNotNull() & F.col("merch_long").isNotNull())
         .select(F.col("merch_lat").alias("lat"), F.col("merch_long").alias("long"))
     )
-    in_cells = _cells_of(places, *_PLACE)
     cells = cut_lineage(
-        in_cells.groupBy(*_CELL).agg(
+        _cells_of(places, *_PLACE).groupBy(*_CELL).agg(
             F.count(F.lit(1)).alias("places"),
             # The southernmost place: plain doubles keep this a hash aggregate.
             F.min("merch_lat").alias("kept_lat"),
             F.min_by("merch_long", "merch_lat").alias("kept_long"),
         )
     )
-    near = cut_lineage(_first_cells(rows, cells, policy))
-    settled = near.filter(~_crowded())
+    depth = _useful_depth(cells)
+    cells = cells.filter(F.col("level") <= depth)
+    is_crowded = (F.col("places") > CROWDED) & (F.col("level") < depth)
+    near = cut_lineage(_first_cells(rows, cells, depth, policy))
+    settled = near.filter(~is_crowded)
     while True:
-        crowded = near.filter(_crowded())
+        crowded = near.filter(is_crowded)
         if crowded.isEmpty():
             break
         near = cut_lineage(_split_cells(crowded, cells, policy))
-        settled = settled.unionByName(near.filter(~_crowded()))
+        settled = settled.unionByName(near.filter(~is_crowded))
 
     distance = _square(F.col("lat"), F.col("long"), F.col("merch_lat"), F.col("merch_long"))
     return (
-        _with_cells(settled.select(*_ROW, *_CELL), in_cells, policy)
+        _with_cells(settled.select(*_ROW, *_CELL), _cells_of(places, *_PLACE, depth), policy)
         .groupBy(*_ROW)
         .agg(F.min(F.struct(distance.alias("d"), "zip")).alias("best"))
         .select(F.col("lat").alias("merch_lat"), F.col("long").alias("merch_long"),
@@ -146,18 +149,22 @@ def nearest_zips(
     )
 
 
-def _crowded() -> Column:
-    return (F.col("places") > CROWDED) & (F.col("level") < FINEST)
+def _useful_depth(cells: DataFrame) -> int:
+    """The first level without a crowded cell; finer ones would not help."""
+    fullest = cells.groupBy("level").agg(F.max("places").alias("places")).collect()
+    return min((r["level"] for r in fullest if r["places"] <= CROWDED), default=FINEST)
 
 
 def _kept_distance() -> Column:
     return _square(F.col("lat"), F.col("long"), F.col("kept_lat"), F.col("kept_long"))
 
 
-def _first_cells(rows: DataFrame, cells: DataFrame, policy: SkewPolicy | None) -> DataFrame:
+def _first_cells(
+    rows: DataFrame, cells: DataFrame, depth: int, policy: SkewPolicy | None
+) -> DataFrame:
     """Cells that reach into the circle around each row given by its own cells."""
     bounds = (
-        _with_cells(_cells_of(rows, *_ROW), cells, policy)
+        _with_cells(_cells_of(rows, *_ROW, depth), cells, policy)
         .groupBy(*_ROW)
         .agg(F.min(_kept_distance()).alias("bound"))
     )
@@ -165,7 +172,7 @@ def _first_cells(rows: DataFrame, cells: DataFrame, policy: SkewPolicy | None) -
     # most three cells each way cover the circle.
     radius = _radius()
     level = F.lit(0)
-    for number, side in enumerate(SIDES):
+    for number, side in enumerate(SIDES[: depth + 1]):
         level = F.when(radius <= side, number).otherwise(level)
     side = F.element_at(_sides(), F.col("level") + 1)
     covered = (

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhawk.functions.clock import hour_minute, year_gap
-from tallyhawk.operators.cleaning import duplicate_rows
+from tallyhawk.functions.numbers import missing
+from tallyhawk.operators.cleaning import duplicate_rows, numeric_columns
 from tallyhawk.operators.quantiles import grouped_quantiles
 from tallyhawk.schema import AMOUNT, TARGET, TIME
 
@@ -142,17 +143,23 @@ def _per_column(df: DataFrame, columns: Sequence[str], stats: dict) -> DataFrame
 
 def null_counts(df: DataFrame) -> DataFrame:
     """Columns that have nulls and how many."""
-    counts = _per_column(df, df.columns, {"nulls": lambda c: F.count_if(c.isNull())})
-    return counts.filter("nulls > 0")
+    row = df.agg(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.count_if(missing(c, kind)).alias("nulls"))
+        for c, kind in df.dtypes
+    ]).alias("_rows"))
+    return row.select(F.explode("_rows").alias("_row")).select("_row.*").filter("nulls > 0")
 
 
 def total_nulls(df: DataFrame) -> DataFrame:
-    missing = sum((F.col(f"`{c}`").isNull().cast("bigint") for c in df.columns), F.lit(0))
-    return df.agg(F.coalesce(F.sum(missing), F.lit(0)).alias("nulls"))
+    in_row = sum((missing(c, kind).cast("bigint") for c, kind in df.dtypes), F.lit(0))
+    return df.agg(F.coalesce(F.sum(in_row), F.lit(0)).alias("nulls"))
 
 
-def describe(df: DataFrame, columns: Sequence[str], digits: int = 3) -> DataFrame:
-    """Least, largest, mean and standard deviation per column, rounded."""
+def describe(
+    df: DataFrame, columns: Sequence[str] | None = None, digits: int = 3
+) -> DataFrame:
+    """Least, largest, mean and standard deviation per numeric column, rounded."""
+    columns = numeric_columns(df).columns if columns is None else columns
     return _per_column(df, columns, {
         "min": lambda c: F.round(F.min(c).cast("double"), digits),
         "max": lambda c: F.round(F.max(c).cast("double"), digits),

@@ -6,15 +6,15 @@ detail``. The caller decides what a failure means.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhawk import schema as S
 from tallyhawk.functions.clock import hour_minute, year_gap
-from tallyhawk.functions.numbers import violates
-from tallyhawk.operators.cleaning import duplicate_keys, duplicate_rows
+from tallyhawk.functions.numbers import missing, violates
+from tallyhawk.operators.cleaning import duplicate_keys
 from tallyhawk.operators.profiling import match_rate
 
 CHECK_SCHEMA = "position int, check string, passed boolean, violations bigint, detail string"
@@ -77,8 +77,10 @@ class Check:
     ok: str = "no violations"
     # A result known without reading data: (passed, violations, detail).
     known: tuple[bool, int, str] | None = None
-    # An aggregate that gives the violations instead of row conditions.
-    total: Column | None = None
+    # Violations from the number of rows instead of row conditions.
+    of_rows: Callable[[Column], Column] | None = None
+    # Counts rows that repeat an earlier one.
+    repeats: bool = False
 
 
 def _number(column: str) -> Column:
@@ -100,8 +102,19 @@ def negative(column: str) -> Column:
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Evaluate all checks with one pass over the data."""
-    rows = [_row(df, i, c) for i, c in enumerate(checks, 1)]
+    """Evaluate all checks with one pass over the data.
+
+    Looking for repeated rows needs them side by side. The other checks then run on
+    the distinct rows, each weighted by its copies, so the input is still read once.
+    """
+    weight = None
+    if any(c.repeats for c in checks):
+        columns = df.columns
+        df = df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(
+            F.count(F.lit(1)).alias("_copies")
+        )
+        weight = F.col("_copies")
+    rows = [_row(df, i, c, weight) for i, c in enumerate(checks, 1)]
     return (
         df.agg(F.array(*rows).alias("_checks"))
         .select(F.explode("_checks").alias("_check"))
@@ -109,17 +122,29 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     )
 
 
-def _row(df: DataFrame, position: int, check: Check) -> Column:
+def _count(condition: Column, weight: Column | None) -> Column:
+    if weight is None:
+        return F.count_if(condition)
+    return F.coalesce(F.sum(F.when(condition, weight)), F.lit(0))
+
+
+def _row(df: DataFrame, position: int, check: Check, weight: Column | None) -> Column:
     absent = [c for c in check.needs if c not in df.columns]
     if check.known is not None:
         passed, bad, detail = check.known
         result = (F.lit(passed), F.lit(bad), F.lit(detail))
     elif absent:
         result = (F.lit(False), F.lit(len(absent)), F.lit(f"missing: {', '.join(absent)}"))
-    elif check.total is not None:
-        result = (check.total == 0, check.total, F.lit(check.ok))
+    elif check.repeats:
+        bad = F.coalesce(F.sum(weight - 1), F.lit(0))
+        detail = F.when(bad == 0, F.lit(check.ok)).otherwise(
+            F.format_string("%d duplicate row(s) found", bad))
+        result = (bad == 0, bad, detail)
+    elif check.of_rows is not None:
+        bad = check.of_rows(_count(F.lit(True), weight))
+        result = (bad == 0, bad, F.lit(check.ok))
     else:
-        counts = {label: F.count_if(bad) for label, bad in check.broken.items()}
+        counts = {label: _count(bad, weight) for label, bad in check.broken.items()}
         total = sum(counts.values(), F.lit(0).cast("bigint"))
         found = F.concat_ws("; ", *[
             F.when(n > 0, F.format_string(f"{_plain(label)}: %d", n)) for label, n in counts.items()
@@ -140,25 +165,7 @@ def _plain(label: str) -> str:
     return label.replace("%", "%%")
 
 
-def _duplicate_check(df: DataFrame, position: int, name: str = "No duplicate rows") -> DataFrame:
-    n = F.col("duplicates")
-    return duplicate_rows(df).select(
-        F.lit(position).alias("position"), F.lit(name).alias("check"), (n == 0).alias("passed"),
-        n.cast("bigint").alias("violations"),
-        F.when(n == 0, F.lit("0 duplicates"))
-        .otherwise(F.format_string("%d duplicate row(s) found", n)).alias("detail"),
-    )
-
-
-def _suite(df: DataFrame, checks: Sequence[Check | None]) -> DataFrame:
-    """Run checks in order; ``None`` marks the place of the duplicate-row check,
-    the only one that needs a shuffle."""
-    place = next((i for i, c in enumerate(checks, 1) if c is None), None)
-    # The marker keeps its place in the order but is not evaluated as a rule.
-    rows = run_checks(df, [c or Check("", known=(True, 0, "")) for c in checks])
-    if place is None:
-        return rows
-    return rows.filter(F.col("position") != place).unionByName(_duplicate_check(df, place))
+_NO_REPEATS = Check("No duplicate rows", repeats=True, ok="0 duplicates")
 
 
 def _required(df: DataFrame, name: str, columns: Sequence[str]) -> Check:
@@ -189,15 +196,15 @@ def final_checks(df: DataFrame, expected_rows: int = 100_000) -> DataFrame:
     finite: dict[str, Column] = {}
     for c in numeric:
         finite.update(_not_finite(c))
-    return _suite(df, [
+    return run_checks(df, [
         _required(df, "Required columns present", REQUIRED_COLUMNS),
         Check("'is_fraud' target column exists and is binary",
               {"values other than 0/1": not_in(S.TARGET, 0, 1)} if S.TARGET in df.columns else {},
               needs=[S.TARGET], ok="contains only 0/1"),
         Check("Row count matches expected dataset size",
-              total=F.abs(F.count(F.lit(1)) - expected_rows), ok=f"expected {expected_rows:,}"),
-        None,
-        Check("No missing values", {c: F.col(f"`{c}`").isNull() for c in df.columns},
+              of_rows=lambda n: F.abs(n - expected_rows), ok=f"expected {expected_rows:,}"),
+        _NO_REPEATS,
+        Check("No missing values", {c: missing(c, kind) for c, kind in df.dtypes},
               ok="0 missing values"),
         Check("Numeric feature columns have numeric dtypes",
               known=(not wrong_type, len(wrong_type),
@@ -234,11 +241,12 @@ def behaviour_checks(df: DataFrame) -> DataFrame:
     have = set(df.columns)
     present = [c for c in S.BEHAVIOUR_COLUMNS if c in have]
     counts = [c for c in COUNT_COLUMNS if c in have]
-    return _suite(df, [
+    return run_checks(df, [
         _required(df, "Required behavioral columns present", S.BEHAVIOUR_COLUMNS),
-        None,
+        _NO_REPEATS,
         Check("No missing values in behavioral columns",
-              {c: F.col(c).isNull() for c in present}, ok="0 missing values"),
+              {c: missing(c, kind) for c, kind in df.dtypes if c in present},
+              ok="0 missing values"),
         Check("Binary behavioral flags contain only 0/1",
               {c: not_in(c, 0, 1) for c in BEHAVIOUR_FLAGS if c in have}, ok="all valid"),
         _night_check(have),
@@ -293,16 +301,16 @@ def readiness_checks(df: DataFrame) -> DataFrame:
     """The gate before modelling: five checks, four without a target column."""
     target = S.TARGET in df.columns
     checks = [
-        Check("Dataset is not empty", total=F.when(F.count(F.lit(1)) > 0, 0).otherwise(1)),
+        Check("Dataset is not empty", of_rows=lambda n: F.when(n > 0, 0).otherwise(1)),
         Check("Target column exists", known=(target, int(not target), "")),
-        None,
-        Check("No missing values", {c: F.col(f"`{c}`").isNull() for c in df.columns}),
+        _NO_REPEATS,
+        Check("No missing values", {c: missing(c, kind) for c, kind in df.dtypes}),
     ]
     if target:
         # A missing target is the business of the check before.
         checks.append(Check("Target contains only 0/1",
                             {"values other than 0/1": ~F.col(S.TARGET).isin(0, 1)}))
-    return _suite(df, checks)
+    return run_checks(df, checks)
 
 
 def feature_group_presence(df: DataFrame) -> DataFrame:

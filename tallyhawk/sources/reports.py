@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhawk.functions.text import money, percent, thousands
+from tallyhawk.functions.text import money, percent, plain_number, thousands
 from tallyhawk.operators import profiling
 from tallyhawk.operators.quality import validation_values
 
@@ -29,7 +29,7 @@ def validation_report(df: DataFrame) -> DataFrame:
     """Lines of the validation report: ``section, place, line``."""
     spark = df.sparkSession
     whole = F.format_string("- %s: %d", F.col("check"), F.col("value").cast("bigint"))
-    rate = F.concat(F.lit("- "), F.col("check"), F.lit(": "), F.col("value").cast("string"))
+    rate = F.concat(F.lit("- "), F.col("check"), F.lit(": "), plain_number(F.col("value"), 4))
     body = validation_values(df).select(
         F.lit(2).alias("section"), F.col("position").alias("place"),
         F.when(F.col("check").endswith("(rate)"), rate).otherwise(whole).alias("line"),

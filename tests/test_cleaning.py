@@ -23,6 +23,8 @@ def test_text_rules(spark):
     assert one(spark, "customer_avg_amt", "string", text.title_words) == "Customer Avg Amt"
     assert one(spark, 0.00598, "double", text.percent) == "0.598%"
     assert one(spark, 1234567, "bigint", text.thousands) == "1,234,567"
+    for value, shown in ((0.0007, "0.0007"), (0.017, "0.017"), (1.0, "1.0"), (2e9, "2000000000.0")):
+        assert one(spark, value, "double", lambda c: text.plain_number(c, 4)) == shown
 
 
 def test_clock_rules(spark):

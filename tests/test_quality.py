@@ -48,13 +48,13 @@ def test_missing_columns_fail_groups_and_skip_the_rest(model):
 
 
 def test_null_rules(spark):
-    df = spark.createDataFrame([(None, None), (1, -1.0), (2, float("inf"))],
+    df = spark.createDataFrame([(None, None), (1, -1.0), (2, float("inf")), (0, float("nan"))],
                                "is_fraud int, amt double")
-    found = results(Q.final_checks(df, 3))
+    found = results(Q.final_checks(df, 4))
     # Null breaks membership, but null is not negative.
     assert found["'is_fraud' target column exists and is binary"].violations == 2
     assert found["No unexpected negative values"].violations == 1
-    assert found["No missing values"].violations == 2
+    assert found["No missing values"].violations == 3
     ready = results(Q.readiness_checks(df))
     assert ready["Target contains only 0/1"].violations == 1
 
