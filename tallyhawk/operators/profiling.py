@@ -207,10 +207,18 @@ def match_rates(df: DataFrame) -> DataFrame:
 
 
 def type_counts(df: DataFrame) -> DataFrame:
-    """Number of columns per data type."""
-    types = [t for _, t in df.dtypes]
-    rows = sorted((t, types.count(t)) for t in set(types))
-    return df.sparkSession.createDataFrame(rows, "type string, columns int")
+    """Number of columns per data type and of the values they hold."""
+    kinds: dict[str, list[str]] = {}
+    for column, kind in df.dtypes:
+        kinds.setdefault(kind, []).append(column)
+    row = df.agg(F.array(*[
+        F.struct(
+            F.lit(kind).alias("type"), F.lit(len(columns)).alias("columns"),
+            sum((F.count(F.col(f"`{c}`")) for c in columns), F.lit(0)).alias("values"),
+        )
+        for kind, columns in sorted(kinds.items())
+    ]).alias("_rows"))
+    return row.select(F.explode("_rows").alias("_row")).select("_row.*")
 
 
 def overview(df: DataFrame) -> DataFrame:

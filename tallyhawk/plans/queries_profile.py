@@ -161,6 +161,22 @@ def _types(spark, sf_dir):
     return P.type_counts(raw_transactions(spark, sf_dir))
 
 
+# The types of the view's columns.
+_KINDS = {
+    "bigint": ["Unnamed: 0", "unix_time", "zip", "city_pop", "Customer_Age",
+               "Customer_Satisfaction_Score", "Loyalty_Points_Earned"],
+    "date": ["dob"],
+    "double": ["amt", "lat", "long", "merch_lat", "merch_long", "merch_zipcode"],
+    "int": ["is_fraud"],
+    "string": ["trans_num", "cc_num", "Transaction_Time", *S.TEXT_COLUMNS],
+    "timestamp_ntz": ["trans_date_trans_time"],
+}
+_KINDS_SQL = with_raw(" union all ".join(
+    f"""select '{kind}' as type, {len(columns)} as columns,
+    {"+".join(f'count("{c}")' for c in columns)} as "values" from raw"""
+    for kind, columns in _KINDS.items()))
+
+
 def _overview(spark, sf_dir):
     df = with_copies(raw_transactions(spark, sf_dir)).drop(S.INDEX_COLUMN)
     return P.overview(df)
@@ -369,16 +385,29 @@ _READY_SQL = _checks_sql("dirty", [
 
 
 def _presence(spark, sf_dir):
-    """Which summary columns the three profiles have."""
+    """Which summary columns the three profiles have, and in how many rows filled."""
     df = raw_transactions(spark, sf_dir)
     out = None
     for name in ("A", "B", "C"):
         featured = B.add_behaviour(df, PROFILES[name])
-        found = Q.feature_group_presence(featured).withColumn("profile", F.lit(name))
+        groups = Q.feature_group_presence(featured).withColumn("profile", F.lit(name))
+        filled = featured.agg(F.array(*[
+            F.struct(F.lit(group).alias("feature_group"), F.count_if(_all_filled(
+                [c for c in columns if c in featured.columns])).alias("filled_rows"))
+            for group, columns in Q.SUMMARY_GROUPS.items()
+        ]).alias("_g")).select(F.explode("_g").alias("_g")).select("_g.*")
+        found = groups.join(filled, "feature_group")
         out = found if out is None else out.unionByName(found)
     return out
 
 
+def _all_filled(columns: list[str]):
+    filled = F.lit(bool(columns))
+    for c in columns:
+        filled = filled & F.col(c).isNotNull()
+    return filled
+
+
 def _schema_checks(spark, sf_dir):
     """Suites on a table that lacks most columns: they fail or skip, as specified."""
     df = clean_view(spark, sf_dir).select(S.TXN, S.AMOUNT, "gender", S.TARGET)
@@ -441,7 +470,7 @@ QUERIES: dict[str, Query] = {
           as int)),4) as time_match_rate,
         round(avg(cast(year(trans_date_trans_time)-year(dob)="Customer_Age" as int)),4)
           as age_match_rate from raw"""), "time_match_rate", "age_match_rate")),
-    "A18_column_types": Query(_types),
+    "A18_column_types": Query(_types, _KINDS_SQL),
     "A19_overview": Query(_overview, with_raw(
         f"""select count(*) as rows, {len(S.RAW_SCHEMA) - 1} as columns,
         {_copies_of("copied", '* exclude ("Unnamed: 0")')} as duplicate_rows,
