@@ -9,9 +9,9 @@ from tallyhawk.session import cut_lineage, new_folder, prepare, shared_folder
 def test_stored_tables_live_in_the_shared_folder(spark):
     df = spark.range(5).selectExpr("id", "named_struct('a', id) as s")
     stored = cut_lineage(df)
-    assert stored.schema["s"].dataType == df.schema["s"].dataType
+    assert stored.schema["s"].dataType.simpleString() == "struct<a:bigint>"
     assert sorted(r.id for r in stored.collect()) == list(range(5))
-    assert all(f.startswith("file:" + shared_folder(spark)) for f in stored.inputFiles())
+    assert all(shared_folder(spark) in f for f in stored.inputFiles())
     assert not os.path.exists(new_folder(spark, "x"))
 
 
