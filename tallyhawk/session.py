@@ -45,6 +45,9 @@ def local_session(cores: str = "8", name: str = "tallyhawk", **conf: str) -> Spa
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for data all executors must reach.
 
@@ -54,8 +57,11 @@ def shared_folder(spark: SparkSession) -> str:
     if shared is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        shared = tempfile.mkdtemp(prefix="tallyhawk-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        # The setting is fixed once a session runs, so the folder is kept here.
+        context = spark.sparkContext.applicationId
+        if context not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[context] = tempfile.mkdtemp(prefix="tallyhawk-")
+        shared = _LOCAL_FOLDERS[context]
     return shared
 
 
