@@ -22,7 +22,6 @@ same.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,119 +29,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyhawk.llm.bitmaps import common_bitmaps, groups, marked
 from tallyhawk.llm.common import cut_lineage, ship_package, spread
 from tallyhawk.llm.graph import components
 from tallyhawk.llm.shingles import shingle_sets
 
 #: Columns of at most so many documents are multiplied pair by pair.
 FEW = 32
-#: The two bitmaps have 2 ** MAP_BITS bits each.
-MAP_BITS = 27
-#: Counted hashes are cut to so many bits.
-COUNT_BITS = 40
 #: Rows of a block, and columns multiplied at a time.
 BLOCK = 512
 COLUMNS = 4096
-#: Hashes sorted together before they are sent.
-FLUSH = 2_000_000
 NO_ID = 1 << 62
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The row groups of a stream that is sorted by ``keys``."""
-    parts: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        arrays = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        change = np.zeros(batch.num_rows, dtype=bool)
-        for a in arrays:
-            change[1:] |= a[1:] != a[:-1]
-        change[0] = last is not None and last != tuple(a[0] for a in arrays)
-        cuts = np.flatnonzero(change)
-        at = 0
-        for cut in cuts:
-            if cut > at:
-                parts.append(batch.slice(at, cut - at))
-            if parts:
-                yield pa.Table.from_batches(parts)
-            parts, at = [], cut
-        parts.append(batch.slice(at))
-        last = tuple(a[-1] for a in arrays)
-    if parts:
-        yield pa.Table.from_batches(parts)
-
-
-def _count_columns(docs: DataFrame, size: int, slices: int) -> tuple[bytes, bytes]:
-    """Bitmaps over the top hash bits: columns of two documents or more, of over FEW."""
-    shift = np.uint64(64 - COUNT_BITS)
-    per_slice = np.uint64((1 << COUNT_BITS) // slices)
-
-    def send(hashes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        values = np.sort(np.concatenate(hashes) >> shift)
-        cuts = np.searchsorted(values, np.arange(slices + 1, dtype=np.uint64) * per_slice)
-        ids, blobs = [], []
-        for k in range(slices):
-            part = values[cuts[k] : cuts[k + 1]]
-            if len(part):
-                gaps = np.diff(part, prepend=np.uint64(k) * per_slice)
-                wide = gaps.astype(np.uint32).view(np.uint8).reshape(-1, 4)
-                ids.append(k)
-                blobs.append(zlib.compress(np.ascontiguousarray(wide.T).tobytes(), 1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], ["slice", "gaps"]
-        )
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-        for batch in batches:
-            for hashes in shingle_sets(batch.column(0), size):
-                held.append(hashes)
-                n += len(hashes)
-                if n >= FLUSH:
-                    yield from send(held)
-                    held, n = [], 0
-        if n:
-            yield from send(held)
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = (1 << MAP_BITS) // slices
-        for table in _groups(batches, ["slice"]):
-            k = table.column("slice")[0].as_py()
-            values = []
-            for blob in table.column("gaps").to_pylist():
-                wide = np.frombuffer(zlib.decompress(blob), dtype=np.uint8).reshape(4, -1)
-                gaps = np.ascontiguousarray(wide.T).view(np.uint32).ravel()
-                values.append(np.cumsum(gaps, dtype=np.uint64))
-            found, counts = np.unique(np.concatenate(values), return_counts=True)
-            place = (found >> np.uint64(COUNT_BITS - MAP_BITS)).astype(np.int64)
-            maps = []
-            for above in (1, FEW):
-                bits = np.zeros(width, dtype=bool)
-                bits[place[counts > above]] = True
-                maps.append(zlib.compress(np.packbits(bits).tobytes(), 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k], pa.int32()), *[pa.array([m], pa.binary()) for m in maps]],
-                ["slice", "shared", "common"],
-            )
-
-    rows = (
-        docs.select("text").mapInArrow(scan, "slice int, gaps binary")
-        .repartition(min(slices, spread(docs) * 2), "slice").sortWithinPartitions("slice")
-        .mapInArrow(mark, "slice int, shared binary, common binary").collect()
-    )
-    # Two bitmaps of 2 ** MAP_BITS bits, whatever the size of the corpus.
-    maps = {r["slice"]: (zlib.decompress(r["shared"]), zlib.decompress(r["common"])) for r in rows}
-    empty = bytes((1 << MAP_BITS) // slices // 8)
-    return tuple(b"".join(maps.get(k, (empty, empty))[i] for k in range(slices)) for i in (0, 1))
-
-
-def _need(x, y, num: int, den: int):
-    """Smallest overlap of linked sets of sizes x and y."""
-    return -(-num * (x + y) // (num + den))
-
-
 def _profile(docs: DataFrame, size: int, num: int, den: int, maps) -> DataFrame:
     """Per row: doc_id, th (hash of the text), n, key of its set, and its shared prefix."""
     bits = docs.sparkSession.sparkContext.broadcast(maps)
@@ -154,10 +53,7 @@ def _profile(docs: DataFrame, size: int, num: int, den: int, maps) -> DataFrame:
             for hashes in shingle_sets(batch.column(2), size):
                 n.append(len(hashes))
                 keys.append(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest())
-                slot = (hashes >> np.uint64(64 - MAP_BITS)).astype(np.int64)
-                bit = (np.uint8(128) >> (slot & 7).astype(np.uint8))
-                level = ((shared[slot >> 3] & bit) != 0).astype(np.int8)
-                level += (common[slot >> 3] & bit) != 0
+                level = marked(shared, hashes).astype(np.int8) + marked(common, hashes)
                 p = len(hashes) - -(-num * len(hashes) // den) + 1 if len(hashes) else 0
                 # Columns of one document fill the prefix first and meet nobody.
                 p -= int((level == 0).sum())
@@ -304,7 +200,7 @@ def _multiply(members: DataFrame, num: int, den: int, parts: int) -> DataFrame:
     """Links (a, b) of ``members(cluster, i, j, block, node, hashes)``, a forest per block."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, ["cluster", "i", "j"]):
+        for table in groups(batches, ["cluster", "i", "j"]):
             nodes = table.column("node").to_numpy()
             block = table.column("block").to_numpy()
             _, once = np.unique(nodes, return_index=True)
@@ -346,8 +242,9 @@ def jaccard_components(
     spark = docs.sparkSession
     ship_package(spark)
     docs = docs.select("doc_id", "text")
-    slices = 256
-    maps = _count_columns(docs, size, slices)
+    maps = common_bitmaps(
+        docs.select("text"), lambda batch: shingle_sets(batch.column(0), size), (1, FEW)
+    )
     rows = cut_lineage(_profile(docs, size, num, den, maps))
     classes = cut_lineage(
         rows.where("n > 0").groupBy("key").agg(

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhawk.llm import jaccard, mixing, packing
+from tallyhawk.llm import jaccard, mixing, packing, repeats
 from tallyhawk.llm.common import read
 from tallyhawk.plans.registry import Query
 
@@ -20,6 +20,7 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]):
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": Query(_over("documents", mixing.mix_digest)),
+    "op2_remove_repeats": Query(_over("documents", repeats.repeats_digest)),
     "op4_jaccard_join": Query(_over("documents", jaccard.jaccard_digest)),
     "op10_pack_batches": Query(_over("documents", packing.pack_digest)),
 }

@@ -40,6 +40,11 @@ class _Powers:
         return cls.up, cls.down
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the hash base, and of its inverse."""
+    return _Powers.upto(n)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (in place)."""
     x ^= x >> np.uint64(30)
