@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhawk.llm import jaccard, mixing, packing, repeats
+import corpus_pipeline
+from tallyhawk.llm import jaccard, mixing, packing, quality, repeats
 from tallyhawk.llm.common import read
 from tallyhawk.plans.registry import Query
 
@@ -18,9 +19,15 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]):
     return build
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": Query(_over("documents", mixing.mix_digest)),
     "op2_remove_repeats": Query(_over("documents", repeats.repeats_digest)),
     "op4_jaccard_join": Query(_over("documents", jaccard.jaccard_digest)),
+    "op9_quality_scores": Query(_quality),
     "op10_pack_batches": Query(_over("documents", packing.pack_digest)),
+    "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

@@ -21,8 +21,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
 from tallyhawk.llm.bitmaps import common_bitmaps, marked
 from tallyhawk.llm.common import cut_lineage, ship_package, spread
@@ -235,9 +236,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False) -> DataFrame:
     """``docs`` with kept (bytes), n_bytes, n_removed and n_spans of every row.
 
+    With ``as_text``, kept is text, without the rest of characters that were cut apart.
+
     A byte goes if a string of ``length`` bytes covers it that also starts earlier: in a
     row of smaller doc_id, or earlier in the same row. Strings are judged on the input.
     Matches never cross rows. Null texts are empty; texts shorter than ``length`` stay.
@@ -272,27 +275,37 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     parts.append(text[done:s])
                     done = e
                 parts.append(text[done:])
-                kept.append(b"".join(parts))
+                rest = b"".join(parts)
+                kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
                 sizes.append(len(text))
-                removed.append(len(text) - len(kept[-1]))
+                removed.append(len(text) - len(rest))
                 spans.append(len(merged))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(columns)], pa.array(kept, pa.binary()),
+                [*batch.columns[: len(columns)], pa.array(kept, pa.string() if as_text else pa.binary()),
                  *[pa.array(x, pa.int64()) for x in (sizes, removed, spans)]],
                 [*columns, *own],
             )
 
-    from pyspark.sql.types import BinaryType, LongType, StructType
-
-    schema = StructType(list(docs.schema.fields)).add("kept", BinaryType())
+    schema = StructType(list(docs.schema.fields)).add("kept", StringType() if as_text else BinaryType())
     for name in own[1:]:
         schema = schema.add(name, LongType())
     return joined.mapInArrow(cut, schema)
 
 
-def kept_text(kept: Column) -> Column:
-    """The kept bytes as text, without the rest of characters that were cut apart."""
-    return F.regexp_replace(F.decode(kept, "UTF-8"), "�", "")
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with the repeated bytes gone from ``text`` and n_chars, if there, counted anew.
+
+    Rows that lose their whole text go; null texts stay null, all other columns as they are.
+    """
+    shortened = remove_repeats(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"), length, True)
+    shortened = shortened.where("n_removed < n_bytes or n_bytes = 0")
+    text = F.when(F.col("text").isNotNull(), F.col("kept"))
+    columns = {c: F.col("row").getField(c) for c in docs.columns} | {"text": text}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(F.col("n_removed") > 0, F.length(text)).otherwise(
+            columns["n_chars"]
+        ).cast(docs.schema["n_chars"].dataType)
+    return shortened.select(*[column.alias(c) for c, column in columns.items()])
 
 
 def repeats_digest(docs: DataFrame) -> DataFrame:

@@ -55,9 +55,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of the joined texts, and the index of each text's first word."""
     n = len(data)
+    if n == 0:
+        return np.empty(0, np.uint64), np.zeros(len(offsets), dtype=np.int64)
     letter = ~_SPACE[data]
     begins, ends = letter.copy(), np.zeros(n + 1, dtype=bool)
     begins[1:] &= ~letter[:-1]
@@ -80,7 +82,7 @@ def _sets(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np.ndarr
         for _ in range(len(offsets) - 1):
             yield np.empty(0, dtype=np.uint64)
         return
-    words, first = _word_hashes(data, offsets)
+    words, first = word_hashes(data, offsets)
     factors = [np.uint64(pow(_STEP[2], k + 1, 1 << 64)) for k in range(size)]
     grams = np.zeros(max(0, len(words) - size + 1), dtype=np.uint64)
     for k, factor in enumerate(factors):
@@ -98,17 +100,9 @@ def _sets(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np.ndarr
             yield np.empty(0, dtype=np.uint64)
 
 
-def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text, in order.
-
-    A-Z count as a-z; words are runs of characters other than ASCII white space. A text
-    of fewer words than ``size`` has its whole sequence as its one shingle; a text
-    without words, or a missing one, has none.
-    """
-    texts = texts.cast(pa.large_binary()) if not pa.types.is_large_binary(texts.type) else texts
-    texts = texts.fill_null(b"")
-    if isinstance(texts, pa.ChunkedArray):
-        texts = texts.combine_chunks()
+def joined_texts(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """The UTF-8 bytes of some texts at a time, their bounds, and the index of the first."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
     if len(texts) == 0:
         return
     _, offsets, data = texts.buffers()
@@ -118,5 +112,16 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
     while at < len(texts):
         to = int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, side="right")) - 1
         to = min(max(to, at + 1), len(texts))
-        yield from _sets(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], size)
+        yield data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], at
         at = to
+
+
+def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of each text, in order.
+
+    A-Z count as a-z; words are runs of characters other than ASCII white space. A text
+    of fewer words than ``size`` has its whole sequence as its one shingle; a text
+    without words, or a missing one, has none.
+    """
+    for data, bounds, _ in joined_texts(texts):
+        yield from _sets(data, bounds, size)
