@@ -248,8 +248,8 @@ def jaccard_components(
     rows = cut_lineage(_profile(docs, size, num, den, maps))
     classes = cut_lineage(
         rows.where("n > 0").groupBy("key").agg(
-            F.min("doc_id").alias("first"), F.min("th").alias("th"), F.first("n").alias("n"),
-            F.first("prefix").alias("prefix"),
+            F.min(F.struct("doc_id", "th")).alias("from"), F.min("doc_id").alias("first"),
+            F.first("n").alias("n"), F.first("prefix").alias("prefix"),
         ).withColumn(
             "node",
             F.coalesce("first", F.xxhash64("key").bitwiseAND(F.lit(NO_ID - 1)).bitwiseOR(F.lit(NO_ID))),
@@ -261,23 +261,23 @@ def jaccard_components(
     clusters = cut_lineage(components(pairs.select("a", "b")).withColumnRenamed("root", "cluster"))
     sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     wanted = (
-        classes.select("node", "key", "th").join(clusters, "node").join(sizes, "cluster")
+        classes.select("node", "from").join(clusters, "node").join(sizes, "cluster")
     )
-    texts = docs.select(F.xxhash64("text").alias("th"), "text").join(
-        wanted.select("th").distinct(), "th", "left_semi"
-    ).dropDuplicates(["th"])
+    # One row of each class; a text that several rows of one doc_id repeat comes several times.
+    row = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"))
+    texts = docs.select(row.alias("from"), "text").join(wanted.select("from"), "from", "left_semi")
 
     def hash_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             blobs = [h.tobytes() for h in shingle_sets(batch.column(1), size)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(blobs, pa.binary())], ["th", "hashes"]
+                [batch.column(0), pa.array(blobs, pa.binary())], ["from", "hashes"]
             )
 
-    sets = texts.mapInArrow(hash_again, "th long, hashes binary")
+    sets = texts.mapInArrow(hash_again, "from struct<doc_id:long,th:long>, hashes binary")
     own = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")
     members = (
-        wanted.join(sets, "th").withColumn("block", own)
+        wanted.join(sets, "from").withColumn("block", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
                 "block", "node", "hashes")
