@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyhawk.llm import jaccard, mixing, neighbours, packing, quality, repeats
+from tallyhawk.llm import jaccard, mixing, neighbours, packing, pages, quality, repeats
 from tallyhawk.llm.common import read
 from tallyhawk.plans.registry import Query
 
@@ -26,6 +26,7 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": Query(_over("documents", mixing.mix_digest)),
     "op2_remove_repeats": Query(_over("documents", repeats.repeats_digest)),
+    "op3_extract_pages": Query(_over("pages", pages.extract_pages)),
     "op4_jaccard_join": Query(_over("documents", jaccard.jaccard_digest)),
     "op5_nearest_neighbours": Query(_over("embeddings", neighbours.neighbours_digest)),
     "op9_quality_scores": Query(_quality),
