@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType
@@ -40,14 +41,20 @@ BROADCAST_ROWS = 1_000_000
 LAST = (1 << 63) - 1
 
 
+def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums from which any substring's hash follows, and the factors for it."""
+    up, down = powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
+    return total, down
+
+
 def _hashes(data: np.ndarray, width: int) -> np.ndarray:
     """Hash of the ``width`` bytes at every position."""
     n = len(data) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    up, down = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
+    total, down = _sums(data)
     return mix((total[width:] - total[:-width]) * down[:n])
 
 
@@ -123,36 +130,78 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = np.frombuffer(bits.value[0], dtype=np.uint8)
         for batch in batches:
+            found, spans = [], []
             for data, bounds, row, start in _pieces(batch.column(2), length):
-                found = _anchors(data, bounds, length)
-                if found is None:
+                anchors = _anchors(data, bounds, length)
+                if anchors is None:
                     continue
-                kept = marked(shared, found[0])
-                name, _, first, last, text = (x[kept] for x in found)
-                sizes = last - first + length
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                spans = np.arange(ends[-1]) + np.repeat(first - ends[:-1], sizes)
-                rows = pa.array(row + text)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(name.view(np.int64)), batch.column(0).take(rows),
-                        batch.column(1).take(rows), pa.array(first - bounds[text] + start),
-                        pa.Array.from_buffers(
-                            pa.binary(), len(first),
-                            [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[spans])],
-                        ),
-                    ],
-                    ["name", "ord", "th", "at", "span"],
-                )
+                name, _, first, last, text = (x[marked(shared, anchors[0])] for x in anchors)
+                total, down = _sums(data)
+                size = last - first + length
+                whole = mix((total[first + size] - total[first]) * down[first]) + size.astype(np.uint64)
+                found.append((name, row + text, first - bounds[text] + start, size, whole))
+                ends = np.cumsum(size)
+                spans.append(data[np.arange(size.sum()) + np.repeat(first - ends + size, size)])
+            if not found:
+                continue
+            name, text, at, size, whole = (np.concatenate(x) for x in zip(*found, strict=True))
+            owner, th = (batch.column(k).to_numpy()[text] for k in (0, 1))
+            # Of equal spans of a batch, the first alone can have a first window. The others
+            # go without their bytes, and under a name that spreads them.
+            order = np.lexsort((at, th, owner, name, whole))
+            again = np.zeros(len(order), dtype=bool)
+            again[1:] = (whole[order][1:] == whole[order][:-1]) & (name[order][1:] == name[order][:-1])
+            copy, same = np.zeros(len(order), dtype=bool), np.zeros(len(order), dtype=bool)
+            copy[order] = again
+            again[1:] &= (
+                (owner[order][1:] == owner[order][:-1]) & (th[order][1:] == th[order][:-1])
+                & (at[order][1:] == at[order][:-1])
+            )
+            same[order] = again  # a repeated row
+            starts = np.cumsum(size) - size
+            key = np.where(copy, mix(whole + at.astype(np.uint64) + th.view(np.uint64)), name)
+            kept = np.flatnonzero(~same)
+            sent = np.where(copy, 0, size)[kept]
+            ends = np.concatenate([[0], np.cumsum(sent)])
+            data = np.concatenate(spans)[
+                np.arange(ends[-1]) + np.repeat(starts[kept] - ends[:-1], sent)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(key[kept].view(np.int64)), pa.array(owner[kept]), pa.array(th[kept]),
+                    pa.array(at[kept]), pa.array(size[kept]),
+                    pa.Array.from_buffers(
+                        pa.binary(), len(kept),
+                        [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)],
+                    ),
+                ],
+                ["name", "ord", "th", "at", "size", "span"],
+            )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_name, seen = None, np.empty(0, np.uint64)
+        open_name, seen, last = None, np.empty(0, np.uint64), None
         for batch in batches:
+            bare = np.asarray(pa.compute.binary_length(batch.column(5))) == 0
+            if bare.any():
+                rows = batch.filter(pa.array(bare))
+                at = rows.column(3).to_numpy()
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(1), rows.column(2), pa.array(at), pa.array(at + rows.column(4).to_numpy())],
+                    ["ord", "th", "s", "e"],
+                )
+            batch = batch.filter(pa.array(~bare))
+            key = np.column_stack([batch.column(k).to_numpy() for k in range(4)])
+            fresh = np.ones(len(key), dtype=bool)
+            fresh[1:] = (key[1:] != key[:-1]).any(axis=1)
+            if last is not None and len(key):
+                fresh[0] = (key[0] != last).any()
+            batch = batch.filter(pa.array(fresh))  # a repeated row's spans count once
             if not batch.num_rows:
                 continue
+            last = key[-1]
             names = batch.column(0).to_numpy()
             at = batch.column(3).to_numpy()
-            spans = batch.column(4)
+            spans = batch.column(5)
             _, offsets, data = spans.buffers()
             offsets = np.frombuffer(offsets, np.int32)[spans.offset : spans.offset + len(spans) + 1]
             data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
@@ -186,7 +235,7 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
             )
 
     return (
-        docs.mapInArrow(sample, "name long, ord long, th long, at long, span binary")
+        docs.mapInArrow(sample, "name long, ord long, th long, at long, size long, span binary")
         .repartition(2 * spread(docs), "name").sortWithinPartitions("name", "ord", "th", "at")
         .mapInArrow(compare, "ord long, th long, s long, e long")
     )
