@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyhawk.llm import fingerprints, jaccard, mixing, neighbours, packing, pages, quality, repeats, tokens
+from tallyhawk.llm import fingerprints, jaccard, licenses, mixing, neighbours, packing, pages, quality, repeats, tokens
 from tallyhawk.llm.common import read
 from tallyhawk.plans.registry import Query
 
@@ -29,6 +29,7 @@ QUERIES: dict[str, Query] = {
     "op3_extract_pages": Query(_over("pages", pages.extract_pages)),
     "op4_jaccard_join": Query(_over("documents", jaccard.jaccard_digest)),
     "op5_nearest_neighbours": Query(_over("embeddings", neighbours.neighbours_digest)),
+    "op6_license_scan": Query(_over("documents", licenses.license_digest)),
     "op7_fingerprints": Query(_over("documents", fingerprints.fingerprint_neighbours)),
     "op8_token_shards": Query(_over("documents", tokens.tokens_digest)),
     "op9_quality_scores": Query(_quality),
