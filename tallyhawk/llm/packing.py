@@ -89,7 +89,7 @@ def pack(
     histogram = [(r["pack_bound"], r["n"]) for r in rows]
     bounds = best_bounds(histogram, buckets)
     cells = max(1, sum(n for _, n in histogram) // cell_rows)
-    bucket = F.lit(len(bounds) - 1)
+    bucket = F.lit(max(len(bounds) - 1, 0))
     for k in reversed(range(len(bounds) - 1)):
         bucket = F.when(F.col("pack_bound") <= bounds[k], F.lit(k)).otherwise(bucket)
     limits = F.array(*[F.lit(b).cast("long") for b in bounds or [1]])
