@@ -115,7 +115,7 @@ def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
     """``paragraphs(text)`` with family, chance and likeness.
 
     family is a licence family, ``unknown`` or ``none``; chance is the calibrated
-    probability of the likeliest class; likeness is the largest share of a notice's words,
+    probability of the likeliest class, ``none`` where the model knows no n-gram; likeness is the largest share of a notice's words,
     over the notices of that family, that the paragraph has.
     """
     spark = paragraphs.sparkSession
@@ -128,14 +128,17 @@ def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
     grams = tokens.select("text", F.explode_outer(ngrams(F.col("tokens"))).alias("gram"))
     k = len(model.families)
     summed = grams.join(F.broadcast(weights), "gram", "left").groupBy("text").agg(
-        *[F.coalesce(F.sum(F.get("w", F.lit(i))), F.lit(0.0)).alias(f"z{i}") for i in range(k)]
+        F.count("w").alias("n"),
+        *[F.coalesce(F.sum(F.get("w", F.lit(i))), F.lit(0.0)).alias(f"z{i}") for i in range(k)],
     )
     logits = [(F.col(f"z{i}") + float(model.bias[i])) * model.scale for i in range(k)]
     top = F.greatest(*logits)
-    scored = summed.select("text", F.array(*logits).alias("z"), top.alias("top")).select(
+    likeliest = F.element_at(
+        F.array(*[F.lit(f) for f in model.families]), F.array_position("z", F.col("top")).cast("int")
+    )
+    scored = summed.select("text", "n", F.array(*logits).alias("z"), top.alias("top")).select(
         "text",
-        F.element_at(F.array(*[F.lit(f) for f in model.families]),
-                     F.array_position("z", F.col("top")).cast("int")).alias("guess"),
+        F.when(F.col("n") == 0, F.lit(NONE)).otherwise(likeliest).alias("guess"),
         (1.0 / F.aggregate("z", F.lit(0.0), lambda a, z: a + F.exp(z - F.col("top")))).alias("chance"),
     )
     notices = spark.range(1).select(F.explode(F.array(*[

@@ -30,6 +30,8 @@ from tallyhawk.llm.common import cut_lineage, ship_package, spread
 FAN_IN = 64
 #: Pages a node is seen on before an unchanging text counts as template.
 SEEN = 3
+#: Elements nested deeper hang their text on the one at this depth.
+DEPTH = 64
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style title textarea noscript iframe noembed noframes template xmp svg math".split())
@@ -94,6 +96,9 @@ class Page:
             self.nodes[parent][2] or tag in _NOISE_TAGS or tag == "header" and not inside
             or bool(names) and tag not in ("html", "body", "main") and bool(_NOISE_WORDS.search(names))
         )
+        if len(self._stack) > DEPTH:
+            self._stack.append((tag, parent))
+            return
         label = f"{tag}.{_DIGITS.sub('0', names)}" if names else tag
         node = self._child.get((parent, label))
         if node is None:
