@@ -9,6 +9,11 @@ from pyspark.sql import Column, functions as F
 UNITS_PER_AMOUNT = 10_000
 
 
+def known(value: Column) -> Column:
+    """The value, and null for not-a-number, which counts as missing."""
+    return F.when(~F.isnan(value), value)
+
+
 def money_units(amount: Column) -> Column:
     return F.round(amount * float(UNITS_PER_AMOUNT)).try_cast("bigint")
 

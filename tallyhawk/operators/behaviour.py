@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhawk.functions.clock import circular_hours, hour_within, micros
 from tallyhawk.functions.geo import haversine_km
-from tallyhawk.functions.numbers import flag, from_units, money_units
+from tallyhawk.functions.numbers import flag, from_units, known, money_units
 from tallyhawk.operators.history import HistorySpec, sample_deviation, scan_history
 from tallyhawk.operators.quantiles import grouped_quantiles
 from tallyhawk.operators.skew import lookup_join
@@ -101,21 +101,21 @@ def past_mean_amount() -> Column:
     """Mean of the earlier amounts. A missing amount still counts as a row, and a
     row without an amount has no mean to be compared with."""
     mean = from_units(F.col("h_units")) / F.col("h_rows")
-    return F.when(_has_history() & F.col(AMOUNT).isNotNull(), mean)
+    return F.when(_has_history() & known(F.col(AMOUNT)).isNotNull(), mean)
 
 
 def _amount_values(profile: Profile) -> list[dict[str, Column]]:
-    ratio = F.coalesce(F.try_divide(F.col(AMOUNT), F.col("v_mean")), F.lit(1.0))
+    ratio = F.coalesce(F.try_divide(known(F.col(AMOUNT)), F.col("v_mean")), F.lit(1.0))
     return [{"v_mean": past_mean_amount()}, {"v_ratio": ratio}]
 
 
 def _amount(profile: Profile) -> dict[str, Column]:
     mean, ratio = F.col("v_mean"), F.col("v_ratio")
-    deviation = F.when(_has_history(), F.col(AMOUNT) - mean).otherwise(F.lit(0.0))
+    deviation = F.when(_has_history(), known(F.col(AMOUNT)) - mean).otherwise(F.lit(0.0))
     large = flag((ratio >= profile.limits.large_ratio) & _has_history())
     if profile.name == "B":
         return {
-            "customer_hist_avg_amt": F.coalesce(mean, F.col(AMOUNT)),
+            "customer_hist_avg_amt": F.coalesce(mean, known(F.col(AMOUNT))),
             "customer_hist_std_amt": F.coalesce(sample_deviation("spent"), F.lit(0.0)),
             "amount_ratio_to_normal": ratio,
             "customer_relative_amount_deviation": deviation,
@@ -185,8 +185,8 @@ def _frequency(profile: Profile) -> dict[str, Column]:
 
 
 def _amount_needs(profile: Profile) -> HistorySpec:
-    moments = {"spent": F.col(AMOUNT)} if profile.name == "B" else {}
-    return HistorySpec(sums={"units": money_units(F.col(AMOUNT))}, moments=moments)
+    moments = {"spent": known(F.col(AMOUNT))} if profile.name == "B" else {}
+    return HistorySpec(sums={"units": money_units(known(F.col(AMOUNT)))}, moments=moments)
 
 
 def feature_groups(profile: Profile) -> dict[str, FeatureGroup]:
@@ -233,7 +233,7 @@ def add_behaviour(
             for step, values in zip(steps, defined[name].values(profile)):
                 step.update(values)
     if with_card_totals:
-        amount = F.col(AMOUNT)
+        amount = known(F.col(AMOUNT))
         spec = spec.merge(
             HistorySpec(totals={"all_rows": F.when(amount.isNotNull(), 1),
                                 "all_units": money_units(amount)})
@@ -266,10 +266,10 @@ def add_median_amounts(
     """Compare each amount with the median of its card."""
     joined = lookup_join(df, card_medians(df), CARD, F.col(TXN), policy)
     median = F.col("customer_median_amt")
-    ratio = F.coalesce(F.try_divide(F.col(AMOUNT), median), F.lit(1.0))
+    ratio = F.coalesce(F.try_divide(known(F.col(AMOUNT)), median), F.lit(1.0))
     return joined.withColumns(
         {
-            "amount_deviation": F.col(AMOUNT) - median,
+            "amount_deviation": known(F.col(AMOUNT)) - median,
             "amount_ratio_to_customer_median": ratio,
             "large_transaction_flag": flag(ratio >= profile.limits.large_ratio),
         }
@@ -280,9 +280,9 @@ def running_amounts(
     df: DataFrame, *, tie: Sequence[str] = (TXN,), policy: SkewPolicy | None = DEFAULT_SKEW
 ) -> DataFrame:
     """Running sum of amounts and running row number, the current row included."""
-    spec = HistorySpec(sums={"units": money_units(F.col(AMOUNT))})
+    spec = HistorySpec(sums={"units": money_units(known(F.col(AMOUNT)))})
     scanned = scan_history(df, spec, tie=tie, policy=policy)
-    own = F.coalesce(money_units(F.col(AMOUNT)), F.lit(0))
+    own = F.coalesce(money_units(known(F.col(AMOUNT))), F.lit(0))
     return scanned.withColumns(
         {
             "running_amt": F.when(F.col(CARD).isNotNull(), from_units(F.col("h_units") + own)),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhawk.functions.numbers import from_units, money_units
+from tallyhawk.functions.numbers import from_units, known, money_units
 from tallyhawk.operators.skew import lookup_join
 from tallyhawk.schema import AMOUNT, CARD, TXN
 from tallyhawk.settings import DEFAULT_SKEW, SkewPolicy
@@ -12,7 +12,7 @@ from tallyhawk.settings import DEFAULT_SKEW, SkewPolicy
 
 def card_stats(df: DataFrame, key: str = CARD, amount: str = AMOUNT) -> DataFrame:
     """Number and mean of amounts per card; rows without a card are left out."""
-    value = F.col(amount)
+    value = known(F.col(amount))
     return (
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
@@ -39,4 +39,4 @@ def add_customer_behaviour(
     The mean covers later rows too; it describes the card, not its past.
     """
     joined = lookup_join(df, card_stats(df, key, amount), key, F.col(row_id), policy)
-    return joined.withColumn("amt_vs_customer_avg", F.col(amount) - F.col("customer_avg_amt"))
+    return joined.withColumn("amt_vs_customer_avg", known(F.col(amount)) - F.col("customer_avg_amt"))

@@ -21,6 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhawk.functions.clock import micros
+from tallyhawk.functions.numbers import known
 from tallyhawk.operators.skew import hot_keys, mark_hot
 from tallyhawk.schema import AMOUNT, CARD, TIME, TXN
 from tallyhawk.settings import DEFAULT_SKEW, SkewPolicy
@@ -80,16 +81,18 @@ def scan_history(
     no history and belongs to nobody else's. ``policy=None`` states that no key
     is busy and leaves the slicing out of the plan.
     """
-    counted = F.col(AMOUNT).isNotNull() if counted is None else counted
-    events = _events(df, spec, key, time, tie, counted, policy)
-    scanned = _scan_slices(events, spec, tie, policy is not None)
-    if policy is not None:
+    counted = known(F.col(AMOUNT)).isNotNull() if counted is None else counted
+    busy = hot_keys(df, key, policy=policy) if policy is not None else None
+    sliced = busy is not None
+    events = _events(df, spec, key, time, tie, counted, policy, busy)
+    scanned = _scan_slices(events, spec, tie, sliced)
+    if sliced:
         carried = _carry(events.filter(F.col(_HOT)), spec, tie)
         scanned = scanned.join(carried, [_KEY, _SLICE], "left").filter(F.col(_KIND) == 0)
-    return scanned.select(*df.columns, *_combine(spec, policy is not None))
+    return scanned.select(*df.columns, *_combine(spec, sliced))
 
 
-def _events(df, spec, key, time, tie, counted, policy) -> DataFrame:
+def _events(df, spec, key, time, tie, counted, policy, busy) -> DataFrame:
     inputs = {f"_in_{n}": c for group in (spec.sums, spec.totals, spec.moments)
               for n, c in group.items()}
     if spec.previous:
@@ -101,13 +104,12 @@ def _events(df, spec, key, time, tie, counted, policy) -> DataFrame:
     ).withColumn(_KEY, F.when(F.col(_AT).isNotNull(), F.col(key)))
     # Rows outside every history share a null key; their hash keeps them apart.
     apart = -F.pmod(F.xxhash64(*tie), F.lit(_SPREAD))
-    if policy is None:
+    if busy is None:
         return staged.withColumns(
             {_SLICE: F.when(F.col(_KEY).isNull(), apart).otherwise(F.lit(0).cast("bigint")),
              _KIND: F.lit(0)}
         )
-    busy = hot_keys(df, key, policy=policy).withColumnRenamed(key, _KEY)
-    staged = mark_hot(staged, busy, _HOT)
+    staged = mark_hot(staged, busy.withColumnRenamed(key, _KEY), _HOT)
     widths = [seconds * 1_000_000 for seconds in spec.trailing.values()]
     if widths:
         kinds = F.when(
@@ -131,8 +133,8 @@ def _events(df, spec, key, time, tie, counted, policy) -> DataFrame:
     staged = staged.withColumn(
         _SLICE, F.when(F.col(_HOT), _start_of(policy.slice_seconds)).otherwise(F.lit(0))
     )
-    busy = hot_keys(staged.filter(F.col(_HOT)), _KEY, _SLICE, policy=policy)
-    staged = mark_hot(staged, busy, _FINE)
+    full = hot_keys(staged.filter(F.col(_HOT)), _KEY, _SLICE, policy=policy)
+    staged = staged.withColumn(_FINE, F.lit(False)) if full is None else mark_hot(staged, full, _FINE)
     return staged.withColumn(
         _SLICE,
         F.when(F.col(_KEY).isNull(), apart)
@@ -191,17 +193,17 @@ def _carry(events: DataFrame, spec: HistorySpec, tie) -> DataFrame:
     """One row per slice of a busy card: the totals of all its earlier slices."""
     parts = {"rows": F.count(F.when(F.col(_KIND) == 0, 1))}
     parts |= {n: F.sum(f"_in_{n}") for n in spec.sums}
-    for name in spec.moments:
-        value = F.col(f"_in_{name}")
-        parts[f"{name}_n"] = F.count(value)
-        parts[f"{name}_sum"] = F.sum(value)
-        parts[f"{name}_square"] = F.sum(value * value)
     if spec.trailing:
         parts["entered"] = F.count(_COUNTED)
         for position, name in enumerate(spec.trailing):
             parts[f"left_{name}"] = F.count(_left(position))
     per_slice = {f"_p_{n}": c for n, c in parts.items()}
     per_slice |= {f"_p_all_{n}": F.sum(f"_in_{n}") for n in spec.totals}
+    for name in spec.moments:
+        value = F.col(f"_in_{name}")
+        per_slice[f"_p_{name}_n"] = F.count(value)
+        per_slice[f"_p_{name}_mean"] = F.avg(value)
+        per_slice[f"_p_{name}_m2"] = F.var_pop(value) * F.count(value)
     if spec.previous:
         newest = F.struct(F.col(_AT).alias("at"), *tie, F.col("_in_prev").alias("row"))
         per_slice["_p_prev"] = F.max(F.when(F.col(_KIND) == 0, newest))
@@ -209,13 +211,39 @@ def _carry(events: DataFrame, spec: HistorySpec, tie) -> DataFrame:
 
     card = Window.partitionBy(_KEY)
     before = card.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    slices = _around_first_mean(slices, spec, card.orderBy(_SLICE))
     carried = [F.coalesce(F.sum(f"_p_{n}").over(before), F.lit(0)).alias(f"_c_{n}") for n in parts]
     carried += [F.sum(f"_p_all_{n}").over(card).alias(f"_c_{n}") for n in spec.totals]
+    for name in spec.moments:
+        carried.append(F.col(f"_p_{name}_base").alias(f"_c_{name}_base"))
+        carried += [
+            F.coalesce(F.sum(f"_p_{name}_{part}").over(before), F.lit(0)).alias(f"_c_{name}_{part}")
+            for part in ("n", "off", "square")
+        ]
     if spec.previous:
         carried.append(F.last("_p_prev", ignorenulls=True).over(before)["row"].alias("_c_prev"))
     return slices.select(_KEY, _SLICE, *carried)
 
 
+def _around_first_mean(slices: DataFrame, spec: HistorySpec, ordered) -> DataFrame:
+    """What to add up per slice so that means and squares of large, close values survive.
+
+    Values are taken as differences to the mean of the card's first slice with a value;
+    a slice's squares around that base are its own and n times the square of its mean's.
+    """
+    first = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    for name in spec.moments:
+        n, mean, m2 = (F.col(f"_p_{name}_{part}") for part in ("n", "mean", "m2"))
+        base = F.first(f"_p_{name}_mean", ignorenulls=True).over(first)
+        slices = slices.withColumn(f"_p_{name}_base", base)
+        off = F.coalesce(mean - F.col(f"_p_{name}_base"), F.lit(0.0))
+        slices = slices.withColumns({
+            f"_p_{name}_off": n * off,
+            f"_p_{name}_square": F.coalesce(m2, F.lit(0.0)) + n * off * off,
+        })
+    return slices
+
+
 def _combine(spec: HistorySpec, sliced: bool) -> list[Column]:
     """Join what a slice saw to what was carried into it."""
     known = F.col(_KEY).isNotNull()
@@ -256,14 +284,14 @@ def _combine_moments(name: str, known: Column, carried, sliced: bool) -> list[Co
     n, mean = n2, F.col(f"_s_{name}_mean")
     if sliced:
         n1 = carried(f"{name}_n")
-        total1 = carried(f"{name}_sum")
-        mean1 = F.coalesce(F.try_divide(total1, n1), F.lit(0.0))
-        spread1 = F.greatest(carried(f"{name}_square") - total1 * mean1, F.lit(0.0))
+        off1 = F.coalesce(F.try_divide(carried(f"{name}_off"), n1), F.lit(0.0))
+        mean1 = F.col(f"_c_{name}_base") + off1
+        spread1 = F.greatest(carried(f"{name}_square") - n1 * off1 * off1, F.lit(0.0))
         n = n1 + n2
-        between = (mean2 - mean1) * (mean2 - mean1)
-        between = F.coalesce(F.try_divide(between * n1 * n2, n), F.lit(0.0))
+        apart = F.when(n2 > 0, mean2 - mean1).otherwise(F.lit(0.0))
+        between = F.coalesce(F.try_divide(apart * apart * n1 * n2, n), F.lit(0.0))
         m2 = F.when(n1 > 0, spread1 + m2 + between).otherwise(m2)
-        mean = F.when(n1 > 0, F.try_divide(total1 + mean2 * n2, n)).otherwise(mean)
+        mean = F.when(n1 > 0, mean1 + F.coalesce(F.try_divide(apart * n2, n), F.lit(0.0))).otherwise(mean)
     return [
         F.when(known, n).otherwise(F.lit(0)).alias(f"h_{name}_n"),
         F.when(known, mean).alias(f"h_{name}_mean"),

@@ -57,12 +57,24 @@ def _sides() -> Column:
     return F.array(*[F.lit(s) for s in SIDES])
 
 
+def _number(offset: Column, side: Column) -> Column:
+    """Cell number along one axis; what lies off the grid belongs to its border cells."""
+    last = F.floor(SIDES[0] / side) - 1
+    return F.least(F.greatest(F.floor(offset / side), F.lit(0)), last)
+
+
 def _cell_x(lat: Column, side: Column) -> Column:
-    return F.floor((lat + 90.0) / side)
+    return _number(lat + 90.0, side)
 
 
 def _cell_y(long: Column, side: Column) -> Column:
-    return F.floor((long + 180.0) / side)
+    return _number(long + 180.0, side)
+
+
+def _has_place() -> Column:
+    """Both coordinates are finite numbers."""
+    finite = [F.abs(c) < float("inf") for c in _PLACE]  # also false for not-a-number
+    return F.coalesce(finite[0] & finite[1], F.lit(False))
 
 
 def _square(lat1: Column, long1: Column, lat2: Column, long2: Column) -> Column:
@@ -79,15 +91,18 @@ def _cells_of(points: DataFrame, lat: str, long: str, depth: int = FINEST) -> Da
     )
 
 
-def _outside(low: Column, value: Column, side: Column) -> Column:
-    """Distance from a value to the interval [low, low + side]."""
-    return F.greatest(low - value, value - low - side, F.lit(0.0))
+def _outside(number: Column, offset: Column, side: Column) -> Column:
+    """Distance from a value to a cell; border cells reach outwards without end."""
+    low = number * side
+    below = F.when(number > 0, low - offset).otherwise(F.lit(0.0))
+    above = F.when(low + side < SIDES[0], offset - low - side).otherwise(F.lit(0.0))
+    return F.greatest(below, above, F.lit(0.0))
 
 
 def _reach(side: Column) -> Column:
     """Squared distance from the row's place to the nearest edge of the cell."""
-    x = _outside(F.col("cx") * side - 90.0, F.col("lat"), side)
-    y = _outside(F.col("cy") * side - 180.0, F.col("long"), side)
+    x = _outside(F.col("cx"), F.col("lat") + 90.0, side)
+    y = _outside(F.col("cy"), F.col("long") + 180.0, side)
     return x * x + y * y
 
 
@@ -110,13 +125,13 @@ def nearest_zips(
     the smallest zip code wins.
     """
     places = (
-        known.filter(F.col("merch_lat").isNotNull() & F.col("merch_long").isNotNull())
+        known.filter(_has_place())
         .groupBy(*_PLACE)
         .agg(F.min("merch_zipcode").alias("zip"))
     )
     rows = (
         wanted.select(*_PLACE).distinct()
-        .filter(F.col("merch_lat").isNotNull() & F.col("merch_long").isNotNull())
+        .filter(_has_place())
         .select(F.col("merch_lat").alias("lat"), F.col("merch_long").alias("long"))
     )
     cells = cut_lineage(
@@ -140,8 +155,11 @@ def nearest_zips(
         settled = settled.unionByName(near.filter(~is_crowded))
 
     distance = _square(F.col("lat"), F.col("long"), F.col("merch_lat"), F.col("merch_long"))
+    # Ten levels at most. Coarse cells, which hold very many places, are seldom among them.
+    levels = [r["level"] for r in settled.select("level").distinct().collect()]
+    looked_at = _cells_of(places, *_PLACE, depth).filter(F.col("level").isin(levels))
     return (
-        _with_cells(settled.select(*_ROW, *_CELL), _cells_of(places, *_PLACE, depth), policy)
+        _with_cells(settled.select(*_ROW, *_CELL), looked_at, policy)
         .groupBy(*_ROW)
         .agg(F.min(F.struct(distance.alias("d"), "zip")).alias("best"))
         .select(F.col("lat").alias("merch_lat"), F.col("long").alias("merch_long"),
@@ -224,7 +242,7 @@ def _split_cells(crowded: DataFrame, cells: DataFrame, policy: SkewPolicy | None
 def fill_merchant_zip(df: DataFrame, policy: SkewPolicy | None = DEFAULT_SKEW) -> DataFrame:
     """Flag missing merchant zip codes and fill them from the nearest known place.
 
-    A row without coordinates, or a table without any known zip, stays unfilled.
+    A row without finite coordinates, or a table without any known zip, stays unfilled.
     """
     flagged = flag_missing_zip(df)
     known, missing = split_by_zip(flagged)

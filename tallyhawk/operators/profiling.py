@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhawk.functions.clock import hour_minute, year_gap
-from tallyhawk.functions.numbers import missing
+from tallyhawk.functions.numbers import known, missing
 from tallyhawk.operators.cleaning import duplicate_rows, numeric_columns
 from tallyhawk.operators.quantiles import grouped_quantiles
 from tallyhawk.schema import AMOUNT, TARGET, TIME
@@ -161,21 +161,21 @@ def describe(
     """Least, largest, mean and standard deviation per numeric column, rounded."""
     columns = numeric_columns(df).columns if columns is None else columns
     return _per_column(df, columns, {
-        "min": lambda c: F.round(F.min(c).cast("double"), digits),
-        "max": lambda c: F.round(F.max(c).cast("double"), digits),
-        "mean": lambda c: F.round(F.avg(c), digits),
-        "std": lambda c: F.round(F.stddev_samp(c), digits),
+        "min": lambda c: F.round(F.min(known(c)).cast("double"), digits),
+        "max": lambda c: F.round(F.max(known(c)).cast("double"), digits),
+        "mean": lambda c: F.round(F.avg(known(c)), digits),
+        "std": lambda c: F.round(F.stddev_samp(known(c)), digits),
     })
 
 
 def describe_full(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles per column."""
     stats = _per_column(df, columns, {
-        "count": F.count,
-        "mean": F.avg,
-        "std": F.stddev_samp,
-        "min": lambda c: F.min(c).cast("double"),
-        "max": lambda c: F.max(c).cast("double"),
+        "count": lambda c: F.count(known(c)),
+        "mean": lambda c: F.avg(known(c)),
+        "std": lambda c: F.stddev_samp(known(c)),
+        "min": lambda c: F.min(known(c)).cast("double"),
+        "max": lambda c: F.max(known(c)).cast("double"),
     })
     values = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).unpivot(
         [], list(columns), "column", "value"

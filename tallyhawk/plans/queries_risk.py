@@ -376,8 +376,7 @@ QUERIES: dict[str, Query] = {
         "risk_score")),
     "M11_alerts": Query(_alerts, round_sql(with_txn(
         """select trans_num, epoch_us(trans_date_trans_time) as us, risk_score, risk_category
-        from rated where risk_category in ('HIGH','CRITICAL')
-        order by trans_date_trans_time desc, trans_num limit 100""",
+        from rated where risk_category in ('HIGH','CRITICAL')""",
         H.HISTORY, _FOUND, _RISK), "risk_score")),
     "M12_card_history": Query(_card, with_raw(
         """select trans_num, cc_num, epoch_us(trans_date_trans_time) as trans_date_trans_time,

@@ -45,19 +45,19 @@ class SkewPolicy:
     """When and how the history of one busy card is cut into time slices.
 
     A card above ``hot_rows`` rows is cut into slices of ``slice_seconds``, and a
-    slice above ``hot_rows`` rows into slices of ``fine_seconds``. At most
-    ``max_hot`` cards and slices are cut, the busiest first, so the lists that get
-    broadcast have a fixed bound; a card past the bound holds less than
-    ``1 / max_hot`` of all rows. Cutting changes the plan, never a result.
+    slice above ``hot_rows`` rows into slices of ``fine_seconds``. Cutting changes the
+    plan, never a result. A list of up to ``broadcast_keys`` busy keys is broadcast, a
+    longer one is joined like any other table.
 
-    Lookups spread the rows of a busy key over ``salts`` partitions.
+    Lookups spread the rows of a busy key over as many partitions as it has times
+    ``hot_rows`` rows, and over ``salts`` at least.
     """
 
     hot_rows: int = 1_000_000
     slice_seconds: int = 60
     fine_seconds: int = 1
-    max_hot: int = 100_000
-    salts: int = 64
+    broadcast_keys: int = 10_000
+    salts: int = 8
 
 
 DEFAULT_SKEW = SkewPolicy()

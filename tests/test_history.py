@@ -15,7 +15,7 @@ from tests.helpers import assert_features, at, by_id, table
 
 SLICED = SkewPolicy(hot_rows=5, slice_seconds=600, fine_seconds=60)
 POLICIES = [None, SkewPolicy(), SLICED, SkewPolicy(hot_rows=0, slice_seconds=60, fine_seconds=7),
-            SkewPolicy(hot_rows=5, slice_seconds=36_000, fine_seconds=600, max_hot=2)]
+            SkewPolicy(hot_rows=5, slice_seconds=36_000, fine_seconds=600, broadcast_keys=2)]
 
 
 def random_rows(n, seed, hot_share=0.4):
@@ -57,14 +57,40 @@ def test_slicing_never_changes_a_result(spark, profile):
                     assert got == value, (name, column)
 
 
-def test_only_busy_cards_are_cut_and_the_list_is_bounded(spark):
+def test_only_busy_cards_are_cut(spark):
     from tallyhawk.operators.skew import hot_keys
 
     df = table(spark, [(f"a{i}", "a", at(i), 1.0) for i in range(9)]
                + [(f"b{i}", "b", at(i), 1.0) for i in range(6)] + [("c", "c", at(), 1.0)])
-    assert [r.cc_num for r in hot_keys(df, "cc_num", policy=SkewPolicy(hot_rows=5)).collect()] == ["a", "b"]
-    bounded = SkewPolicy(hot_rows=5, max_hot=1)
-    assert [r.cc_num for r in hot_keys(df, "cc_num", policy=bounded).collect()] == ["a"]
+    for bound in (1, 100):  # a longer list is a plan instead of a broadcast table
+        found = hot_keys(df, "cc_num", policy=SkewPolicy(hot_rows=5, broadcast_keys=bound))
+        assert sorted((r.cc_num, r["_rows"]) for r in found.collect()) == [("a", 9), ("b", 6)]
+    assert hot_keys(df, "cc_num", policy=SkewPolicy(hot_rows=9)) is None
+
+
+def test_close_large_amounts_keep_their_spread(spark):
+    from statistics import stdev
+
+    amounts = [50_000_000.0 + i % 3 / 100 for i in range(200)]
+    df = table(spark, [(f"{i:03}", "a", at(i * 40), v) for i, v in enumerate(amounts)])
+    for policy in POLICIES:
+        got = by_id(add_behaviour(df, PROFILE_B, policy=policy))
+        for i in (2, 100, 199):
+            want = stdev(amounts[:i])
+            assert got[f"{i:03}"]["customer_hist_std_amt"] == pytest.approx(want, rel=1e-3)
+
+
+def test_amounts_that_are_no_number_count_as_missing(spark):
+    rows = [("1", "a", at(0), 10.0), ("2", "a", at(60), float("nan")), ("3", "a", at(90), 20.0), ("4", "a", at(95), 30.0)]
+    gaps = [(i, c, t, None if v != v else v) for i, c, t, v in rows]
+    for policy in (None, SkewPolicy(hot_rows=0, slice_seconds=60)):
+        for profile in (PROFILE_A, PROFILE_B):
+            got, want = (
+                by_id(add_behaviour(table(spark, r), profile, with_card_totals=True, policy=policy)) for r in (rows, gaps)
+            )
+            for key in want:
+                left = {k: v for k, v in want[key].items() if k != "amt"}
+                assert {k: v for k, v in got[key].items() if k != "amt"} == left
 
 
 def test_first_row_of_a_card(spark):

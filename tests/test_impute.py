@@ -75,3 +75,22 @@ def test_sides_nest():
 def test_place_in_an_empty_region(spark):
     check(spark, [("a", -80.0, 170.0, None)] + [(f"k{i}", 40.0 + i / 1000, -74.0, f"{i:05d}")
                                                for i in range(200)])
+
+
+def test_places_off_the_globe_and_no_numbers(spark, monkeypatch):
+    monkeypatch.setattr(impute, "CROWDED", 3)
+    nan, inf = float("nan"), float("inf")
+
+    def place(r):
+        spots = [(40.0, -200.0), (-95.0, -100.0), (1e6, 3e7), (-4e5, 20.0), (421.9, 331.9), (422.1, 332.1)]
+        if r.random() < 0.5:
+            lat, long = r.choice(spots)
+            return lat + r.gauss(0, 5), long + r.gauss(0, 5)
+        return r.uniform(-89, 89), r.uniform(-179, 179)
+
+    rows = make(220, 5, place)
+    check(spark, rows)
+    odd = [("n1", nan, 1.0, None), ("n2", 1.0, nan, "99999"), ("n3", inf, 1.0, None)]
+    got = {r.trans_num: r.merch_zipcode for r in impute.fill_merchant_zip(spark.createDataFrame(rows + odd, SCHEMA)).collect()}
+    assert got["n1"] is None and got["n3"] is None and got["n2"] == "99999"
+    assert {k: v for k, v in got.items() if k[0] != "n"} == nearest(rows)
