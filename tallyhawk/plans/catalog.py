@@ -8,6 +8,7 @@ from tallyhawk.plans import (
     queries_history,
     queries_profile,
     queries_risk,
+    queries_stress,
 )
 from tallyhawk.plans.registry import Query
 
@@ -17,4 +18,5 @@ QUERIES: dict[str, Query] = {
     **queries_profile.QUERIES,
     **queries_risk.QUERIES,
     **queries_activity.QUERIES,
+    **queries_stress.QUERIES,
 }

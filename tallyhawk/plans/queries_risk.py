@@ -132,8 +132,7 @@ def _contributions(spark, sf_dir):
 
 def _raw_values(spark, sf_dir):
     rows = X.explanation_rows(_explained(spark, sf_dir), S.TXN)
-    whole = rows.filter(~F.col("feature").isin("amt", "amt_log", "distance_km"))
-    return whole.select(S.TXN, "feature", "feature_value")
+    return rows.select(S.TXN, "feature", "feature_value")
 
 
 def _top(column: str):
@@ -149,9 +148,9 @@ def _reasons(spark, sf_dir):
 
 
 def _labels(spark, sf_dir):
-    """Labels of the features in use, per transaction the strongest one."""
-    rows = X.explanation_rows(_explained(spark, sf_dir), S.TXN).filter("rank = 1")
-    return rows.groupBy("feature", "label").agg(F.count(F.lit(1)).alias("transactions"))
+    """Labels of all features in use, and how often each is the strongest one."""
+    rows = X.explanation_rows(_explained(spark, sf_dir), S.TXN)
+    return rows.groupBy("feature", "label").agg(F.count_if(F.col("rank") == 1).alias("transactions"))
 
 
 _ENCODED = "cast(dense_rank() over (order by category)-1 as int) as category_encoded"
@@ -176,6 +175,13 @@ _EXPLAINED = (
 )
 
 
+def _shown_sql(feature: str) -> str:
+    """Fractions with two digits, zeros at the end removed but one."""
+    if feature not in ("amt", "amt_log", "distance_km"):
+        return f"cast({feature} as varchar)"
+    return f"regexp_replace(cast(cast({feature} as decimal(38,2)) as varchar), '(\\.\\d+?)0+$', '\\1')"
+
+
 def _top_sql(sign: str) -> str:
     return round_sql(with_txn(
         f"""select trans_num, cast(row_number() over (partition by trans_num order by rank) as int)
@@ -340,8 +346,8 @@ QUERIES: dict[str, Query] = {
         "select trans_num, rank, feature, label, shap_value, impact, magnitude from ranked",
         *_EXPLAINED), "shap_value", "magnitude")),
     "X1_feature_values": Query(_raw_values, with_txn(" union all ".join(
-        f"select trans_num, '{c}' as feature, cast({c} as varchar) as feature_value from input"
-        for c in list(WEIGHTS)[3:]), _EXPLAINED[0])),
+        f"select trans_num, '{c}' as feature, {_shown_sql(c)} as feature_value from input"
+        for c in WEIGHTS), _EXPLAINED[0])),
     "X3_top_risk_drivers": Query(_top("top_risk_drivers"), _top_sql(">")),
     "X3_top_mitigating_factors": Query(_top("top_mitigating_factors"), _top_sql("<")),
     "X4_key_reasons": Query(_reasons, with_txn(
@@ -355,9 +361,11 @@ QUERIES: dict[str, Query] = {
         group by trans_num having max(shap_value)<=0""", *_EXPLAINED)),
     "X5_global_importance": Query(_fallback),
     "X6_feature_labels": Query(_labels, with_txn(
-        """select feature, label, count(*) as transactions from ranked where rank=1
+        """select feature, label, count(*) filter (where rank=1) as transactions from ranked
         group by feature, label""", *_EXPLAINED)),
-    "M1_stratified_split": Query(_split),
+    "M1_stratified_split": Query(_split, with_txn(
+        """select trans_num, is_fraud, case when cast('0x'||substr(md5('42|'||is_fraud||'|'||trans_num),1,8)
+          as bigint)%1000000<800000 then 'train' else 'test' end as part from txn""")),
     "M2_class_weights": Query(_weights, round_sql(with_raw(
         """select is_fraud, count(*) as transactions,
           (select count(*) from raw)*1e0/((select count(distinct is_fraud) from raw)*count(*))
