@@ -11,7 +11,7 @@ from tallyhawk.operators.encode import align, fit_levels, level_codes, one_hot,
 from tallyhawk.plans import history_sql as H
 from tallyhawk.plans.dataset import engineer_features, model_dataset
 from tallyhawk.plans.driver_view import CATEGORIES, raw_transactions, table, with_txn
-from tallyhawk.plans.registry import Query, round_sql, rounded
+from tallyhawk.plans.registry import Query, array_sql, round_sql, rounded, rounded_array
 from tallyhawk.settings import PROFILES
 
 _INPUTS = [S.TXN, S.CARD, S.TIME, S.AMOUNT, "merch_lat", "merch_long"]
@@ -178,8 +178,16 @@ def _aligned_sql() -> str:
 
 
 def _vector(spark, sf_dir):
-    df = model_dataset(clean_view(spark, sf_dir))
-    return vector_input(df).select(S.TXN, "features", S.TARGET)
+    """The vectors as plain arrays, so that another engine can hold them."""
+    from pyspark.ml.functions import vector_to_array
+
+    df = vector_input(model_dataset(clean_view(spark, sf_dir)))
+    return df.select(S.TXN, rounded_array(vector_to_array("features")).alias("features"), S.TARGET)
+
+
+_VECTOR_SQL = with_txn(
+    "select trans_num, " + array_sql([f'cast("{c}" as double)' for c in S.MODEL_FEATURES])
+    + " as features, is_fraud from model", *H.PARTS, H.MODEL)
 
 
 _A = {
@@ -279,7 +287,7 @@ QUERIES: dict[str, Query] = {
         f"select trans_num, {H.dummies_sql(_VIEW_LEVELS)} from txn")),
     "E3_P11_P12_engineered_features": Query(_engineered, _ENGINEERED_SQL),
     "E4_aligned_batch": Query(_aligned, _aligned_sql()),
-    "E5_feature_vectors": Query(_vector),
+    "E5_feature_vectors": Query(_vector, _VECTOR_SQL),
     "E6_level_codes": Query(_codes, with_txn(
         """select trans_num, cast(dense_rank() over (order by category)-1 as int) as category_encoded,
         cast(dense_rank() over (order by gender)-1 as int) as gender_encoded from txn""")),

@@ -13,7 +13,7 @@ from tallyhawk.plans import history_sql as H
 from tallyhawk.plans.dataset import model_dataset
 from tallyhawk.plans.driver_view import CATEGORIES, raw_transactions, with_raw, with_txn
 from tallyhawk.plans.queries_history import clean_view
-from tallyhawk.plans.registry import Query, round_sql, rounded
+from tallyhawk.plans.registry import Query, array_sql, round_sql, rounded, rounded_array
 
 # --- detectors --------------------------------------------------------------
 
@@ -282,7 +282,19 @@ def _scaled(spark, sf_dir):
 
     train, test = M.stratified_split(_vectors(spark, sf_dir))
     scaled = M.fit_scaler(train).transform(test)
-    return scaled.select(S.TXN, vector_to_array("scaled").alias("scaled"))
+    return scaled.select(S.TXN, rounded_array(vector_to_array("scaled")).alias("scaled"))
+
+
+_SPLIT = """cast('0x'||substr(md5('42|'||is_fraud||'|'||trans_num),1,8) as bigint)%1000000<800000"""
+_SCALED_SQL = with_txn(
+    "select trans_num, " + array_sql([
+        f'case when s{i}=0 then 0e0 else (cast("{c}" as double)-m{i})/s{i} end'
+        for i, c in enumerate(S.MODEL_FEATURES)
+    ]) + f" as scaled from model, learnt where not ({_SPLIT})", *H.PARTS, H.MODEL,
+    "learnt as (select " + ", ".join(
+        f'avg(cast("{c}" as double)) as m{i}, stddev_samp(cast("{c}" as double)) as s{i}'
+        for i, c in enumerate(S.MODEL_FEATURES)
+    ) + f" from model where {_SPLIT})")
 
 
 def _forest(spark, sf_dir):
@@ -364,8 +376,7 @@ QUERIES: dict[str, Query] = {
         """select feature, label, count(*) filter (where rank=1) as transactions from ranked
         group by feature, label""", *_EXPLAINED)),
     "M1_stratified_split": Query(_split, with_txn(
-        """select trans_num, is_fraud, case when cast('0x'||substr(md5('42|'||is_fraud||'|'||trans_num),1,8)
-          as bigint)%1000000<800000 then 'train' else 'test' end as part from txn""")),
+        f"select trans_num, is_fraud, case when {_SPLIT} then 'train' else 'test' end as part from txn")),
     "M2_class_weights": Query(_weights, round_sql(with_raw(
         """select is_fraud, count(*) as transactions,
           (select count(*) from raw)*1e0/((select count(distinct is_fraud) from raw)*count(*))
@@ -373,7 +384,7 @@ QUERIES: dict[str, Query] = {
           case when is_fraud=1 then (select count(*) from raw where is_fraud=0)*1e0/count(*)
             else 1e0 end as positive_weight from raw group by is_fraud"""),
         "balanced_weight", "positive_weight")),
-    "M3_standard_scaling": Query(_scaled),
+    "M3_standard_scaling": Query(_scaled, _SCALED_SQL),
     "M4_random_forest": Query(_forest),
     "M5_boosted_trees": Query(_boosted),
     "M6_model_comparison": Query(_comparison, _COMPARISON_SQL),
