@@ -39,6 +39,8 @@ _PLACE = np.uint64((1 << 24) - 1)
 #: A list of so many copies, 16 bytes each, may be broadcast.
 BROADCAST_ROWS = 1_000_000
 LAST = (1 << 63) - 1
+#: A place and the size of its span travel as one number.
+_SPAN = 1 << 16
 
 
 def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,53 +132,48 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = np.frombuffer(bits.value[0], dtype=np.uint8)
         for batch in batches:
-            found, spans = [], []
+            owners, hashes = (batch.column(k).to_numpy() for k in (0, 1))
             for data, bounds, row, start in _pieces(batch.column(2), length):
                 anchors = _anchors(data, bounds, length)
                 if anchors is None:
                     continue
-                name, _, first, last, text = (x[marked(shared, anchors[0])] for x in anchors)
+                name, anchor, first, last, text = (x[marked(shared, anchors[0])] for x in anchors)
                 total, down = _sums(data)
                 size = last - first + length
                 whole = mix((total[first + size] - total[first]) * down[first]) + size.astype(np.uint64)
-                found.append((name, row + text, first - bounds[text] + start, size, whole))
-                ends = np.cumsum(size)
-                spans.append(data[np.arange(size.sum()) + np.repeat(first - ends + size, size)])
-            if not found:
-                continue
-            name, text, at, size, whole = (np.concatenate(x) for x in zip(*found, strict=True))
-            owner, th = (batch.column(k).to_numpy()[text] for k in (0, 1))
-            # Of equal spans of a batch, the first alone can have a first window. The others
-            # go without their bytes, and under a name that spreads them.
-            order = np.lexsort((at, th, owner, name, whole))
-            again = np.zeros(len(order), dtype=bool)
-            again[1:] = (whole[order][1:] == whole[order][:-1]) & (name[order][1:] == name[order][:-1])
-            copy, same = np.zeros(len(order), dtype=bool), np.zeros(len(order), dtype=bool)
-            copy[order] = again
-            again[1:] &= (
-                (owner[order][1:] == owner[order][:-1]) & (th[order][1:] == th[order][:-1])
-                & (at[order][1:] == at[order][:-1])
-            )
-            same[order] = again  # a repeated row
-            starts = np.cumsum(size) - size
-            key = np.where(copy, mix(whole + at.astype(np.uint64) + th.view(np.uint64)), name)
-            kept = np.flatnonzero(~same)
-            sent = np.where(copy, 0, size)[kept]
-            ends = np.concatenate([[0], np.cumsum(sent)])
-            data = np.concatenate(spans)[
-                np.arange(ends[-1]) + np.repeat(starts[kept] - ends[:-1], sent)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(key[kept].view(np.int64)), pa.array(owner[kept]), pa.array(th[kept]),
-                    pa.array(at[kept]), pa.array(size[kept]),
-                    pa.Array.from_buffers(
-                        pa.binary(), len(kept),
-                        [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)],
-                    ),
-                ],
-                ["name", "ord", "th", "at", "size", "span"],
-            )
+                owner, th, at = owners[row + text], hashes[row + text], first - bounds[text] + start
+                # Of equal spans of a piece, the first alone can have a first window. The
+                # others go without their bytes, and under a name that spreads them.
+                order = np.lexsort((at, th, owner, name, whole))
+                again = np.zeros(len(order), dtype=bool)
+                again[1:] = (whole[order][1:] == whole[order][:-1]) & (name[order][1:] == name[order][:-1])
+                copy, same = np.zeros(len(order), dtype=bool), np.zeros(len(order), dtype=bool)
+                copy[order] = again
+                again[1:] &= (
+                    (owner[order][1:] == owner[order][:-1]) & (th[order][1:] == th[order][:-1])
+                    & (at[order][1:] == at[order][:-1])
+                )
+                same[order] = again  # a repeated row
+                key = np.where(copy, mix(whole + at.astype(np.uint64) + th.view(np.uint64)), name)
+                kept = np.flatnonzero(~same)
+                # The bytes of the name are the same in its whole group and stay behind.
+                sent = np.where(copy, 0, size - NAME)[kept]
+                ends = np.concatenate([[0], np.cumsum(sent)])
+                place = np.arange(ends[-1], dtype=np.int32)
+                place -= np.repeat(ends[:-1], sent).astype(np.int32)
+                place += np.where(place < np.repeat(anchor[kept] - first[kept], sent), 0, NAME).astype(np.int32)
+                place += np.repeat(first[kept], sent).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(key[kept].view(np.int64)), pa.array(owner[kept]), pa.array(th[kept]),
+                        pa.array(at[kept] * _SPAN + size[kept]), pa.array((anchor - first)[kept].astype(np.int16)),
+                        pa.Array.from_buffers(
+                            pa.binary(), len(kept),
+                            [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[place])],
+                        ),
+                    ],
+                    ["name", "ord", "th", "at", "left", "span"],
+                )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_name, seen, last = None, np.empty(0, np.uint64), None
@@ -184,9 +181,9 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
             bare = np.asarray(pa.compute.binary_length(batch.column(5))) == 0
             if bare.any():
                 rows = batch.filter(pa.array(bare))
-                at = rows.column(3).to_numpy()
+                at, size = np.divmod(rows.column(3).to_numpy(), _SPAN)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(1), rows.column(2), pa.array(at), pa.array(at + rows.column(4).to_numpy())],
+                    [rows.column(1), rows.column(2), pa.array(at), pa.array(at + size)],
                     ["ord", "th", "s", "e"],
                 )
             batch = batch.filter(pa.array(~bare))
@@ -200,16 +197,20 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
                 continue
             last = key[-1]
             names = batch.column(0).to_numpy()
-            at = batch.column(3).to_numpy()
+            at = batch.column(3).to_numpy() // _SPAN
             spans = batch.column(5)
             _, offsets, data = spans.buffers()
             offsets = np.frombuffer(offsets, np.int32)[spans.offset : spans.offset + len(spans) + 1]
             data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
             offsets = (offsets - offsets[0]).astype(np.int64)
-            sizes = np.diff(offsets) - length + 1
+            # A window is its bytes without the name, and where the name stands in it.
+            rest = length - NAME
+            sizes = np.diff(offsets) - rest + 1
             row = np.repeat(np.arange(len(sizes)), sizes)
             inside = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            windows = _hashes(data, length)[offsets[:-1][row] + inside]
+            before = (batch.column(4).to_numpy()[row] - inside).astype(np.uint64)
+            windows = _hashes(data, rest)[offsets[:-1][row] + inside]
+            windows = mix(windows + before * np.uint64(0x9E3779B97F4A7C15)) ^ names[row].view(np.uint64)
             distinct, first = np.unique(windows, return_index=True)
             later = np.ones(len(windows), dtype=bool)
             later[first] = False
@@ -235,7 +236,7 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
             )
 
     return (
-        docs.mapInArrow(sample, "name long, ord long, th long, at long, size long, span binary")
+        docs.mapInArrow(sample, "name long, ord long, th long, at long, left short, span binary")
         .repartition(2 * spread(docs), "name").sortWithinPartitions("name", "ord", "th", "at")
         .mapInArrow(compare, "ord long, th long, s long, e long")
     )
@@ -305,9 +306,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
     ranges = earlier_ranges(_keyed(docs.select("doc_id", "text")), length)
     keyed = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rep_ord"),
                         F.xxhash64("text").alias("rep_th"))
-    joined = keyed.join(
-        ranges, (F.col("rep_ord") == F.col("ord")) & (F.col("rep_th") == F.col("th")), "left"
-    ).select(*columns, "ranges")
+    same = (F.col("rep_ord") == F.col("ord")) & (F.col("rep_th") == F.col("th"))
+    if ranges.count() <= BROADCAST_ROWS:
+        # Texts that lose nothing need not be shuffled.
+        listed = F.broadcast(ranges.select("ord", "th"))
+        joined = keyed.join(listed, same, "left_semi").join(ranges.hint("merge"), same, "left").select(
+            *columns, "ranges"
+        ).unionByName(
+            keyed.join(listed, same, "left_anti").select(*columns, F.lit(None).cast(ranges.schema["ranges"].dataType).alias("ranges"))
+        )
+    else:
+        joined = keyed.join(ranges, same, "left").select(*columns, "ranges")
     at = columns.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
