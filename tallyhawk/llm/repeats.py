@@ -3,9 +3,9 @@
 The text of all documents has far more suffixes than a shuffle can carry, and a cover
 sample taken at fixed positions would put several of them into every window. So the
 sample is a synchronising set, the content-defined form of a difference cover: of the
-``NAME``-byte strings in a window of ``length`` bytes, the one of least hash is its
-anchor. Equal windows have equal anchors at equal offsets, wherever they stand, which is
-what a cover is for; one position in 35 is sampled.
+64-byte strings in a window of 100 bytes, the one of least hash is its anchor. Equal
+windows have equal anchors at equal offsets, wherever they stand, which is what a cover
+is for; one position in 19 is sampled.
 
 1. Name the sampled suffixes by hash of their first bytes; discard names that occur once.
 2. Sort what is left by name, document and position.
@@ -31,8 +31,6 @@ from tallyhawk.llm.common import cut_lineage, ship_package, spread
 from tallyhawk.llm.shingles import mix, powers
 
 LENGTH = 100
-#: Bytes that name a sampled suffix.
-NAME = 32
 #: Bytes scanned together; a longer document is scanned in pieces.
 PIECE = 4_000_000
 _PLACE = np.uint64((1 << 24) - 1)
@@ -43,6 +41,11 @@ LAST = (1 << 63) - 1
 _SPAN = 1 << 16
 
 
+def name_bytes(length: int) -> int:
+    """Bytes that name a sampled suffix: so many that few names repeat by chance."""
+    return max(1, length * 16 // 25)
+
+
 def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Running sums from which any substring's hash follows, and the factors for it."""
     up, down = powers(len(data) + 1)
@@ -76,15 +79,16 @@ def _anchors(data: np.ndarray, bounds: np.ndarray, length: int):
 
     ``bounds`` are the ends of the joined texts, from 0 on.
     """
-    names = _hashes(data, NAME)
+    width = name_bytes(length)
+    names = _hashes(data, width)
     starts = np.arange(max(0, len(data) - length + 1))
     if not len(starts):
         return None
     ends = np.repeat(bounds[1:], np.diff(bounds))
     names_end = ends[: len(names)]
     order = (names & ~_PLACE) | np.arange(len(names), dtype=np.uint64)
-    order[np.arange(len(names)) + NAME > names_end] = np.uint64(LAST * 2 + 1)
-    least = _least(order, length - NAME + 1)
+    order[np.arange(len(names)) + width > names_end] = np.uint64(LAST * 2 + 1)
+    least = _least(order, length - width + 1)
     starts = starts[starts + length <= ends[: len(starts)]]
     if not len(starts):
         return None
@@ -126,6 +130,7 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
             if found is not None:
                 yield found[0]
 
+    width = name_bytes(length)
     maps = common_bitmaps(docs, names_of, (1,))
     bits = docs.sparkSession.sparkContext.broadcast(maps)
 
@@ -157,11 +162,11 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
                 key = np.where(copy, mix(whole + at.astype(np.uint64) + th.view(np.uint64)), name)
                 kept = np.flatnonzero(~same)
                 # The bytes of the name are the same in its whole group and stay behind.
-                sent = np.where(copy, 0, size - NAME)[kept]
+                sent = np.where(copy, 0, size - width)[kept]
                 ends = np.concatenate([[0], np.cumsum(sent)])
                 place = np.arange(ends[-1], dtype=np.int32)
                 place -= np.repeat(ends[:-1], sent).astype(np.int32)
-                place += np.where(place < np.repeat(anchor[kept] - first[kept], sent), 0, NAME).astype(np.int32)
+                place += np.where(place < np.repeat(anchor[kept] - first[kept], sent), 0, width).astype(np.int32)
                 place += np.repeat(first[kept], sent).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -204,7 +209,7 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
             data = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
             offsets = (offsets - offsets[0]).astype(np.int64)
             # A window is its bytes without the name, and where the name stands in it.
-            rest = length - NAME
+            rest = length - width
             sizes = np.diff(offsets) - rest + 1
             row = np.repeat(np.arange(len(sizes)), sizes)
             inside = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
