@@ -68,8 +68,8 @@ def _csv_raw(spark, sf_dir):
                      .select(*S.RAW_SCHEMA.fieldNames()), path)
     back = tables.read_raw_csv(spark, path)
     return C.parse_times(back).select(
-        S.TXN, S.CARD, clock.micros(F.col(S.TIME)).alias("us"), "dob", S.AMOUNT, "zip",
-        "merch_zipcode", "category", S.TARGET)
+        clock.micros(F.col(S.TIME)).alias("us"),
+        *[F.col(f"`{c}`") for c in S.RAW_SCHEMA.fieldNames() if c != S.TIME])
 
 
 def _csv_codes(spark, sf_dir):
@@ -354,8 +354,9 @@ _PADDED = "case when length({0})<5 then lpad({0},5,'0') else {0} end"
 
 QUERIES: dict[str, Query] = {
     "IO1_IO4_raw_csv": Query(_csv_raw, with_raw(
-        """select trans_num, cc_num, epoch_us(trans_date_trans_time) as us, dob, amt,
-        cast(zip as varchar) as zip, merch_zipcode, category, is_fraud from raw""")),
+        "select epoch_us(trans_date_trans_time) as us, " + ", ".join(
+            'cast(zip as varchar) as zip' if c == "zip" else f'"{c}"'
+            for c in S.RAW_SCHEMA.fieldNames() if c != S.TIME) + " from raw")),
     "IO2_csv_text_codes": Query(_csv_codes, with_txn(
         "select trans_num, cc_num, zip, merch_zipcode, amt from txn")),
     "IO3_guarded_load": Query(_guarded, "select count(*) as rows from events"),
