@@ -3,9 +3,9 @@
 The text of all documents has far more suffixes than a shuffle can carry, and a cover
 sample taken at fixed positions would put several of them into every window. So the
 sample is a synchronising set, the content-defined form of a difference cover: of the
-64-byte strings in a window of 100 bytes, the one of least hash is its anchor. Equal
+32-byte strings in a window of 100 bytes, the one of least hash is its anchor. Equal
 windows have equal anchors at equal offsets, wherever they stand, which is what a cover
-is for; one position in 19 is sampled.
+is for; one position in 35 is sampled.
 
 1. Name the sampled suffixes by hash of their first bytes; discard names that occur once.
 2. Sort what is left by name, document and position.
@@ -16,8 +16,9 @@ is for; one position in 19 is sampled.
 
 from __future__ import annotations
 
-import hashlib
+import gc
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,18 +33,20 @@ from tallyhawk.llm.shingles import mix, powers
 
 LENGTH = 100
 #: Bytes scanned together; a longer document is scanned in pieces.
-PIECE = 4_000_000
+PIECE = 2_000_000
 _PLACE = np.uint64((1 << 24) - 1)
 #: A list of so many copies, 16 bytes each, may be broadcast.
 BROADCAST_ROWS = 1_000_000
+#: Rounds that the names are compared in.
+ROUNDS = 4
 LAST = (1 << 63) - 1
 #: A place and the size of its span travel as one number.
 _SPAN = 1 << 16
 
 
 def name_bytes(length: int) -> int:
-    """Bytes that name a sampled suffix: so many that few names repeat by chance."""
-    return max(1, length * 16 // 25)
+    """Bytes that name a sampled suffix."""
+    return max(1, length * 8 // 25)
 
 
 def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +125,12 @@ def _pieces(texts: pa.Array, length: int):
 
 
 def _cover(docs: DataFrame, length: int) -> DataFrame:
-    """(ord, th, s, e): byte ranges of ``docs(ord, th, text)`` that occur earlier."""
+    """(ord, th, s, e): byte ranges of ``docs(ord, th, text)`` that occur earlier.
+
+    The spans around repeated names are the bulk of what is shuffled. They go in ROUNDS
+    shares of the names, one after the other: a round scans the texts again, and its
+    shuffle is dropped before the next, so the disk holds one share at a time.
+    """
 
     def names_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for data, bounds, _, _ in _pieces(batch.column(2), length):
@@ -134,7 +142,7 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
     maps = common_bitmaps(docs, names_of, (1,))
     bits = docs.sparkSession.sparkContext.broadcast(maps)
 
-    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sample(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
         shared = np.frombuffer(bits.value[0], dtype=np.uint8)
         for batch in batches:
             owners, hashes = (batch.column(k).to_numpy() for k in (0, 1))
@@ -142,7 +150,8 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
                 anchors = _anchors(data, bounds, length)
                 if anchors is None:
                     continue
-                name, anchor, first, last, text = (x[marked(shared, anchors[0])] for x in anchors)
+                kept = marked(shared, anchors[0]) & (anchors[0] % np.uint64(ROUNDS) == share)
+                name, anchor, first, last, text = (x[kept] for x in anchors)
                 total, down = _sums(data)
                 size = last - first + length
                 whole = mix((total[first + size] - total[first]) * down[first]) + size.astype(np.uint64)
@@ -240,11 +249,21 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
                 ["ord", "th", "s", "e"],
             )
 
-    return (
-        docs.mapInArrow(sample, "name long, ord long, th long, at long, left short, span binary")
-        .repartition(2 * spread(docs), "name").sortWithinPartitions("name", "ord", "th", "at")
-        .mapInArrow(compare, "ord long, th long, s long, e long")
-    )
+    found = None
+    for share in range(ROUNDS):
+        part = cut_lineage(
+            docs.mapInArrow(
+                partial(sample, share=share),
+                "name long, ord long, th long, at long, left short, span binary",
+            )
+            .repartition(2 * spread(docs), "name").sortWithinPartitions("name", "ord", "th", "at")
+            .mapInArrow(compare, "ord long, th long, s long, e long")
+        )
+        found = part if found is None else found.unionByName(part)
+        # Spark deletes the files of a shuffle when the driver forgets its plan.
+        gc.collect()
+        docs.sparkSession.sparkContext._jvm.System.gc()
+    return found
 
 
 def earlier_ranges(docs: DataFrame, length: int = LENGTH) -> DataFrame:
