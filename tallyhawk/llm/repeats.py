@@ -39,6 +39,8 @@ _PLACE = np.uint64((1 << 24) - 1)
 BROADCAST_ROWS = 1_000_000
 #: Rounds that the names are compared in.
 ROUNDS = 4
+#: Texts that go to a Python worker at a time, so that workers stay small.
+BATCH_ROWS = 1_000
 LAST = (1 << 63) - 1
 #: A place and the size of its span travel as one number.
 _SPAN = 1 << 16
@@ -139,6 +141,16 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
                 yield found[0]
 
     width = name_bytes(length)
+    conf = docs.sparkSession.conf
+    rows = conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(min(BATCH_ROWS, int(rows) or BATCH_ROWS)))
+    try:
+        return _compare_rounds(docs, length, names_of, width)
+    finally:
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
+def _compare_rounds(docs: DataFrame, length: int, names_of, width: int) -> DataFrame:
     maps = common_bitmaps(docs, names_of, (1,))
     bits = docs.sparkSession.sparkContext.broadcast(maps)
 
