@@ -7,6 +7,10 @@ text is always the same. Nodes that never change are template; of the slots that
 wrapper keeps the subtree that carries the article. Trees of equal shape are added up
 before anything is aligned, so a host with a third of all pages costs what its shapes cost.
 
+Equal siblings are one node, and inside an article a node holds what varies and what does
+not. So blocks are aligned one by one as well: a block of a node that nearly all pages of
+the host with that node have is template, also inside an article.
+
 Each page is parsed once. Its blocks and the number of their node are stored, and the
 decisions of its host's wrapper pick from them.
 """
@@ -30,6 +34,10 @@ from tallyhawk.llm.common import cut_lineage, ship_package, spread
 FAN_IN = 64
 #: Pages a node is seen on before an unchanging text counts as template.
 SEEN = 3
+#: A block is template if so many different pages of its host have it in the same node,
+BLOCK_SEEN = 8
+#: and this share of the pages that have text in that node.
+BLOCK_SHARE = 0.9
 #: Elements nested deeper hang their text on the one at this depth.
 DEPTH = 64
 
@@ -166,6 +174,16 @@ class Page:
             if link:
                 self.links[self._stack[-1][1]] += len(text)
 
+    def marks(self) -> list[tuple[int, int]]:
+        """For each block a hash of its node's path, and one of path and text."""
+        paths: list[str] = []
+        for parent, label, _ in self.nodes:
+            paths.append(f"{paths[parent]}\n{label}" if paths else label)
+        return [
+            (xxhash.xxh64_intdigest(paths[node]) >> 1, xxhash.xxh64_intdigest(f"{paths[node]}\n\n{text}") >> 1)
+            for node, text in self.blocks
+        ]
+
     def stats(self) -> list[dict]:
         """Characters, link characters and a hash of each node's own text."""
         own: list[list[str]] = [[] for _ in self.nodes]
@@ -284,7 +302,7 @@ def kept_nodes(wrapper: list) -> set[int]:
             keep(child, whole)
 
     if named:
-        # Every text inside an article belongs to it, also one that all its copies share.
+        # Every node inside an article belongs to it; what its blocks share, _templates() finds.
         for node in named:
             keep(node, True)
         return kept
@@ -307,9 +325,13 @@ def _parsed(pages: DataFrame) -> DataFrame:
                 hosts.append(host_of(url))
                 shapes.append(json.dumps(page.nodes, ensure_ascii=False))
                 stats.append(page.stats())
-                blocks.append([{"node": node, "text": text} for node, text in page.blocks])
+                blocks.append([
+                    {"node": node, "text": text, "slot": slot, "mark": mark}
+                    for (node, text), (slot, mark) in zip(page.blocks, page.marks(), strict=True)
+                    if not page.nodes[node][2]  # noise is never kept
+                ])
             stat = pa.struct([("chars", pa.int64()), ("links", pa.int64()), ("h", pa.int64())])
-            block = pa.struct([("node", pa.int32()), ("text", pa.string())])
+            block = pa.struct([("node", pa.int32()), ("text", pa.string()), ("slot", pa.int64()), ("mark", pa.int64())])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(hosts, pa.string()), pa.array(shapes, pa.string()),
                  pa.array(stats, pa.list_(stat)), pa.array(blocks, pa.list_(block))],
@@ -318,7 +340,8 @@ def _parsed(pages: DataFrame) -> DataFrame:
 
     schema = (
         f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, host string, shape string, "
-        "stats array<struct<chars:long,links:long,h:long>>, blocks array<struct<node:int,text:string>>"
+        "stats array<struct<chars:long,links:long,h:long>>, "
+        "blocks array<struct<node:int,text:string,slot:long,mark:long>>"
     )
     rows = pages.select("page_id", F.col("url").cast("string"), F.col("html").cast("string"))
     return cut_lineage(rows.mapInArrow(scan, schema).withColumn("shape_id", F.xxhash64("shape")))
@@ -408,6 +431,31 @@ def _choices(shapes: DataFrame, wrappers: DataFrame) -> DataFrame:
     )
 
 
+def _templates(parsed: DataFrame) -> DataFrame:
+    """(host, template): the marks of the blocks that the pages of a host share.
+
+    Pages of a host with the same blocks count once: copies of a page say nothing about
+    what is template.
+    """
+    marks = F.array_distinct(F.transform("blocks", lambda b: F.struct(b["slot"].alias("slot"), b["mark"].alias("mark"))))
+    pages = parsed.select("host", marks.alias("marks")).groupBy(
+        "host", F.xxhash64("marks").alias("page")
+    ).agg(F.first("marks").alias("marks"))
+    slots = F.transform(
+        F.array_distinct(F.col("marks.slot")), lambda s: F.struct(s.alias("slot"), F.lit(None).cast("long").alias("mark"))
+    )
+    counted = cut_lineage(
+        pages.select("host", F.explode(F.concat("marks", slots)).alias("m"))
+        .groupBy("host", "m.slot", "m.mark").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= BLOCK_SEEN)
+    )
+    whole = counted.where("mark is null").select("host", "slot", F.col("n").alias("pages"))
+    return (
+        counted.where("mark is not null").join(whole, ["host", "slot"])
+        .where(F.col("n") >= BLOCK_SHARE * F.col("pages"))
+        .groupBy("host").agg(F.collect_list("mark").alias("template"))
+    )
+
+
 def _in_order(tree: list, kept: set[int]) -> list[bool]:
     """Kept or not by node number: nodes are numbered as they were found in the page."""
     found: dict[int, bool] = {}
@@ -425,7 +473,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages``.
 
     The text is that of the article without menus, headers, footers, sidebars, notices,
-    adverts, forms, scripts, styles, markup and comments: character references decoded,
+    adverts, forms, scripts, styles, markup, comments and blocks that at least BLOCK_SEEN
+    pages of the host share: character references decoded,
     white space inside a block as one space, blocks joined by a newline in page order.
     Null and empty html give an empty text; a page without url belongs to the host of
     the empty name. Repeated rows each give a row. Other columns are left out.
@@ -433,12 +482,17 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     ship_package(pages.sparkSession)
     parsed = _parsed(pages)
     shapes = _shapes(parsed)
-    choices = cut_lineage(_choices(shapes, _wrappers(shapes))).select(
-        F.col("host").alias("h"), F.col("shape_id").alias("s"), "keep"
-    )
+    choices = cut_lineage(
+        _choices(shapes, _wrappers(shapes)).join(_templates(parsed), "host", "left")
+    ).select(F.col("host").alias("h"), F.col("shape_id").alias("s"), "keep", "template")
     joined = parsed.join(choices, (F.col("host") == F.col("h")) & (F.col("shape_id") == F.col("s")))
     kept = F.filter("blocks", lambda b: F.element_at(F.col("keep"), b["node"] + 1))
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
-    return joined.select("page_id", "url", text.alias("text")).withColumn(
+    own = F.filter("kept", lambda b: ~F.array_contains(F.coalesce("template", F.array().cast("array<bigint>")), b["mark"]))
+    # A page of nothing but shared blocks keeps them.
+    own = F.when(F.col("template").isNull() | (F.size(own) == 0), F.col("kept")).otherwise(own)
+    text = F.array_join(F.transform(own, lambda b: b["text"]), "\n")
+    return joined.select("page_id", "url", kept.alias("kept"), "template").select(
+        "page_id", "url", text.alias("text")
+    ).withColumn(
         "n_chars", F.length("text").cast("long")
     )

@@ -44,6 +44,24 @@ def test_constant_nodes_are_template_where_no_element_says_article(spark):
         assert "Welcome to our site" not in lines and "Same box on every page" not in lines and "link one" not in lines
 
 
+def test_shared_blocks_inside_articles_are_template(spark):
+    def page(n, extra=""):
+        own = "".join(f"<p>Paragraph {k} of story {n}.</p>" for k in range(1 + n % 3))
+        return (
+            f"<article><h1>Story {n}</h1><p>This story is part of our spring offer.</p>{own}{extra}<div>Buy one, get two</div>"
+            f"<div><p>Told by reader {n}</p></div></article>"
+        )
+
+    pages = [(f"http://shared.example/{n}", page(n, "<p>Two pages say this.</p>" if n < 2 else "")) for n in range(12)]
+    # Copies of one page, and few pages, do not tell what is template.
+    pages += [("http://copies.example/", page(1))] * 12 + [(f"http://few.example/{n}", page(n)) for n in range(5)]
+    got = texts(spark, pages)
+    for n, text in enumerate(got[:12]):
+        own = [f"Paragraph {k} of story {n}." for k in range(1 + n % 3)] + ["Two pages say this."] * (n < 2)
+        assert text.split("\n") == [f"Story {n}", *own, f"Told by reader {n}"]
+    assert all("spring offer" in text and "Buy one" in text for text in got[12:])
+
+
 def test_nulls_odd_markup_repeats_and_empty_tables(spark):
     pages = [
         (None, None), ("x", ""), ("http://a.example", "plain text only"), ("http://a.example", "<p>unclosed <b>tags <i>here"),
