@@ -1,6 +1,7 @@
 """Licence notices in documents: a trained paragraph classifier, confirmed by templates.
 
-A paragraph is a line. Its word n-grams, one to three words with a cue word among them, are
+A paragraph is a line, or lines that a notice is wrapped over: those around a line with a cue
+word, up to the end of a sentence or to a blank line. Its word n-grams, one to three words with a cue word among them, are
 the sparse inputs of a multinomial logistic regression over licence families and a class
 for other uses of the words. Scores are scaled on held-out variants of the notices, and a
 prediction under the calibrated bound, or one that no notice of its family resembles, is
@@ -12,12 +13,14 @@ with its table of weights; every distinct paragraph is scored once, however ofte
 
 from __future__ import annotations
 
+import json
+import re
 from typing import NamedTuple
 
 import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyhawk.llm.common import cut_lineage
@@ -29,6 +32,9 @@ UNKNOWN = "unknown"
 CONFIRM = 0.8
 #: Share of held-out notices that the calibrated bound lets through.
 COVER = 0.99
+#: Words, as runs of letters and digits, looked at before and after a line with a cue word:
+#: twice the longest notice.
+AROUND = 2 * max(len(re.findall("[A-Za-z0-9]+", n)) for texts in TEMPLATES.values() for n in texts)
 _WORD = r"[a-z0-9][a-z0-9+\-]*(?:\.[a-z0-9]+)*"
 _PREFIXES = ["", "copyright 2021 example authors ", "this project is ", "note: ", "© the authors. "]
 
@@ -120,10 +126,13 @@ def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
     """
     spark = paragraphs.sparkSession
     # One row for each n-gram of the notices: the model's size does not grow with the data.
-    weights = spark.range(1).select(F.explode(F.array(*[
-        F.struct(F.lit(gram).alias("gram"), F.array(*[F.lit(float(w)) for w in row]).alias("w"))
+    listed = json.dumps([
+        {"gram": gram, "w": [float(w) for w in row]}
         for gram, row in zip(model.vocabulary, model.weights, strict=True)
-    ])).alias("r")).select("r.*")
+    ])
+    weights = spark.range(1).select(
+        F.explode(F.from_json(F.lit(listed), "array<struct<gram:string,w:array<double>>>")).alias("r")
+    ).select("r.*")
     tokens = paragraphs.select("text", words(F.col("text")).alias("tokens"))
     grams = tokens.select("text", F.explode_outer(ngrams(F.col("tokens"))).alias("gram"))
     k = len(model.families)
@@ -158,26 +167,137 @@ def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
     return compared.select("text", family.alias("family"), "chance", "likeness")
 
 
+def _nearest(lines: Column) -> Column:
+    """``lines`` up to the first one without a letter or digit."""
+    blank = F.array_position(F.transform(lines, lambda t: t.rlike("[A-Za-z0-9]")), False).cast("int")
+    return F.when(blank > 0, F.slice(lines, 1, F.greatest(blank - 1, F.lit(0)))).otherwise(lines)
+
+
+def _clip(text: Column) -> Column:
+    return F.regexp_extract(text, rf"(?s)^(?:[^A-Za-z0-9]*+[A-Za-z0-9]++){{0,{AROUND}}}[^A-Za-z0-9\n]*+", 0)
+
+
+def _cue_lines(text: Column) -> Column:
+    """The lines of ``text`` with a cue word: paragraph, line, and the text before and after it.
+
+    The text around a line ends at a blank line and has AROUND words. The text before is
+    reversed, character by character.
+    """
+    cue = r"(?i)(?<![a-z0-9])(?:" + "|".join(c.replace(".", r"\.") for c in CUES) + r")(?![a-z0-9])"
+
+    def numbered(lines: Column) -> Column:
+        found = F.filter(
+            F.transform(lines, lambda t, i: F.struct(i.alias("paragraph"), t.alias("line"))),
+            lambda p: p["line"].rlike(cue),
+        )
+
+        def with_context(p: Column) -> Column:
+            i = p["paragraph"]
+            first = F.greatest(i - AROUND, F.lit(0))
+            before = _nearest(F.transform(F.reverse(F.slice(lines, first + 1, i - first)), F.reverse))
+            after = _nearest(F.slice(lines, i + 2, AROUND))
+            return F.struct(
+                i.alias("paragraph"), p["line"].alias("line"),
+                F.when(F.size(before) > 0, _clip(F.array_join(before, "\n"))).alias("before"),
+                F.when(F.size(after) > 0, _clip(F.array_join(after, "\n"))).alias("after"),
+            )
+
+        return F.transform(found, with_context)
+
+    return F.transform(F.array(F.split(text, "\n")), numbered)[0]
+
+
+def _pieces(lines: DataFrame) -> DataFrame:
+    """(doc_id, th, paragraph, level, from, to, text): joined lines around unconfirmed ones.
+
+    Level 1 ends where a line ends a sentence, level 2 at blank lines only. A line that is a
+    notice by itself belongs to no piece.
+    """
+    near = Window.partitionBy("doc_id", "th").orderBy("paragraph")
+    sure = F.when(F.col("known"), F.col("paragraph"))
+    rows = lines.withColumn("low", F.max(sure).over(near.rowsBetween(Window.unboundedPreceding, -1))).withColumn(
+        "high", F.min(sure).over(near.rowsBetween(1, Window.unboundedFollowing))
+    ).where("not known and (before is not null or after is not null)")
+    none = F.array().cast("array<string>")
+    at = F.col("paragraph")
+
+    def sentence_end(line: Column) -> Column:
+        return line.rlike(r"[.!?][\"')\]]*\s*(?:\*/|-->)?\s*$")
+
+    def first_end(found: Column) -> Column:
+        return F.array_position(F.transform(found, sentence_end), True).cast("int")
+
+    before = F.coalesce(F.transform(F.split("before", "\n"), F.reverse), none)
+    after = F.coalesce(F.split("after", "\n"), none)
+    rows = rows.withColumn("b2", F.slice(before, 1, F.coalesce(at - F.col("low") - 1, F.size(before)))).withColumn(
+        "a2", F.slice(after, 1, F.coalesce(F.col("high") - at - 1, F.size(after)))
+    )
+    end_b, end_a = first_end(F.col("b2")), first_end(F.col("a2"))
+    rows = rows.withColumn(
+        "b1", F.when(end_b > 0, F.slice("b2", 1, F.greatest(end_b - 1, F.lit(0)))).otherwise(F.col("b2"))
+    ).withColumn(
+        "a1", F.when(sentence_end(F.col("line")), none).when(end_a > 0, F.slice("a2", 1, F.greatest(end_a, F.lit(0)))).otherwise(F.col("a2"))
+    )
+
+    def piece(level: int) -> Column:
+        b, a = F.col(f"b{level}"), F.col(f"a{level}")
+        text = F.array_join(F.concat(F.reverse(b), F.array("line"), a), "\n")
+        # A word with a hyphen may be cut behind it.
+        text = F.regexp_replace(F.regexp_replace(text, r"(?<=[A-Za-z])-\s*\n[^A-Za-z0-9]*", "-"), r"\s*\n\s*", " ")
+        return F.struct(
+            F.lit(level).alias("level"), (at - F.size(b)).alias("from"), (at + F.size(a)).alias("to"), text.alias("text")
+        )
+
+    both = F.array(piece(1), piece(2))
+    wanted = F.filter(both, lambda p: (p["to"] > p["from"]) & (
+        (p["level"] == 1) | (p["from"] < both[0]["from"]) | (p["to"] > both[0]["to"])
+    ))
+    return rows.select("doc_id", "th", "paragraph", F.explode(wanted).alias("p")).select("doc_id", "th", "paragraph", "p.*")
+
+
 def license_paragraphs(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Every licence notice of ``docs(doc_id, text)``.
 
-    doc_id, th (hash of the whole text), paragraph (line number from 0), text, family,
-    chance and likeness, for lines that are a licence or unknown. Null and empty texts have
-    no line with a notice. Repeated rows are listed once.
+    doc_id, th (hash of the whole text), paragraph (number from 0 of its first line), text,
+    family, chance and likeness, for lines that are a licence or unknown, and for notices
+    wrapped over lines of which none is one by itself; the text of those is joined, and
+    their lines are not listed as unknown. Null and empty texts have no line with a notice.
+    Repeated rows are listed once.
     """
     model = model or fit_licenses(docs.sparkSession)
-    cue = r"(?i)(?<![a-z0-9])(?:" + "|".join(c.replace(".", r"\.") for c in CUES) + r")(?![a-z0-9])"
-    lines = F.filter(
-        F.transform(F.split("text", "\n"), lambda t, i: F.struct(i.alias("paragraph"), t.alias("line"))),
-        lambda p: p["line"].rlike(cue),
-    )
     candidates = cut_lineage(
-        docs.select("doc_id", F.xxhash64("text").alias("th"), F.explode(lines).alias("p"))
+        docs.select("doc_id", F.xxhash64("text").alias("th"), F.explode(_cue_lines(F.col("text"))).alias("p"))
         .select("doc_id", "th", "p.*").distinct()
     )
     found = classify(candidates.select(F.col("line").alias("text")).distinct(), model)
     notices = cut_lineage(found.where(F.col("family") != NONE))
-    return candidates.join(notices, F.col("line") == F.col("text")).drop("line")
+    lines = cut_lineage(
+        candidates.join(notices, F.col("line") == F.col("text"), "left")
+        .withColumn("known", F.coalesce(F.col("family") != UNKNOWN, F.lit(False)))
+    )
+    pieces = cut_lineage(_pieces(lines))
+    joined = classify(pieces.select("text").distinct(), model).where(~F.col("family").isin(NONE, UNKNOWN))
+    same = Window.partitionBy("doc_id", "th", "family").orderBy("from", "to")
+    sentence = F.col("level") == 1
+    # What a sentence shows counts once, and not again for the paragraph around it.
+    wrapped = cut_lineage(
+        pieces.join(cut_lineage(joined), "text")
+        .withColumn("seen", F.max(F.when(sentence, F.col("to"))).over(same.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+        .withColumn("next", F.min(F.when(sentence, F.col("from"))).over(same.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+        .where(sentence | ~(F.coalesce(F.col("seen") >= F.col("from"), F.lit(False)) | F.coalesce(F.col("next") <= F.col("to"), F.lit(False))))
+    )
+    columns = ["doc_id", "th", "paragraph", "text", "family", "chance", "likeness"]
+    first = wrapped.withColumn(
+        "done", F.max("to").over(same.rowsBetween(Window.unboundedPreceding, -1))
+    ).where("done is null or from > done").drop("paragraph").withColumnRenamed("from", "paragraph")
+    explained = wrapped.select(
+        F.col("doc_id").alias("d"), F.col("th").alias("h"), F.col("paragraph").alias("at")
+    ).distinct()
+    own = (F.col("th") == F.col("h")) & (F.col("paragraph") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("d"))
+    listed = lines.where("family is not null").select(*columns)
+    return listed.where(F.col("family") != UNKNOWN).unionByName(
+        listed.where(F.col("family") == UNKNOWN).join(explained, own, "left_anti")
+    ).unionByName(first.select(*columns))
 
 
 def license_digest(docs: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from tallyhawk.llm.license_texts import OTHER, TEMPLATES
@@ -55,3 +57,37 @@ def test_documents_nulls_repeats_clashes_and_empty_tables(spark, model):
     ]
     assert all(0 <= r["chance"] <= 1 and 0 <= r["likeness"] <= 1 for r in listed)
     assert license_digest(docs.limit(0)).collect() == []
+
+
+def test_wrapped_notices(spark, model):
+    """A notice of each family, cut at 38 columns, in its own paragraph, a comment, or among text."""
+    rows, want = [], {}
+    for family, notices in TEMPLATES.items():
+        notice = max(notices, key=len)
+        cut = textwrap.wrap(notice, 38, break_on_hyphens=False)
+        assert len(cut) > 1 or len(notice) <= 38
+        for text in (
+            "\n".join(["Title of the thing", "", *cut, "", "And more."]),
+            "\n".join(["/*", *(f" * {line}" for line in cut), " */"]),
+            "\n".join(["It begins with a sentence.", *cut, "Then the river moved on."]),
+        ):
+            rows.append((len(rows), text, "s"))
+            want[len(rows) - 1] = family
+    got = {r["doc_id"]: r for r in license_digest(documents(spark, rows)).collect()}
+    assert {k: got[k]["families"] for k in want} == want
+    assert all(got[k]["n_notices"] == 1 for k in want)
+
+
+def test_wrapped_notices_side_by_side(spark, model):
+    mit = TEMPLATES["MIT"][-1].replace("person obtaining", "person\n# obtaining").replace("files, to", "files\n# (the Software), to")
+    gpl = "This program is free software: you can redistribute it and/or\n# modify it under the terms of the GNU General Public License as\n# published by the Free Software Foundation."
+    rows = [
+        (1, f"# SPDX-License-Identifier: ISC\n# {mit}\n# {gpl}\nimport os", "s"),
+        (2, "Terms:\nThis Source Code Form is subject to the terms of the Mozilla Public License, v.\n2.0. The end", "s"),
+        (None, f"{'words go by. ' * 400}\n{'x y z\n' * 500}{mit}\n{'x y z\n' * 500}", "s"),
+        (4, "She asked permission\nto leave the room\nwith her license.", "s"),
+    ]
+    listed = license_paragraphs(documents(spark, rows), model).collect()
+    known = sorted((r["doc_id"] or 0, r["family"]) for r in listed if r["family"] != UNKNOWN)
+    assert known == [(0, "MIT"), (1, "GPL"), (1, "ISC"), (1, "MIT"), (2, "MPL")]
+    assert sorted(r["paragraph"] for r in listed if r["doc_id"] == 1) == [0, 1, 4]
