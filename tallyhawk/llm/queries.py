@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tallyhawk.llm import fingerprints, jaccard, licenses, mixing, neighbours, packing, pages, quality, repeats, tokens
+from tallyhawk.llm import (
+    fingerprints,
+    infill,
+    jaccard,
+    licenses,
+    mixing,
+    neighbours,
+    packing,
+    pages,
+    quality,
+    repeats,
+    tokens,
+)
 from tallyhawk.llm.common import read
 from tallyhawk.plans.registry import Query
 
@@ -34,5 +46,6 @@ QUERIES: dict[str, Query] = {
     "op8_token_shards": Query(_over("documents", tokens.tokens_digest)),
     "op9_quality_scores": Query(_quality),
     "op10_pack_batches": Query(_over("documents", packing.pack_digest)),
+    "op11_infill": Query(_over("documents", infill.infill_digest), infill.INFILL_SQL),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 def test_the_stages_and_their_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_copies", "passages", "mix", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None and QUERIES["pipeline"].build is corpus_pipeline.run
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES if name != "pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES if name != "pipeline"}
 
 
 def test_stages_work_on_what_is_left(spark):
