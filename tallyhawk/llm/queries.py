@@ -12,6 +12,7 @@ from tallyhawk.llm import (
     infill,
     jaccard,
     licenses,
+    lines,
     mixing,
     neighbours,
     packing,
@@ -47,5 +48,6 @@ QUERIES: dict[str, Query] = {
     "op9_quality_scores": Query(_quality),
     "op10_pack_batches": Query(_over("documents", packing.pack_digest)),
     "op11_infill": Query(_over("documents", infill.infill_digest), infill.INFILL_SQL),
+    "op13_line_dedup": Query(_over("documents", lines.lines_digest), lines.LINES_SQL),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
