@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from tallyhawk.llm import (
+    conversations,
     fingerprints,
     infill,
     jaccard,
@@ -48,6 +49,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality_scores": Query(_quality),
     "op10_pack_batches": Query(_over("documents", packing.pack_digest)),
     "op11_infill": Query(_over("documents", infill.infill_digest), infill.INFILL_SQL),
+    "op12_repair_turns": Query(_over("conversations", conversations.repair_digest)),
     "op13_line_dedup": Query(_over("documents", lines.lines_digest), lines.LINES_SQL),
     "pipeline": Query(corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
