@@ -21,8 +21,10 @@ from tallyhawk.llm.common import cut_lineage
 SAMPLES = 16
 #: Neighbouring documents that are put in order together, about.
 RUN_ROWS = 2_000
-#: Cells that doc_ids are counted in.
-CELLS = 65_536
+#: doc_ids are counted in equal cells of each of so many bands, which hold about as many
+#: rows each.
+BANDS = 256
+CELLS = 256
 _BITS = 25
 
 
@@ -62,16 +64,19 @@ def _unit(hashed: Column, shift: int, bits: int = _BITS) -> Column:
     return (part.cast("double") + 0.5) / float(1 << bits)
 
 
-def _sample(one: Column, two: Column, weight: Column, term: Column) -> Column:
-    """A long whose minimum over the terms is the sample: ln a, and a tag of (term, t)."""
+def _sample(one: Column, two: Column, ln_weight: Column) -> Column:
+    """A long whose minimum over the terms is the sample: ln a, and a tag of (term, t).
+
+    The tag is made of bits that are drawn already. Null where there is no weight.
+    """
     r = -F.log(_unit(one, 0) * _unit(one, _BITS))
     c = -F.log(_unit(two, 0) * _unit(two, _BITS))
     spare = 64 - 2 * _BITS
     b = (_unit(one, 2 * _BITS, spare) + F.floor(_unit(two, 2 * _BITS, spare) * (1 << spare))) / float(1 << spare)
-    t = F.floor(F.log(weight.cast("double")) / r + b)
+    t = F.floor(ln_weight / r + b)
     ln_a = F.log(c) - r * (t - b) - r
     place = F.shiftleft(F.floor((ln_a + 256.0) * float(1 << 28)).cast("long"), 24)
-    return place + F.xxhash64(term, t).bitwiseAND(F.lit((1 << 24) - 1))
+    return place + one.bitwiseXOR(t).bitwiseAND(F.lit((1 << 24) - 1))
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: Column, samples: int = SAMPLES) -> DataFrame:
@@ -82,16 +87,14 @@ def fingerprints(texts: DataFrame, keys: list[str], text: Column, samples: int =
     samples. The text is read whole.
     """
     terms = texts.select(*keys, F.explode_outer(term_counts(text)).alias("t")).select(
-        *keys, F.col("t.term").alias("term"), F.col("t.weight").alias("weight")
+        *keys, F.col("t.term").alias("term"), F.log(F.col("t.weight").cast("double")).alias("ln_weight")
     )
     drawn = terms.withColumns(
         {f"a{k}": F.xxhash64("term", F.lit(2 * k)) for k in range(samples)}
         | {f"b{k}": F.xxhash64("term", F.lit(2 * k + 1)) for k in range(samples)}
     )
     least = drawn.groupBy(*keys).agg(*[
-        F.min(F.when(F.col("term").isNotNull(),
-                     _sample(F.col(f"a{k}"), F.col(f"b{k}"), F.col("weight"), F.col("term")))).alias(f"m{k}")
-        for k in range(samples)
+        F.min(_sample(F.col(f"a{k}"), F.col(f"b{k}"), F.col("ln_weight"))).alias(f"m{k}") for k in range(samples)
     ])
     return least.select(
         *keys, F.array(*[F.coalesce(f"m{k}", F.lit(0)).cast("long") for k in range(samples)]).alias("samples")
@@ -113,21 +116,30 @@ def printed(samples: Column) -> Column:
 def in_runs(docs: DataFrame, run_rows: int = RUN_ROWS) -> tuple[DataFrame, DataFrame]:
     """``docs(doc_id, text)`` with the run each row belongs to, and the runs' successors.
 
-    Runs are ranges of doc_id of about ``run_rows`` rows. They come from counts in at most
-    CELLS equal cells of the id range, null ids before all others. The second table has
-    (run, next_run), the last one followed by the first.
+    Runs are ranges of doc_id of about ``run_rows`` rows. They come from counts in CELLS
+    equal cells of each band between two quantiles of doc_id, null ids before all others; so
+    ids far from all others widen the cells of one band only. The second table has (run,
+    next_run), the last one followed by the first.
     """
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    low, high = ids.agg(F.min("doc_id"), F.max("doc_id")).first()
-    low, high = low or 0, high or 0
-    width = max(1, -(-(high - low + 1) // CELLS))
-    cell = F.coalesce(F.floor((F.col("doc_id").cast("double") - float(low)) / float(width)), F.lit(-1)).cast("long")
+    shares = [k / BANDS for k in range(1, BANDS)]
+    low, high, inner = ids.agg(F.min("doc_id"), F.max("doc_id"), F.percentile_approx("doc_id", shares)).first()
+    cell = F.lit(-1).cast("long")
+    if low is not None:
+        edges = sorted({low, *inner, high + 1})
+        band = F.size(F.filter(F.array(*[F.lit(e).cast("long") for e in edges[:-1]]), lambda e: e <= F.col("doc_id")))
+        start, width = (
+            F.element_at(F.array(*[F.lit(float(x)) for x in xs]), band)
+            for xs in (edges[:-1], [max(1, -(-(b - a) // CELLS)) for a, b in zip(edges, edges[1:], strict=False)])
+        )
+        place = F.floor((F.col("doc_id").cast("double") - start) / width)
+        cell = F.when(F.col("doc_id").isNull(), -1).otherwise(band * (CELLS + 2) + place).cast("long")
     counts = ids.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = cut_lineage(
         counts.select("cell", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / run_rows).alias("run"))
     )
-    # CELLS + 2 rows of 16 bytes at most.
+    # BANDS * (CELLS + 2) rows of 16 bytes at most.
     dealt = docs.select(F.col("doc_id").cast("long"), "text").withColumn("cell", cell).join(
         F.broadcast(cells), "cell"
     ).drop("cell")

@@ -76,6 +76,15 @@ def test_small_runs_meet_at_their_ends(spark, monkeypatch):
     assert {r["doc_id"]: (r["n_chars"], r["edited_sha256"]) for r in got} == brute(rows)
 
 
+def test_far_ids_do_not_crowd_a_run(spark):
+    ids = [*range(20_000), 10**15, -(10**15), 2**60]
+    docs = spark.createDataFrame([(i, f"t{i}") for i in ids] + [(None, "n")], "doc_id long, text string").repartition(8)
+    dealt, runs = module.in_runs(docs, 1000)
+    found = dealt.groupBy("run").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).orderBy("run").collect()
+    assert sum(r["n"] for r in found) == len(ids) + 1 and max(r["n"] for r in found) < 2500
+    assert all(a["high"] < b["low"] for a, b in zip(found, found[1:])) and runs.count() == len(found)
+
+
 def test_nulls_repeats_clashes_and_empty_tables(spark):
     rows = [(None, "a b c d", "s", 1), (3, "a b c d", "s", 2), (3, "a b c d", "s", 2), (3, "e f", "t", 3)]
     docs = documents(spark, rows, ", run int")
