@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhawk.llm.bitmaps import common_bitmaps, groups, marked
@@ -40,6 +40,8 @@ FEW = 32
 BLOCK = 512
 COLUMNS = 4096
 NO_ID = 1 << 62
+#: Numbers of rows that their doc_id does not tell apart begin here.
+OWN_ID = 1 << 61
 
 
 def _profile(docs: DataFrame, size: int, num: int, den: int, maps) -> DataFrame:
@@ -301,17 +303,42 @@ def jaccard_components(
 
 
 def keep_one(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with one row of each component, the one of the smallest doc_id.
+    """``docs`` with one row of each component of texts, the one of the smallest doc_id.
 
-    All columns stay as they are. Rows without shingles stay, a repeated row once; so do
-    rows without doc_id that are linked to none with one, once for each text.
+    All columns stay as they are. Rows are compared by their texts alone: rows of one doc_id
+    and unrelated texts all stay. Of a component the row of least (doc_id, missing last,
+    hash of the text) stays, of equal rows of these the one of the least hash of its other
+    columns, so reruns agree. Rows without shingles stay, equal ones once. doc_ids are below
+    2 ** 61. An empty table gives an empty table.
     """
-    found = jaccard_components(docs, size, num, den)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    orphans = F.col("doc_id").isNull()
-    with_id = docs.where(~orphans).join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return with_id.dropDuplicates(["doc_id"]).unionByName(
-        docs.where(orphans).dropDuplicates(["text"])
+    columns = docs.columns
+    th = F.xxhash64("text")
+    keys = docs.select("doc_id", th.alias("th"))
+    known = keys.where("doc_id is not null")
+    twice = known.groupBy("doc_id").agg(F.min("th").alias("low"), F.max("th").alias("high")).where("low <> high")
+    # Rows that their doc_id does not tell apart: numbers of their own, behind all doc_ids.
+    odd = cut_lineage(
+        known.join(twice.select("doc_id"), "doc_id", "left_semi").unionByName(keys.where("doc_id is null")).distinct()
+        .withColumn("own", F.monotonically_increasing_id() + F.lit(OWN_ID))
+    )
+    if odd.isEmpty():
+        named = docs.withColumn("own", F.col("doc_id").cast("long"))
+    else:
+        match = F.col("doc_id").eqNullSafe(F.col("odd_id")) & (th == F.col("th"))
+        named = docs.join(odd.withColumnRenamed("doc_id", "odd_id"), match, "left").select(
+            *columns, F.coalesce("own", F.col("doc_id").cast("long")).alias("own")
+        )
+    found = jaccard_components(named.select(F.col("own").alias("doc_id"), "text"), size, num, den).distinct()
+    of = found.select(F.col("doc_id").alias("own"), "component_id").join(odd, "own", "left")
+    first = F.struct(
+        (F.col("own") >= OWN_ID) & F.col("doc_id").isNull(), F.when(F.col("own") < OWN_ID, F.col("own")).otherwise(F.col("doc_id")), "th", "own"
+    )
+    stays = of.groupBy("component_id").agg(F.min_by("own", first).alias("own")).select("own")
+    others = [c for c in columns if c != "text"]
+    order = Window.partitionBy("own").orderBy(F.xxhash64(*others))
+    return (
+        named.join(stays, "own", "left_semi").withColumn("_place", F.row_number().over(order))
+        .where("_place = 1").select(*columns)
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,8 +12,11 @@ import pyarrow as pa
 CHUNK_BYTES = 2_000_000
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint64)
+_LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Byte strings up to this size are hashed as three numbers, longer ones by a digest.
+SHORT = 24
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _STEP = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)
 
@@ -55,6 +59,25 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of 64 bits of each ``data[start:stop]``.
+
+    All bytes and the size go through steps that mix every bit, not through a sum over
+    powers, under which texts made for it fall together.
+    """
+    size = stops - starts
+    room = np.concatenate([data, np.zeros(SHORT, np.uint8)])
+    cells = np.lib.stride_tricks.sliding_window_view(room, SHORT)[starts].view("<u8").astype(np.uint64, copy=False)
+    a, b, c = (cells[:, k] & _MASKS[np.clip(size - 8 * k, 0, 8)] for k in range(3))
+    n = size.astype(np.uint64)
+    one = mix(a + mix(b + mix(c + n * np.uint64(_BASE))))
+    two = mix(c ^ mix((b ^ mix((a + n) * np.uint64(_STEP[2]))) * np.uint64(_BASE)))
+    for k in np.flatnonzero(size > SHORT).tolist():
+        digest = hashlib.blake2b(data[starts[k] : stops[k]].tobytes(), digest_size=16).digest()
+        one[k], two[k] = int.from_bytes(digest[:8], "little"), int.from_bytes(digest[8:], "little")
+    return one, two
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of the joined texts, and the index of each text's first word."""
     n = len(data)
@@ -71,10 +94,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     cut = inner[inner > 0]
     ends[cut] = letter[cut - 1]
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends)
-    up, down = _Powers.upto(n + 1)
-    total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((_LOWER[data] + np.uint64(1)) * up[:n], out=total[1:])
-    return mix((total[stops] - total[starts]) * down[starts]), np.searchsorted(starts, offsets)
+    return span_hashes(_LOWER[data], starts, stops)[0], np.searchsorted(starts, offsets)
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray, size: int) -> Iterator[np.ndarray]:

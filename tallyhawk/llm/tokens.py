@@ -33,13 +33,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhawk.llm.common import cut_lineage, new_folder, ship_package, spread, uniform
-from tallyhawk.llm.shingles import joined_texts, mix, powers
+from tallyhawk.llm.shingles import joined_texts, span_hashes
 
 MAGIC = b"TKSHARD1"
 _HEAD = struct.Struct("<8s32sII")
 DICTIONARY = "dictionary"
 DICTIONARY_BYTES = 65_536
-#: Documents the dictionary is trained on, about, and bytes that it takes of each at most.
+#: Documents the dictionary is trained on, about, and bytes that it takes of each at most: of
+#: longer documents a slice from a place that the document's hash names.
 SAMPLE_DOCS = 2_000
 SAMPLE_BYTES = 16_384
 #: Documents of a shard, about.
@@ -53,7 +54,6 @@ _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LEADS = np.zeros(256, dtype=bool)
 _LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 _WIDE_SPACE = re.compile("[\x85\xa0  -     　][\t-\r ]")
-_SECOND = np.uint64(0xD1342543DE82EF95)
 
 
 class Encoder:
@@ -62,7 +62,8 @@ class Encoder:
     The byte-level pre-tokenizer never joins a character that is not white space with
     white space after it, so a text may be encoded in pieces that begin at white space.
     Texts where white space outside ASCII meets white space are encoded whole. Pieces are
-    known by two 64-bit hashes; texts whose pieces clash in one are encoded whole too.
+    known by two 64-bit hashes of their bytes; texts whose pieces clash in one are encoded
+    whole too.
     """
 
     def __init__(self, path: str) -> None:
@@ -130,14 +131,7 @@ class Encoder:
         begins[heads] = True
         starts = np.flatnonzero(begins)
         stops = np.append(starts[1:], n)
-        up, down = powers(n + 1)
-        total = np.zeros(n + 1, dtype=np.uint64)
-        wide = data.astype(np.uint64) + np.uint64(1)
-        np.cumsum(wide * up[:n], out=total[1:])
-        keys = mix((total[stops] - total[starts]) * down[starts])
-        # Another polynomial over the same powers: bytes enter squared and salted.
-        np.cumsum((wide * wide * _SECOND + wide) * up[:n], out=total[1:])
-        seconds = (total[stops] - total[starts]) * down[starts] + (stops - starts).astype(np.uint64)
+        keys, seconds = span_hashes(data, starts, stops)
         distinct, where, piece = np.unique(keys, return_index=True, return_inverse=True)
         listed = distinct.tolist()
         slots = np.array([self._slots.get(k, -1) for k in listed], dtype=np.int64)
@@ -187,6 +181,13 @@ def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> byte
         return b"".join(samples)[:size]
 
 
+def _slice(ids: np.ndarray, key: int) -> np.ndarray:
+    """SAMPLE_BYTES of a document for the dictionary, from a place that its hash names."""
+    size = SAMPLE_BYTES // ids.itemsize
+    start = key % (len(ids) - size + 1) if len(ids) > size else 0
+    return ids[start : start + size]
+
+
 def _dictionary(raw: bytes) -> zstandard.ZstdCompressionDict:
     return zstandard.ZstdCompressionDict(raw)
 
@@ -303,10 +304,13 @@ def write_shards(
     def serialize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(tokenizer)
         for batch in batches:
-            blobs = [ids[: SAMPLE_BYTES // 4].tobytes() for ids in code.encode(batch.column(1))]
+            blobs = [
+                _slice(ids, key).tobytes() for ids, key in zip(code.encode(batch.column(1)), batch.column(2).to_pylist(), strict=True)
+            ]
             yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary())], ["ids"])
 
-    picked = docs.where(uniform(F.coalesce("doc_id", F.xxhash64("text")), F.lit(29)) < SAMPLE_DOCS / max(n, 1))
+    key = F.xxhash64("doc_id", "text")
+    picked = docs.withColumn("key", key).where(uniform(F.coalesce("doc_id", F.xxhash64("text")), F.lit(29)) < SAMPLE_DOCS / max(n, 1))
     sample = sorted(r["ids"] for r in picked.mapInArrow(serialize, "ids binary").collect())
     dictionary = train_dictionary(sample)
     fs, name = _open(folder)

@@ -18,3 +18,9 @@ def as_dict(df, key="doc_id"):
         assert row[key] not in out
         out[row[key]] = row
     return out
+
+
+def morse_texts(size=1024):
+    """Two words whose sums over powers of any odd base agree modulo 2 ** 64."""
+    signs = [bin(k).count("1") % 2 for k in range(size)]
+    return ["".join("ab"[k] for k in signs), "".join("ba"[k] for k in signs)]

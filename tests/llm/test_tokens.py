@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 from tallyhawk.llm import tokens
 from tallyhawk.llm.common import new_folder
 from tallyhawk.llm.tokens import Encoder, ShardReader, read_shards, tokens_digest, train_dictionary, write_shards
-from tests.llm.helpers import documents
+from tests.llm.helpers import documents, morse_texts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
@@ -40,11 +40,26 @@ def test_pieces_give_what_the_library_gives(library, monkeypatch):
 
 
 def test_clashing_pieces_are_encoded_whole(library, monkeypatch):
-    monkeypatch.setattr(tokens, "mix", lambda x: x % np.uint64(7))
+    real = tokens.span_hashes
+    monkeypatch.setattr(tokens, "span_hashes", lambda *spans: (real(*spans)[0] % np.uint64(7), real(*spans)[1]))
     texts = ["some words here", "other words there", "some words"]
     assert [ids.tolist() for ids in Encoder(PATH).encode(pa.array(texts))] == [library(t) for t in texts]
 
 
+def test_pieces_made_to_collide(library):
+    texts = morse_texts()
+    for pair in (texts, [f"some {t} more" for t in texts], ["x" * 25 + "a", "x" * 25 + "b", "x" * 24, "x" * 23 + "\0"]):
+        assert [ids.tolist() for ids in Encoder(PATH).encode(pa.array(pair))] == [library(t) for t in pair]
+
+
+def test_the_dictionary_sees_all_parts_of_documents():
+    ids = np.arange(40_000, dtype="<u2")
+    starts = {int(tokens._slice(ids, key * 7919)[0]) for key in range(50)}
+    assert max(starts) > 20_000 and min(starts) < 10_000
+    assert all(tokens._slice(ids, key).nbytes == tokens.SAMPLE_BYTES for key in (0, 5, -3))
+    assert tokens._slice(ids[:10], 3).tolist() == list(range(10))
+
+
 def test_shards_are_read_back_as_written(spark, library):
     rnd = random.Random(2)
     rows = [(i * 2, " ".join(rnd.choice(["alpha", "beta", "gamma"]) for _ in range(rnd.randrange(80))), "s") for i in range(300)]
