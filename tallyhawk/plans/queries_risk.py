@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import factorial
+
 from pyspark.sql import functions as F
 
 from tallyhawk import schema as S
 from tallyhawk.functions.clock import age_years, is_weekend, micros
 from tallyhawk.functions.geo import haversine_km
-from tallyhawk.operators import detectors as D, explain as X, modeling as M, scoring
+from tallyhawk.operators import attribution as T, detectors as D, explain as X, modeling as M, scoring
 from tallyhawk.operators.encode import level_codes, vector_input
 from tallyhawk.plans import history_sql as H
 from tallyhawk.plans.dataset import model_dataset
@@ -105,7 +108,7 @@ WEIGHTS = {
 }
 
 
-def _explained_input(spark, sf_dir):
+def _explained_input(spark, sf_dir, keep=()):
     df = clean_view(spark, sf_dir)
     coded = level_codes(df, {"category": sorted(CATEGORIES), "gender": ["F", "M"]})
     ts = F.col(S.TIME)
@@ -116,7 +119,7 @@ def _explained_input(spark, sf_dir):
         F.hour(ts).alias("hour"), F.weekday(ts).alias("day_of_week"),
         is_weekend(ts).alias("is_weekend"), F.month(ts).alias("month"),
         age_years(ts, F.col("dob")).alias("age"), "city_pop",
-        "category_encoded", "gender_encoded",
+        "category_encoded", "gender_encoded", *keep,
     )
 
 
@@ -191,6 +194,82 @@ def _top_sql(sign: str) -> str:
         *_EXPLAINED), "shap_value")
 
 
+# The shapes of two trees; what their leaves give is learnt from the table.
+STATED_TREES = (
+    ("amt", 150.0, ("hour", 5.0, None, ("distance_km", 60.0, None, None)),
+     ("age", 40.0, ("hour", 20.0, None, None), None)),
+    ("distance_km", 80.0, ("amt", 60.0, None, ("amt", 120.0, None, None)),
+     ("hour", 12.0, ("amt", 200.0, None, None), None)),
+)
+STATED_FEATURES = ("amt", "hour", "distance_km", "age")
+
+
+def _stated_contributions(spark, sf_dir):
+    """Exact contributions to an ensemble of two trees, beside its base value and margin."""
+    df = _explained_input(spark, sf_dir, (S.TARGET,))
+    nodes = T.stated_nodes(df, STATED_TREES, STATED_FEATURES, S.TARGET)
+    found = T.add_attributions(df, nodes, STATED_FEATURES)
+    return rounded(found.select(
+        S.TXN, "base_value", "margin",
+        *[F.col("attributions")[i].alias(f"{c}_contribution") for i, c in enumerate(STATED_FEATURES)]))
+
+
+def _stated_sql() -> str:
+    """The same from the definition: the mean over all orders in which features become known."""
+    counts, cases, values = [], [], []
+
+    def leaf_case(tree, number, path="true"):
+        if tree is None:
+            name = f"{number}_{len([c for c in counts if c.startswith(f'count(*) filter (where t{number}')])}"
+            leaf = name.split("_")[1]
+            counts.append(f"count(*) filter (where t{number}={leaf}) as n{name}, "
+                          f"coalesce(avg(is_fraud) filter (where t{number}={leaf}), 0e0) as y{name}")
+            return leaf, [name]
+        feature, threshold, left, right = tree
+        low, low_names = leaf_case(left, number)
+        high, high_names = leaf_case(right, number)
+        return f"case when {feature}<={threshold} then {low} else {high} end", low_names + high_names
+
+    def value(tree, names, known):
+        if tree is None:
+            return f"y{names[0]}", names[1:], [names[0]]
+        feature, threshold, left, right = tree
+        low, rest, below = value(left, names, known)
+        high, rest, above = value(right, rest, known)
+        if feature in known:
+            return f"case when {feature}<={threshold} then {low} else {high} end", rest, below + above
+        n_low, n_high = (" + ".join(f"n{x}" for x in side) for side in (below, above))
+        return f"coalesce((({n_low})*({low})+({n_high})*({high}))/nullif({n_low}+{n_high},0),0e0)", rest, below + above
+
+    def subset(known):
+        return "".join(str(int(f in known)) for f in STATED_FEATURES)
+
+    for number, tree in enumerate(STATED_TREES):
+        case, names = leaf_case(tree, number)
+        cases.append(f"{case} as t{number}")
+        for size in range(len(STATED_FEATURES) + 1):
+            for known in combinations(STATED_FEATURES, size):
+                values.append(f"{value(tree, names, known)[0]} as v{number}_{subset(known)}")
+    shares = []
+    for feature in STATED_FEATURES:
+        others = [f for f in STATED_FEATURES if f != feature]
+        terms = [
+            f"{factorial(size) * factorial(len(others) - size)}e0/{factorial(len(others) + 1)}"
+            f"*(v{t}_{subset((*known, feature))}-v{t}_{subset(known)})"
+            for t in range(len(STATED_TREES)) for size in range(len(others) + 1) for known in combinations(others, size)
+        ]
+        shares.append(f"({' + '.join(terms)})/{len(STATED_TREES)} as {feature}_contribution")
+    mean = [f"({' + '.join(f'v{t}_{bits}' for t in range(len(STATED_TREES)))})/{len(STATED_TREES)} as {name}"
+            for bits, name in (("0" * len(STATED_FEATURES), "base_value"), ("1" * len(STATED_FEATURES), "margin"))]
+    labelled = _EXPLAINED[0].replace("select trans_num,", "select trans_num, is_fraud,", 1)
+    return round_sql(with_txn(
+        f"select trans_num, {', '.join(mean + shares)} from worth", labelled,
+        f"placed as (select *, {', '.join(cases)} from input)",
+        f"leaves as (select {', '.join(counts)} from placed)",
+        f"worth as (select trans_num, {', '.join(values)} from placed, leaves)",
+    ), "base_value", "margin", *[f"{c}_contribution" for c in STATED_FEATURES])
+
+
 # --- scores -----------------------------------------------------------------
 
 
@@ -270,7 +349,7 @@ def _vectors(spark, sf_dir):
 
 # Both models at their stated size. Training is the costly part and the same for all
 # queries on the same tables, so a session trains each model once.
-_TRAINED: dict[tuple[str, str, str], tuple] = {}
+_TRAINED: dict[tuple, object] = {}
 _ROWS_PER_PARTITION = 20_000
 _ESTIMATORS = {
     # Hundreds of rounds make a long lineage; it is cut in the shared folder.
@@ -279,16 +358,22 @@ _ESTIMATORS = {
 }
 
 
+def _key(spark, sf_dir, what: str) -> tuple:
+    """Other files mean other models, also under the same path."""
+    files = spark.read.parquet(f"{sf_dir}/events.parquet").inputFiles()
+    return spark.sparkContext.applicationId, tuple(sorted(files)), what
+
+
 def _parts(spark, sf_dir):
     """Training and test rows, stored once for the many passes of the training."""
-    key = (spark.sparkContext.applicationId, sf_dir, "parts")
+    key = _key(spark, sf_dir, "parts")
     if key not in _TRAINED:
         _TRAINED[key] = M.stratified_split(cut_lineage(_vectors(spark, sf_dir)))
     return _TRAINED[key]
 
 
 def _model(spark, sf_dir, name):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = _key(spark, sf_dir, name)
     if key not in _TRAINED:
         train = _parts(spark, sf_dir)[0]
         # A round is a handful of jobs, so small tables go into few partitions.
@@ -344,19 +429,48 @@ def _comparison(spark, sf_dir):
     return rounded(scoring.model_comparison(boosted.unionByName(forest)))
 
 
+def _explained_rows(spark, sf_dir, name):
+    """Every transaction with its score by a trained model and the exact explanation of it."""
+    key = _key(spark, sf_dir, "dataset")
+    if key not in _TRAINED:
+        _TRAINED[key] = cut_lineage(model_dataset(clean_view(spark, sf_dir)))
+    model = _model(spark, sf_dir, name)
+    rows = vector_input(_TRAINED[key])
+    scored = M.score(model, rows, name, keep=(S.TXN, S.TARGET, *[f"`{c}`" for c in S.MODEL_FEATURES]))
+    found = T.add_attributions(scored, T.node_table(model, spark), S.MODEL_FEATURES)
+    # At most one row a feature.
+    weights = [(r["feature"], r["importance"]) for r in M.importances(model, spark).collect()]
+    return T.add_explanation_record(found, S.MODEL_FEATURES, name, weights)
+
+
+def _trained_explanations(spark, sf_dir):
+    """Both trained models explained on every transaction; ``gap`` is what does not add up."""
+    def shown(name):
+        total = F.aggregate("attributions", F.lit(0.0), lambda a, v: a + v)
+        e = F.col("explanation")
+        return _explained_rows(spark, sf_dir, name).select(
+            S.TXN, e["model_name"].alias("model_name"), e["available"].alias("available"),
+            e["base_value"].alias("base_value"), "margin",
+            (F.round(F.col("base_value") + total - F.col("margin"), 6) + 0.0).alias("gap"),
+            e["top_risk_drivers"]["feature"].alias("risk_drivers"),
+            e["top_mitigating_factors"]["feature"].alias("mitigating_factors"), e["key_reasons"].alias("key_reasons"))
+    return rounded(shown("xgboost").unionByName(shown("random_forest")))
+
+
 def _batch_scores(spark, sf_dir):
-    """Each test transaction scored by both models and its behaviour, with the reasons.
+    """Every transaction scored by both models and its behaviour, with the explanation.
 
     One record per transaction and model: the contract of scoring one transaction, for all.
     """
-    boosted, forest = (_test_scores(spark, sf_dir, n) for n in _ESTIMATORS)
-    scored = boosted.unionByName(forest).withColumn("model_score", F.col("probability") * 100)
+    def scored(name):
+        return _explained_rows(spark, sf_dir, name).select(
+            S.TXN, S.TARGET, "model_name", "probability", "prediction", "explanation")
+
     found = D.detect(_detector_input(spark, sf_dir)).select(
-        S.TXN, "behaviour_score", "behaviour_flags", "behaviour_reasons")
-    explained = _explained(spark, sf_dir).select(
-        S.TXN, F.col("top_risk_drivers.feature").alias("risk_drivers"), "key_reasons")
-    records = scored.join(found, S.TXN).join(explained, S.TXN)
-    return scoring.add_risk(records, "model_score", "behaviour_score")
+        S.TXN, F.struct("behaviour_score", "behaviour_flags", "behaviour_reasons").alias("behavioural_analysis"))
+    records = scored("xgboost").unionByName(scored("random_forest")).withColumn(
+        "model_score", F.col("probability") * 100).join(found, S.TXN)
+    return scoring.add_risk(records, "model_score", "behavioural_analysis.behaviour_score")
 
 
 QUERIES: dict[str, Query] = {
@@ -389,6 +503,8 @@ QUERIES: dict[str, Query] = {
     "X1_feature_values": Query(_raw_values, with_txn(" union all ".join(
         f"select trans_num, '{c}' as feature, {_shown_sql(c)} as feature_value from input"
         for c in WEIGHTS), _EXPLAINED[0])),
+    "X7_tree_contributions": Query(_stated_contributions, _stated_sql()),
+    "X7_trained_explanations": Query(_trained_explanations),
     "X3_top_risk_drivers": Query(_top("top_risk_drivers"), _top_sql(">")),
     "X3_top_mitigating_factors": Query(_top("top_mitigating_factors"), _top_sql("<")),
     "X4_key_reasons": Query(_reasons, with_txn(
