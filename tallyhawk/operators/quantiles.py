@@ -1,33 +1,28 @@
 """Exact quantiles with linear interpolation, for groups of any size.
 
 ``percentile`` keeps every distinct value of a group in the memory of one task.
-Here equal values are counted first and the counts are added up per narrow value
-range. Running totals over the ranges tell which range holds a wanted rank, and
-only the values of that range are looked at one by one.
+Here equal values are counted first and dealt into stretches of the sorted order
+by a range shuffle, so that a stretch holds a bounded number of distinct values
+however close together they lie. Counts per stretch tell which one holds a wanted
+rank, and only the values of that stretch are looked at one by one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-# Ranges per power of two. Data that spans twenty powers of two has about a
-# million ranges per group at most, however many rows it has.
-STEPS = 65_536
-_SHIFT = 1_200
-
-
-def _range_of(value: Column) -> Column:
-    """Number of a value's range; grows with the value, over all finite doubles."""
-    size = F.floor((F.log2(F.abs(value)) + _SHIFT) * STEPS)
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("bigint"))
+from tallyhawk.operators.running import STRETCH, in_stretches, totals_before
 
 
 def grouped_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float]
+    df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], rows: int = STRETCH
 ) -> DataFrame:
-    """Rows ``keys, prob, quantile``. Null and NaN values and null keys are left out."""
+    """Rows ``keys, prob, quantile``. Null and NaN values and null keys are left out.
+
+    A task sorts about ``rows`` distinct values at most.
+    """
     number = F.col(value).cast("double")
     usable = number.isNotNull() & ~F.isnan(number)
     for key in keys:
@@ -36,14 +31,14 @@ def grouped_quantiles(
         df.filter(usable)
         .groupBy(*keys, number.alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_range", _range_of(F.col("_v")))
     )
-    holding = _holding_ranges(counted, keys, probs)
-    # Ranks count from 0 within the range that holds them.
+    placed = in_stretches(counted, [*[F.col(k) for k in keys], F.col("_v")], rows)
+    holding = _holding_stretches(placed, keys, probs)
+    # Ranks count from 0 within the stretch that holds them.
     order = Window.partitionBy(*keys, "prob", "_side").orderBy("_v")
     upto = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))
     found = (
-        counted.join(holding, [*keys, "_range"])
+        placed.join(holding, [*keys, "_part"])
         .withColumn("_upto", upto)
         .filter((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
     )
@@ -51,30 +46,30 @@ def grouped_quantiles(
     high = F.max(F.when(F.col("_side") == 1, F.col("_v")))
     return (
         found.groupBy(*keys, "prob")
-        .agg(low.alias("_low"), high.alias("_high"), F.max("_part").alias("_part"))
+        .agg(low.alias("_low"), high.alias("_high"), F.max("_share").alias("_share"))
         .select(*keys, "prob",
-                (F.col("_low") + F.col("_part") * (F.col("_high") - F.col("_low"))).alias("quantile"))
+                (F.col("_low") + F.col("_share") * (F.col("_high") - F.col("_low"))).alias("quantile"))
     )
 
 
-def _holding_ranges(counted: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """The ranges that hold the two ranks around each wanted position."""
-    ranges = counted.groupBy(*keys, "_range").agg(F.sum("_n").alias("_in"))
-    group = Window.partitionBy(*keys)
-    before = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    placed = ranges.withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0)))
-    placed = placed.withColumn("_total", F.sum("_in").over(group))
+def _holding_stretches(placed: DataFrame, keys: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """The stretches that hold the two ranks around each wanted position."""
+    inside = placed.groupBy("_part", *keys).agg(F.sum("_n").alias("_in"))
+    # One row per stretch and group from here on.
+    known = inside.join(totals_before(placed, keys, ["_n"]), ["_part", *keys]).withColumn(
+        "_total", F.sum("_in").over(Window.partitionBy(*keys))
+    )
     wanted = []
     for prob in probs:
         position = (F.col("_total") - 1) * float(prob)
         for side, rank in enumerate((F.floor(position), F.ceil(position))):
             wanted.append(F.struct(
                 F.lit(float(prob)).alias("prob"), F.lit(side).alias("_side"),
-                (position - F.floor(position)).alias("_part"),
-                (rank - F.col("_before")).alias("_rank"),
+                (position - F.floor(position)).alias("_share"),
+                (rank - F.col("_n_before")).alias("_rank"),
             ))
-    inside = F.filter(F.array(*wanted),
-                      lambda w: (w["_rank"] >= 0) & (w["_rank"] < F.col("_in")))
-    return placed.select(*keys, "_range", F.explode(inside).alias("_w")).select(
-        *keys, "_range", "_w.*"
+    here = F.filter(F.array(*wanted),
+                    lambda w: (w["_rank"] >= 0) & (w["_rank"] < F.col("_in")))
+    return known.select(*keys, "_part", F.explode(here).alias("_w")).select(
+        *keys, "_part", "_w.*"
     )

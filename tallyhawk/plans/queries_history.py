@@ -8,6 +8,7 @@ from tallyhawk import schema as S
 from tallyhawk.operators import behaviour as B, cleaning as C
 from tallyhawk.operators.customer import add_customer_behaviour, card_stats
 from tallyhawk.operators.encode import align, fit_levels, level_codes, one_hot, vector_input
+from tallyhawk.operators.running import add_active_levels, add_level_ranks
 from tallyhawk.plans import history_sql as H
 from tallyhawk.plans.dataset import engineer_features, model_dataset
 from tallyhawk.plans.driver_view import CATEGORIES, raw_transactions, table, with_txn
@@ -130,6 +131,18 @@ _VIEW_LEVELS = {
 }
 
 
+def _ranks(spark, sf_dir):
+    """Codes of columns with as many levels as rows, and with few."""
+    df = clean_view(spark, sf_dir).select(S.TXN, "merchant")
+    return add_level_ranks(df, [S.TXN, "merchant"]).select(S.TXN, f"{S.TXN}_code", "merchant_code")
+
+
+def _active(spark, sf_dir):
+    """One-hot encoding as the positions that are 1."""
+    df = clean_view(spark, sf_dir).select(S.TXN, "category", "gender")
+    return add_active_levels(df, ["category", "gender"]).select(S.TXN, "active")
+
+
 def _codes(spark, sf_dir):
     df = clean_view(spark, sf_dir).select(S.TXN, "category", "gender")
     return level_codes(df, fit_levels(df, ["category", "gender"])).drop("category", "gender")
@@ -288,6 +301,13 @@ QUERIES: dict[str, Query] = {
     "E3_P11_P12_engineered_features": Query(_engineered, _ENGINEERED_SQL),
     "E4_aligned_batch": Query(_aligned, _aligned_sql()),
     "E5_feature_vectors": Query(_vector, _VECTOR_SQL),
+    "E6_level_ranks": Query(_ranks, with_txn(
+        """select trans_num, cast(dense_rank() over (order by trans_num)-1 as bigint) as trans_num_code,
+          cast(dense_rank() over (order by merchant)-1 as bigint) as merchant_code from txn""")),
+    "E1_active_levels": Query(_active, with_txn(
+        """select trans_num, list_filter([case when c>0 then c-1 end, case when g>0 then g-1+n end], x -> x is not null) as active
+        from (select trans_num, dense_rank() over (order by category)-1 as c, dense_rank() over (order by gender)-1 as g,
+            (select count(distinct category)-1 from txn) as n from txn) r""")),
     "E6_level_codes": Query(_codes, with_txn(
         """select trans_num, cast(dense_rank() over (order by category)-1 as int) as category_encoded,
         cast(dense_rank() over (order by gender)-1 as int) as gender_encoded from txn""")),

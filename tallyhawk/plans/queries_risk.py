@@ -11,6 +11,7 @@ from tallyhawk import schema as S
 from tallyhawk.functions.clock import age_years, is_weekend, micros
 from tallyhawk.functions.geo import haversine_km
 from tallyhawk.operators import attribution as T, detectors as D, explain as X, modeling as M, scoring
+from tallyhawk.operators.curves import curve_summary, threshold_curve
 from tallyhawk.operators.encode import level_codes, vector_input
 from tallyhawk.plans import history_sql as H
 from tallyhawk.plans.dataset import model_dataset
@@ -302,6 +303,50 @@ _RULES_SQL = round_sql(with_raw(
     "accuracy", "precision", "recall", "f1_score")
 
 
+def _stated_scores(spark, sf_dir):
+    """Two stated scores of every transaction, for curves that another engine can repeat."""
+    df = raw_transactions(spark, sf_dir).select(S.AMOUNT, S.TARGET)
+    return df.select(S.TARGET, F.explode(F.array(
+        F.struct(F.lit("amount_score").alias("model_name"), F.least(F.lit(100.0), F.col(S.AMOUNT) / 4).alias("probability")),
+        F.struct(F.lit("small_amount_score").alias("model_name"), (100 / (1 + F.col(S.AMOUNT))).alias("probability")),
+    )).alias("_m")).select(S.TARGET, "_m.*")
+
+
+def _curve(spark, sf_dir):
+    return rounded(threshold_curve(_stated_scores(spark, sf_dir)))
+
+
+def _curve_summary(spark, sf_dir):
+    return rounded(curve_summary(threshold_curve(_stated_scores(spark, sf_dir))))
+
+
+def _trained_curves(spark, sf_dir):
+    """Both trained models on the test rows: areas under the curves and best thresholds."""
+    boosted, forest = (_test_scores(spark, sf_dir, n) for n in _ESTIMATORS)
+    return rounded(curve_summary(threshold_curve(boosted.unionByName(forest))))
+
+
+_CURVE = (
+    """stated as (select 'amount_score' as model_name, least(100e0, amt/4) as threshold, is_fraud=1 as y from raw
+      union all select 'small_amount_score', 100/(1+amt), is_fraud=1 from raw)""",
+    """points as (select model_name, threshold, count(*) filter (where y) as positives,
+        count(*) filter (where not y) as negatives from stated
+      where y is not null and threshold is not null group by 1, 2)""",
+    """upto as (select *, cast(sum(positives) over falling as bigint) as tp,
+        cast(sum(negatives) over falling as bigint) as fp, cast(sum(positives) over whole as bigint) as p,
+        cast(sum(negatives) over whole as bigint) as n from points
+      window falling as (partition by model_name order by threshold desc), whole as (partition by model_name))""",
+    """curve as (select model_name, threshold, positives, negatives, tp, fp, p-tp as fn, n-fp as tn,
+        tp*1e0/(tp+fp) as "precision", coalesce(tp*1e0/nullif(p,0),0e0) as recall,
+        coalesce(fp*1e0/nullif(n,0),0e0) as false_positive_rate,
+        coalesce(2e0*tp/nullif(2*tp+fp+p-tp,0),0e0) as f1_score from upto)""",
+)
+_CURVE_SUMMARY = """select model_name, count(*) as thresholds,
+    sum(negatives*(2*tp-positives))*1e0/(2e0*max(tp+fn)*max(fp+tn)) as roc_auc,
+    sum(positives*"precision")/max(tp+fn) as average_precision, max(f1_score) as best_f1,
+    arg_max(threshold, {'f': f1_score, 't': threshold}) as best_threshold from curve group by model_name"""
+
+
 def _risk(spark, sf_dir):
     found = D.detect(_detector_input(spark, sf_dir)).withColumn(
         "model_score", F.least(F.lit(100.0), F.col(S.AMOUNT) / 4))
@@ -534,6 +579,11 @@ QUERIES: dict[str, Query] = {
     "M5_boosted_trees": Query(_scores("xgboost")),
     "M6_amount_rules": Query(_rules, _RULES_SQL),
     "M6_model_comparison": Query(_comparison),
+    "M6_threshold_curve": Query(_curve, round_sql(
+        with_raw("select * from curve", *_CURVE), "threshold", "precision", "recall", "false_positive_rate", "f1_score")),
+    "M6_curve_summary": Query(_curve_summary, round_sql(
+        with_raw(_CURVE_SUMMARY, *_CURVE), "roc_auc", "average_precision", "best_f1", "best_threshold")),
+    "M6_trained_curves": Query(_trained_curves),
     "M7_feature_importance": Query(_importance),
     "M8_batch_scoring": Query(_batch_scores),
     "M9_M10_risk_scores": Query(_risk_scores, round_sql(with_txn(
