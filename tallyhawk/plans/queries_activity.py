@@ -16,7 +16,8 @@ from tallyhawk.session import new_folder, prepare
 from tallyhawk.sources.commit_log import read_commit_log
 from tallyhawk.streaming.bursts import stream_bursts
 from tallyhawk.streaming.dedup import stream_dedup
-from tallyhawk.streaming.features import OUTPUT, stream_features
+from tallyhawk.streaming.features import OUTPUT
+from tallyhawk.streaming.ordered import end_marker, stream_ordered_features
 from tallyhawk.streaming.upsert import read_merged, start_upserts
 
 # Fixed value: the day reports are made on.
@@ -154,8 +155,26 @@ def _dedup(spark, sf_dir):
     return out.withColumn(S.TIME, micros(F.col(S.TIME)))
 
 
+def arrivals(spark, rows, steps=3, hours=2):
+    """``rows`` as a stream that arrives step by step, each row up to ``hours`` late.
+
+    The last file has the marker that ends the stream.
+    """
+    folder = new_folder(spark, "arrivals")
+    at = micros(F.col(S.TIME)) + F.pmod(F.xxhash64(S.TXN), F.lit(hours * 3_600_000_000))
+    low, high = rows.agg(F.min(at), F.max(at)).first()
+    step = F.floor((at - F.lit(low)) * steps / F.lit(high - low + 1))
+    for k in range(steps):
+        rows.where(F.coalesce(step, F.lit(0)) == k).write.mode("append").parquet(folder)
+    end_marker(rows).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(folder)
+
+
 def _features(spark, sf_dir):
-    return rounded(run_to_end(spark, stream_features(_stream(spark, sf_dir))).drop(S.CARD, "us"))
+    """Rows that arrive out of order have the features of a batch."""
+    rows = raw_transactions(prepare(spark), sf_dir).select(S.TXN, S.CARD, S.TIME, S.AMOUNT, "merch_lat", "merch_long")
+    ordered = stream_ordered_features(arrivals(spark, rows), delay="3 hours")
+    return rounded(run_to_end(spark, ordered).drop(S.CARD, "us"))
 
 
 def _bursts(spark, sf_dir):

@@ -305,7 +305,7 @@ QUERIES: dict[str, Query] = {
         """select trans_num, cast(dense_rank() over (order by trans_num)-1 as bigint) as trans_num_code,
           cast(dense_rank() over (order by merchant)-1 as bigint) as merchant_code from txn""")),
     "E1_active_levels": Query(_active, with_txn(
-        """select trans_num, list_filter([case when c>0 then c-1 end, case when g>0 then g-1+n end], x -> x is not null) as active
+        """select trans_num, list_filter([case when c>0 then c-1 end, case when g>0 then g-1+n end], lambda x: x is not null) as active
         from (select trans_num, dense_rank() over (order by category)-1 as c, dense_rank() over (order by gender)-1 as g,
             (select count(distinct category)-1 from txn) as n from txn) r""")),
     "E6_level_codes": Query(_codes, with_txn(

@@ -56,7 +56,7 @@ def _shifted(first, values: np.ndarray) -> np.ndarray:
     return np.concatenate(([first], values[:-1]))
 
 
-def _features(rows: pd.DataFrame, state: tuple | None, limits: Thresholds):
+def history_features(rows: pd.DataFrame, state: tuple | None, limits: Thresholds):
     seen, units0, hours0, lat0, long0, us0, recent0 = state or (0, 0, 0, None, None, None, [])
     us = rows["us"].to_numpy(np.int64)
     amount = rows[AMOUNT].to_numpy(float)
@@ -134,7 +134,7 @@ def stream_features(stream: DataFrame, limits: Thresholds = PROFILE_A.limits) ->
 
     def update(key, chunks: Iterator[pd.DataFrame], state: GroupState):
         rows = pd.concat(list(chunks)).sort_values(["us", TXN], kind="stable")
-        out, remembered = _features(rows, state.get if state.exists else None, limits)
+        out, remembered = history_features(rows, state.get if state.exists else None, limits)
         state.update(remembered)
         yield out[columns]
 
