@@ -347,7 +347,10 @@ _REPORT_SQL = with_txn(
         f"select 2, {i}, '- {name}: '||regexp_replace(cast(cast(round(avg(cast({same} as int)),4) "
         r"as decimal(18,4)) as varchar), '(\.\d+?)0+$', '\1') from txn"
         for i, (name, same) in enumerate(_RATES, 9))
-    + f" union all select 3, 1, '{reports.UNRELIABLE_NOTE}'"
+    + "".join(
+        f" union all select 3, {i}, '**Note:** {name} {reports.DOUBT}' from txn "
+        f"having avg(cast({same} as int))<{reports.RELIABLE_FROM}"
+        for i, (name, same) in enumerate(_RATES, 9))
 )
 
 _PADDED = "case when length({0})<5 then lpad({0},5,'0') else {0} end"
