@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhawk.functions.clock import hour_minute, year_gap
 from tallyhawk.functions.numbers import known, missing
-from tallyhawk.operators.cleaning import duplicate_rows, numeric_columns
+from tallyhawk.operators.cleaning import ROW_HASH, numeric_columns, row_hash
 from tallyhawk.operators.quantiles import grouped_quantiles
 from tallyhawk.schema import AMOUNT, TARGET, TIME
 
@@ -222,17 +222,16 @@ def type_counts(df: DataFrame) -> DataFrame:
 
 
 def overview(df: DataFrame) -> DataFrame:
-    """Rows, columns, repeated rows and nulls of a table, in one row."""
-    return _one_row(
-        df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns")),
-        duplicate_rows(df).withColumnRenamed("duplicates", "duplicate_rows"),
-        total_nulls(df),
-    )
-
+    """Rows, columns, repeated rows and nulls of a table, in one row and one scan.
 
-def _one_row(*parts: DataFrame) -> DataFrame:
-    """Put one-row results side by side."""
-    out = parts[0].withColumn("_one", F.lit(1))
-    for part in parts[1:]:
-        out = out.join(part.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+    Equal rows have equal hashes and equally many nulls, so both come from the same groups.
+    """
+    nulls = sum((missing(c, kind).cast("bigint") for c, kind in df.dtypes), F.lit(0))
+    groups = df.select(*row_hash(df.columns), nulls.cast("bigint").alias("_nulls")).groupBy(
+        *ROW_HASH).agg(F.count(F.lit(1)).alias("_n"), F.sum("_nulls").alias("_nulls"))
+    return groups.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        F.lit(len(df.columns)).alias("columns"),
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
+        F.coalesce(F.sum("_nulls"), F.lit(0)).alias("nulls"),
+    )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyhawk import schema as S
 from tallyhawk.functions.clock import hour_minute, year_gap
 from tallyhawk.functions.numbers import missing, violates
-from tallyhawk.operators.cleaning import duplicate_keys
+from tallyhawk.operators.cleaning import ROW_HASH, duplicate_keys, row_hash
 from tallyhawk.operators.profiling import match_rate
 
 CHECK_SCHEMA = "position int, check string, passed boolean, violations bigint, detail string"
@@ -81,6 +81,8 @@ class Check:
     of_rows: Callable[[Column], Column] | None = None
     # Counts rows that repeat an earlier one.
     repeats: bool = False
+    # The columns whose bad values a label speaks of, where they are not the label itself.
+    shows: dict[str, Sequence[str]] = field(default_factory=dict)
 
 
 def _number(column: str) -> Column:
@@ -137,14 +139,44 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     )
 
 
+def bad_value_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """What breaks the checks: ``position, check, label, columns, values, rows``.
+
+    One row for each distinct bad value of each rule, all of them, with the number of
+    rows that hold it. ``values`` are the rule's columns as text, null where the value
+    is missing. The table is read once; a row goes out once for each rule it breaks, and
+    equal values are counted before the shuffle. Rules on the whole table, on repeated
+    rows or on absent columns have no value to show and no row here.
+    """
+    found = []
+    for i, check in enumerate(checks):
+        if check.known is not None or any(c not in df.columns for c in check.needs):
+            continue
+        for label, bad in check.broken.items():
+            columns = check.shows.get(label, (label.split()[0],))
+            columns = [c for c in columns if c in df.columns]
+            found.append(F.when(bad, F.struct(
+                F.lit(i + 1).alias("position"), F.lit(check.name).alias("check"),
+                F.lit(label).alias("label"),
+                F.array(*[F.lit(c) for c in columns]).cast("array<string>").alias("columns"),
+                F.array(*[F.col(f"`{c}`").cast("string") for c in columns])
+                .cast("array<string>").alias("values"),
+            )))
+    if not found:
+        none = df.limit(0).select(F.lit(0).alias("position"))
+        return none.selectExpr("position", "'' as check", "'' as label",
+                               "array('') as columns", "array('') as values", "0L as rows")
+    broken = df.select(F.explode(F.array_compact(F.array(*found))).alias("_v")).select("_v.*")
+    return broken.groupBy("position", "check", "label", "columns", "values").agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
 def _bit(n: int) -> Column:
     return F.shiftright(F.col(f"_bits{n // _BITS}"), n % _BITS).bitwiseAND(F.lit(1)) == 1
 
 
 def _distinct_rows(df: DataFrame, conditions: Sequence[Column]) -> tuple[DataFrame, Column]:
     """Distinct rows as bits of ``conditions``, and how often each comes."""
-    # A missing value and an empty one, or a value one column on, must not look alike.
-    whole = [x for c in df.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
     packed = {}
     for start in range(0, max(1, len(conditions)), _BITS):
         bits = F.lit(0).cast("bigint")
@@ -153,10 +185,9 @@ def _distinct_rows(df: DataFrame, conditions: Sequence[Column]) -> tuple[DataFra
             bits = bits.bitwiseOR(set_)
         packed[f"_bits{start // _BITS}"] = bits
     hashed = df.select(
-        F.xxhash64(F.lit(1), *whole).alias("_one"), F.xxhash64(F.lit(2), *whole).alias("_two"),
-        *[bits.alias(name) for name, bits in packed.items()],
+        *row_hash(df.columns), *[bits.alias(name) for name, bits in packed.items()]
     )
-    copies = hashed.groupBy("_one", "_two").agg(
+    copies = hashed.groupBy(*ROW_HASH).agg(
         F.count(F.lit(1)).alias("_copies"), *[F.max(name).alias(name) for name in packed]
     )
     return copies, F.col("_copies")
@@ -223,19 +254,20 @@ def _not_finite(column: str) -> dict[str, Column]:
     }
 
 
-def final_checks(df: DataFrame, expected_rows: int = 100_000) -> DataFrame:
-    """The suite for the model dataset: twelve checks."""
+def final_rules(df: DataFrame, expected_rows: int = 100_000) -> list[Check]:
+    """The rules of the suite for the model dataset: twelve checks."""
     present = [c for c in REQUIRED_COLUMNS if c in df.columns]
     numeric = [c for c in present if _is_numeric(df, c)]
     wrong_type = [c for c in present if c not in numeric]
     finite: dict[str, Column] = {}
     for c in numeric:
         finite.update(_not_finite(c))
-    return run_checks(df, [
+    return [
         _required(df, "Required columns present", REQUIRED_COLUMNS),
         Check("'is_fraud' target column exists and is binary",
               {"values other than 0/1": not_in(S.TARGET, 0, 1)} if S.TARGET in df.columns else {},
-              needs=[S.TARGET], ok="contains only 0/1"),
+              needs=[S.TARGET], ok="contains only 0/1",
+              shows={"values other than 0/1": [S.TARGET]}),
         Check("Row count matches expected dataset size",
               of_rows=lambda n: F.abs(n - expected_rows), ok=f"expected {expected_rows:,}"),
         _NO_REPEATS,
@@ -260,7 +292,12 @@ def final_checks(df: DataFrame, expected_rows: int = 100_000) -> DataFrame:
                      ["location_changed", "rapid_location_change"]),
         _group_check("Transaction-amount anomaly features internally valid", df, S.AMOUNT_COLUMNS,
                      S.AMOUNT_COLUMNS[:3], ["large_transaction_flag"]),
-    ])
+    ]
+
+
+def final_checks(df: DataFrame, expected_rows: int = 100_000) -> DataFrame:
+    """The suite for the model dataset."""
+    return run_checks(df, final_rules(df, expected_rows))
 
 
 def _group_check(name, df, needs, never_negative, binary) -> Check:
@@ -268,15 +305,16 @@ def _group_check(name, df, needs, never_negative, binary) -> Check:
         return Check(name, needs=needs)
     broken = {f"{c} has negative values": negative(c) for c in never_negative}
     broken |= {f"{c} has non-binary values": not_in(c, 0, 1) for c in binary}
-    return Check(name, broken, ok="all checks passed")
+    shows = {label: [label.split()[0]] for label in broken}
+    return Check(name, broken, ok="all checks passed", shows=shows)
 
 
-def behaviour_checks(df: DataFrame) -> DataFrame:
-    """The suite for timing and frequency features: eleven checks."""
+def behaviour_rules(df: DataFrame) -> list[Check]:
+    """The rules of the suite for timing and frequency features: eleven checks."""
     have = set(df.columns)
     present = [c for c in S.BEHAVIOUR_COLUMNS if c in have]
     counts = [c for c in COUNT_COLUMNS if c in have]
-    return run_checks(df, [
+    return [
         _required(df, "Required behavioral columns present", S.BEHAVIOUR_COLUMNS),
         _NO_REPEATS,
         Check("No missing values in behavioral columns",
@@ -314,7 +352,12 @@ def behaviour_checks(df: DataFrame) -> DataFrame:
                          F.coalesce(F.col("txn_count_last_5min") >= 1, F.lit(False)).cast("int")
                          == F.col("rapid_transaction_flag"))
                  }),
-    ])
+    ]
+
+
+def behaviour_checks(df: DataFrame) -> DataFrame:
+    """The suite for timing and frequency features."""
+    return run_checks(df, behaviour_rules(df))
 
 
 def _night_check(have: set[str]) -> Check:
@@ -323,13 +366,15 @@ def _night_check(have: set[str]) -> Check:
         return Check(name, known=(True, 0, "skipped: trans_hour not present in this file"))
     night = F.coalesce((F.col("trans_hour") >= 22) | (F.col("trans_hour") < 6), F.lit(False))
     return Check(name, {"mismatched rows": violates(night.cast("int") == F.col("night_transaction"))},
-                 ok="matches for all rows")
+                 ok="matches for all rows",
+                 shows={"mismatched rows": ["trans_hour", "night_transaction"]})
 
 
 def _formula(name: str, have: set[str], needs: Sequence[str], broken) -> Check:
     if not set(needs) <= have:
         return Check(name, needs=needs)
-    return Check(name, broken(), ok="holds for all rows")
+    rules = broken()
+    return Check(name, rules, ok="holds for all rows", shows={label: needs for label in rules})
 
 
 def readiness_checks(df: DataFrame) -> DataFrame:

@@ -323,6 +323,117 @@ def _behaviour_sql(source: str, *more: str) -> str:
     ], *H.PARTS, H.MODEL, *more)
 
 
+def _behaviour_rules_sql() -> list[tuple[str, str, list[tuple[str, str, list[str]]]]]:
+    """Per check of the timing suite: name, detail when passed, (label, condition, columns)."""
+    counts = ["txn_count_last_5min", "txn_count_last_30min", "txn_count_last_60min"]
+    velocity = "transaction_velocity_per_min"
+
+    def each(condition, columns):
+        return [(c, condition(c), [c]) for c in columns]
+
+    return [
+        ("Required behavioral columns present", "all expected columns found", []),
+        ("No duplicate rows", "0 duplicates", []),
+        ("No missing values in behavioral columns", "0 missing values",
+         each(lambda c: f'"{c}" is null', S.BEHAVIOUR_COLUMNS)),
+        ("Binary behavioral flags contain only 0/1", "all valid", each(_not01, Q.BEHAVIOUR_FLAGS)),
+        ("night_transaction matches trans_hour window (22:00-05:59)", "matches for all rows",
+         [("mismatched rows", "cast(trans_hour>=22 or trans_hour<6 as int)<>night_transaction",
+           ["trans_hour", "night_transaction"])]),
+        ("Timing feature values within expected ranges", "all within range",
+         [("customer_hist_avg_hour", _out("customer_hist_avg_hour", 0, 23),
+           ["customer_hist_avg_hour"]),
+          ("hour_deviation_from_normal", _out("hour_deviation_from_normal", 0, 12),
+           ["hour_deviation_from_normal"])]),
+        ("Transaction frequency/velocity values are non-negative", "all non-negative",
+         each(lambda c: f'"{c}"<0', [*counts, velocity])),
+        ("Transaction count columns contain whole numbers", "all whole numbers",
+         each(lambda c: f'"{c}"%1<>0', counts)),
+        ("Trailing windows are properly nested (5min <= 30min <= 60min)", "holds for all rows",
+         [("5min count > 30min count", f"{counts[0]}>{counts[1]}", counts),
+          ("30min count > 60min count", f"{counts[1]}>{counts[2]}", counts)]),
+        (f"{velocity} matches formula (60min count / 60)", "holds for all rows",
+         [("mismatched rows", f"round({counts[2]}/60e0,6)<>round({velocity},6)",
+           [counts[2], velocity])]),
+        ("rapid_transaction_flag matches 5-minute rule", "holds for all rows",
+         [("mismatched rows", f"cast({counts[0]}>=1 as int)<>rapid_transaction_flag",
+           [counts[0], "rapid_transaction_flag"])]),
+    ]
+
+
+def _final_rules_sql() -> dict[int, tuple[str, list[tuple[str, str, list[str]]]]]:
+    """Place of each check of the final suite that rows can break: name and conditions."""
+    def each(condition, columns):
+        return [(c, condition(c), [c]) for c in columns]
+
+    def group(never_negative, binary):
+        return ([(f"{c} has negative values", f'"{c}"<0', [c]) for c in never_negative]
+                + [(f"{c} has non-binary values", _not01(c), [c]) for c in binary])
+
+    finite = []
+    for c in Q.REQUIRED_COLUMNS:
+        value = f'cast("{c}" as double)'
+        finite.append((f"{c} inf", f"isinf({value})", [c]))
+        finite.append((f"{c} nan", f"{value} is null or isnan({value})", [c]))
+    return {
+        2: ("'is_fraud' target column exists and is binary",
+            [("values other than 0/1", _not01(S.TARGET), [S.TARGET])]),
+        5: ("No missing values",
+            each(lambda c: f'"{c}" is null', [S.TXN, *S.MODEL_FEATURES, S.TARGET])),
+        7: ("Numeric columns contain only finite, valid values", finite),
+        8: ("Values within expected ranges", [(c, _out(c, *b), [c]) for c, b in Q.RANGES.items()]),
+        9: ("Binary flag columns contain only 0/1", each(_not01, Q.BINARY_COLUMNS)),
+        10: ("No unexpected negative values",
+             each(lambda c: f'"{c}"<0', Q.NON_NEGATIVE_COLUMNS)),
+        11: ("Location-change features internally valid",
+             group(["prev_trans_distance_km", "hours_since_prev_trans",
+                    "implied_travel_speed_kmh"], ["location_changed", "rapid_location_change"])),
+        12: ("Transaction-amount anomaly features internally valid",
+             group(["customer_hist_avg_amt", "customer_hist_std_amt", "amount_ratio_to_normal"],
+                   ["large_transaction_flag"])),
+    }
+
+
+def _bad_values(spark, sf_dir):
+    """What breaks both suites. Fractions are shown in millionths: engines write them apart."""
+    df = dirty_model(spark, sf_dir)
+    shown = F.transform("values", lambda v: F.coalesce(
+        F.when(v.isin("Infinity", "NaN"), v),
+        F.round(v.try_cast("double") * 1e6).cast("bigint").cast("string"), F.lit("")))
+    out = None
+    for suite, rules in (("final", Q.final_rules(df, EXPECTED)), ("behaviour", Q.behaviour_rules(df))):
+        part = Q.bad_value_counts(df, rules).withColumn("suite", F.lit(suite))
+        out = part if out is None else out.unionByName(part)
+    return out.withColumns({"columns": F.array_join("columns", ","),
+                            "values": F.array_join(shown, ",")})
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _bad_values_sql() -> str:
+    def show(column: str) -> str:
+        x = f'try_cast("{column}" as double)'
+        return (f"case when {x} is null then '' when isnan({x}) then 'NaN' "
+                f"when isinf({x}) then 'Infinity' "
+                f"else cast(cast(round({x}*1e6) as bigint) as varchar) end")
+
+    checks = [("final", i, name, rules) for i, (name, rules) in _final_rules_sql().items()]
+    checks += [("behaviour", i, name, rules)
+               for i, (name, _, rules) in enumerate(_behaviour_rules_sql(), 1)]
+    cases = ", ".join(
+        f"case when {bad} then struct_pack(suite := '{suite}', position := {i}, "
+        f"name := {_quoted(name)}, label := '{label}', cols := '{','.join(columns)}', "
+        f"vals := {'||chr(44)||'.join(show(c) for c in columns)}) end"
+        for suite, i, name, rules in checks for label, bad, columns in rules)
+    return with_txn(
+        """select v.suite as suite, cast(v.position as int) as position, v.name as "check",
+          v.label as label, v.cols as "columns", v.vals as "values", count(*) as rows
+        from found where v is not null group by all""",
+        *H.PARTS, H.MODEL, MODEL_DIRTY_SQL, f"found as (select unnest([{cases}]) as v from wrong)")
+
+
 # Fixed value: the row count the final suite is told to expect.
 EXPECTED = 10_000
 
@@ -471,6 +582,26 @@ def _lines(spark, sf_dir):
     return Q.check_lines(Q.behaviour_checks(dirty_model(spark, sf_dir)))
 
 
+def _lines_sql() -> str:
+    """One line a check, with the count of each broken rule."""
+    rules = _behaviour_rules_sql()
+    counts = ", ".join(f"count(*) filter (where {bad}) as v{i}_{k}"
+                       for i, (_, _, labels) in enumerate(rules, 1)
+                       for k, (_, bad, _) in enumerate(labels))
+    lines = []
+    for i, (name, ok, labels) in enumerate(rules, 1):
+        total = "+".join(f"v{i}_{k}" for k in range(len(labels))) or "0"
+        found = ", ".join(f"case when v{i}_{k}>0 then {_quoted(label + ': ')}||v{i}_{k} end"
+                          for k, (label, _, _) in enumerate(labels)) or "''"
+        lines.append(
+            f"select {i} as position, case when {total}=0 "
+            f"then {_quoted(f'  [PASS] {name} — {ok}')} "
+            f"else {_quoted(f'  [FAIL] {name} — ')}||concat_ws('; ', {found}) end as line "
+            "from counted")
+    return with_txn(" union all ".join(lines), *H.PARTS, H.MODEL, MODEL_DIRTY_SQL,
+                    f"counted as (select {counts} from wrong)")
+
+
 QUERIES: dict[str, Query] = {
     "A2_overall_fraud": Query(_overall, round_sql(with_raw(
         """select avg(is_fraud) as fraud_rate, cast(sum(is_fraud) as bigint) as frauds,
@@ -523,8 +654,9 @@ QUERIES: dict[str, Query] = {
     "Q23_Q32_behaviour_checks_wrong_data": Query(
         _suite(dirty_model, Q.behaviour_checks), _behaviour_sql("wrong", MODEL_DIRTY_SQL)),
     "Q11_Q32_missing_columns": Query(_schema_checks, _schema_checks_sql()),
+    "Q12_Q19_Q25_bad_values": Query(_bad_values, _bad_values_sql()),
     "Q33_readiness": Query(_ready, _READY_SQL),
     "Q34_feature_groups": Query(_presence),
     "Q35_verdict": Query(_verdicts, _verdict_sql()),
-    "Q35_check_lines": Query(_lines),
+    "Q35_check_lines": Query(_lines, _lines_sql()),
 }

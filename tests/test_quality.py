@@ -95,3 +95,44 @@ def test_rules_are_checked_in_one_pass(spark):
                              Q.Check("b", {"y": F.col("lat") > 90})])
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Aggregate") == 1
+
+
+def test_bad_values_are_listed_with_their_rows(spark):
+    df = spark.createDataFrame(
+        [(2, 1.0), (2, 1.0), (None, -3.0), (1, -3.0), (0, None)], "is_fraud int, amt double")
+    rules = [
+        Q.Check("binary", {"is_fraud": Q.not_in("is_fraud", 0, 1)}),
+        Q.Check("signs", {"amt below": Q.negative("amt")}),
+        Q.Check("absent", {"gone": Q.negative("amt")}, needs=["gone"]),
+        Q.Check("known", known=(False, 1, "")),
+    ]
+    found = {(r["check"], r["columns"][0], r["values"][0]): r["rows"]
+             for r in Q.bad_value_counts(df, rules).collect()}
+    assert found == {("binary", "is_fraud", "2"): 2, ("binary", "is_fraud", None): 1,
+                     ("signs", "amt", "-3.0"): 2}
+    assert Q.bad_value_counts(df.limit(0), rules).collect() == []
+    none = Q.bad_value_counts(df, rules[2:])
+    assert none.collect() == []
+    assert none.dtypes == Q.bad_value_counts(df, rules).dtypes
+
+
+def test_listed_rows_add_up_to_the_violations(spark, sf_dir):
+    df = dirty_model(spark, sf_dir)
+    for rules in (Q.final_rules(df, 999), Q.behaviour_rules(df)):
+        listed = {}
+        for r in Q.bad_value_counts(df, rules).collect():
+            listed[r["position"]] = listed.get(r["position"], 0) + r["rows"]
+        for r in Q.run_checks(df, rules).collect():
+            if rules[r.position - 1].broken:
+                assert listed.get(r.position, 0) == r.violations, r
+
+
+def test_repeated_rows_by_hash(spark):
+    from tallyhawk.operators.cleaning import duplicate_rows
+    from tallyhawk.operators.profiling import overview
+    rows = [("a", None), (None, "a"), ("a", None), ("", None), (None, None), (None, ""), ("a", None)]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert duplicate_rows(df).first()["duplicates"] == 2
+    assert overview(df).first().asDict() == {"rows": 7, "columns": 2, "duplicate_rows": 2, "nulls": 8}
+    assert overview(df.limit(0)).first().asDict() == {
+        "rows": 0, "columns": 2, "duplicate_rows": 0, "nulls": 0}
