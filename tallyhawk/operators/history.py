@@ -101,14 +101,17 @@ def _events(df, spec, key, time, tie, counted, policy, busy) -> DataFrame:
         )
     staged = df.withColumns(
         {**inputs, _AT: micros(F.col(time)), _COUNTED: F.when(counted, 1)}
-    ).withColumn(_KEY, F.when(F.col(_AT).isNotNull(), F.col(key)))
-    # Rows outside every history share a null key; their hash keeps them apart.
-    apart = -F.pmod(F.xxhash64(*tie), F.lit(_SPREAD))
+    )
+    # Rows outside every history are kept apart by their hash, in slices of their own.
+    apart = -1 - F.pmod(F.xxhash64(*tie), F.lit(_SPREAD))
     if busy is None:
+        # The bare key, so that a table stored in buckets of it is not shuffled.
+        outside = F.col(key).isNull() | F.col(_AT).isNull()
         return staged.withColumns(
-            {_SLICE: F.when(F.col(_KEY).isNull(), apart).otherwise(F.lit(0).cast("bigint")),
+            {_KEY: F.col(key), _SLICE: F.when(outside, apart).otherwise(F.lit(0).cast("bigint")),
              _KIND: F.lit(0)}
         )
+    staged = staged.withColumn(_KEY, F.when(F.col(_AT).isNotNull(), F.col(key)))
     staged = mark_hot(staged, busy.withColumnRenamed(key, _KEY), _HOT)
     widths = [seconds * 1_000_000 for seconds in spec.trailing.values()]
     if widths:
@@ -246,7 +249,7 @@ def _around_first_mean(slices: DataFrame, spec: HistorySpec, ordered) -> DataFra
 
 def _combine(spec: HistorySpec, sliced: bool) -> list[Column]:
     """Join what a slice saw to what was carried into it."""
-    known = F.col(_KEY).isNotNull()
+    known = F.col(_KEY).isNotNull() & F.col(_AT).isNotNull()
 
     def carried(name: str) -> Column:
         return F.coalesce(F.col(f"_c_{name}"), F.lit(0)) if sliced else F.lit(0)

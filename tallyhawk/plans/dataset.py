@@ -15,6 +15,7 @@ from tallyhawk.operators.customer import add_customer_behaviour
 from tallyhawk.operators.encode import encode_gender, fit_levels, one_hot
 from tallyhawk.operators.impute import fill_merchant_zip
 from tallyhawk.settings import DEFAULT_SKEW, PROFILE_B, SkewPolicy
+from tallyhawk.sources.tables import write_card_buckets
 
 
 def prepare_transactions(raw: DataFrame) -> DataFrame:
@@ -48,11 +49,12 @@ def engineer_features(
     )
 
 
-def model_dataset(df: DataFrame, *, policy: SkewPolicy | None = DEFAULT_SKEW) -> DataFrame:
+def model_dataset(df: DataFrame, *, keep: Sequence[str] = (),
+                  policy: SkewPolicy | None = DEFAULT_SKEW) -> DataFrame:
     """All features of the model schema for each transaction, in one lineage.
 
     Past and whole-history features of a card come from the same scan, so the
-    build shuffles the table once.
+    build shuffles the table once. Columns of ``keep`` stand behind the number.
     """
     return (
         df.transform(add_temporal_features)
@@ -60,5 +62,19 @@ def model_dataset(df: DataFrame, *, policy: SkewPolicy | None = DEFAULT_SKEW) ->
         .transform(add_behaviour, PROFILE_B, with_card_totals=True, policy=policy)
         .transform(encode_gender)
         .transform(one_hot, S.MODEL_LEVELS)
-        .selectExpr(S.TXN, *[f"`{c}`" for c in S.MODEL_FEATURES], S.TARGET)
+        .selectExpr(S.TXN, *[f"`{c}`" for c in [*keep, *S.MODEL_FEATURES]], S.TARGET)
     )
+
+
+def dataset_from_raw(raw: DataFrame, table: str, path: str, *, buckets: int | None = None,
+                     keep: Sequence[str] = (),
+                     policy: SkewPolicy | None = DEFAULT_SKEW) -> DataFrame:
+    """The whole chain: copies out, cleaned, zips filled, stored by card, features built.
+
+    The stage is stored in buckets of cards as ``table`` at ``path``, which the caller
+    owns and drops. Without busy cards nothing behind it is shuffled: history, totals and
+    flags of a card find its rows together.
+    """
+    buckets = buckets or int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stage = write_card_buckets(prepare_transactions(raw), table, path, buckets)
+    return model_dataset(stage, keep=keep, policy=policy)

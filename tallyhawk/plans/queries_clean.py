@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from tallyhawk import schema as S
 from tallyhawk.functions import clock, geo, numbers, text
 from tallyhawk.operators import cleaning as C
 from tallyhawk.operators.impute import fill_merchant_zip, flag_missing_zip, split_by_zip
 from tallyhawk.plans import history_sql as H
-from tallyhawk.plans.driver_view import COLUMNS, raw_transactions, with_raw, with_txn
+from tallyhawk.plans.dataset import dataset_from_raw
+from tallyhawk.plans.driver_view import COLUMNS, TXN_SQL, raw_transactions, with_raw, with_txn
 from tallyhawk.plans.queries_history import clean_view
 from tallyhawk.plans.registry import Query, round_sql, rounded
 from tallyhawk.session import new_folder, prepare
@@ -28,6 +30,17 @@ def with_copied(body: str) -> str:
     return with_raw(body, COPIED_SQL)
 
 
+# The first row of each number, as cleaning leaves it.
+_FIRST_SQL = """first_raw as (select * from copied
+  qualify row_number() over (partition by trans_num order by "Unnamed: 0")=1)"""
+
+
+def with_copied_txn(body: str, *more: str) -> str:
+    """A query over ``txn``, cleaned from the copied rows."""
+    cleaned = TXN_SQL.replace(" from raw)", " from first_raw)")
+    return with_raw(body, COPIED_SQL, _FIRST_SQL, cleaned, *more)
+
+
 def with_copies(df):
     copies = F.expr("case when `Unnamed: 0`%100=0 then array(0,1,2) else array(0) end")
     return df.withColumn("_c", F.explode(copies)).withColumns(
@@ -92,6 +105,75 @@ def _stage(spark, sf_dir):
     return _shown(tables.load_dataset(spark, path))
 
 
+def _damaged_lines(spark, sf_dir):
+    """The raw view as CSV lines, of which some are damaged, read line by line."""
+    path = new_folder(prepare(spark), "damaged-csv")
+    raw = raw_transactions(spark, sf_dir).select(*_LINE_COLUMNS).withColumn(
+        S.TIME, F.date_format(S.TIME, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in _LINE_COLUMNS]))
+    n = F.col(f"`{S.INDEX_COLUMN}`")
+    damaged = (
+        F.when(n % 50 == 1, F.regexp_replace(line, ",[^,]*$", ""))
+        .when(n % 50 == 2, F.concat(line, F.lit(",more")))
+        .when(n % 50 == 3, F.regexp_replace(line, "^([^,]*),([^,]*),[^,]*,", "$1,$2x,never,"))
+        .otherwise(line)
+    )
+    raw.select(damaged.alias("value")).write.text(path)
+    return tables.read_csv_lines(spark, path, _LINE_SCHEMA, header=False)
+
+
+_LINE_COLUMNS = [S.INDEX_COLUMN, "city_pop", S.TIME, S.AMOUNT, S.TARGET]
+_LINE_SCHEMA = T.StructType([
+    T.StructField(S.INDEX_COLUMN, T.LongType()), T.StructField("city_pop", T.LongType()),
+    T.StructField(S.TIME, T.TimestampNTZType()), T.StructField(S.AMOUNT, T.DoubleType()),
+    T.StructField(S.TARGET, T.IntegerType()),
+])
+
+
+def _good_lines(spark, sf_dir):
+    return tables.good_rows(_damaged_lines(spark, sf_dir)).withColumn(
+        S.TIME, clock.micros(F.col(S.TIME)))
+
+
+def _rejected_lines(spark, sf_dir):
+    """The rejected lines, stored with their reason and read again."""
+    path = new_folder(prepare(spark), "rejects")
+    tables.write_stage(tables.rejected_rows(_damaged_lines(spark, sf_dir)), path)
+    found = spark.read.parquet(path)
+    return found.select(F.regexp_extract("line", "^[0-9]+", 0).cast("bigint").alias("id"), "reason",
+                        F.array_join("columns", ",").alias("columns"))
+
+
+def _load_statuses(spark, sf_dir):
+    """A table that is there, one without rows and one that is missing."""
+    folder = new_folder(prepare(spark), "statuses")
+    events = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    tables.write_stage(events.where("event_id < 0"), f"{folder}/empty")
+    out = tables.load_status(spark, os.path.join(sf_dir, "events.parquet"))
+    for name in ("empty", "missing"):
+        out = out.unionByName(tables.load_status(spark, f"{folder}/{name}"))
+    return out
+
+
+def _by_card(spark, sf_dir):
+    """One card from a table stored by card."""
+    path = new_folder(prepare(spark), "by-card")
+    tables.write_by_card(raw_transactions(spark, sf_dir).select(
+        S.TXN, S.CARD, S.TIME, S.AMOUNT, "category"), path)
+    return tables.read_card(spark, path, "4000000000000008").withColumn(
+        S.TIME, clock.micros(F.col(S.TIME)))
+
+
+def _from_raw(spark, sf_dir):
+    """From raw rows with copies and missing zips to the model dataset."""
+    name = f"stage_{uuid.uuid4().hex}"
+    path = new_folder(prepare(spark), "card-stage")
+    return rounded(dataset_from_raw(_copied(spark, sf_dir), name, path, keep=_FILLED))
+
+
+_FILLED = ("merch_zipcode", "merch_zipcode_missing")
+
+
 # --- projections ------------------------------------------------------------
 
 
@@ -250,11 +332,7 @@ def _imputed(spark, sf_dir):
     return df.select(S.TXN, "merch_zipcode", "merch_zipcode_missing")
 
 
-_IMPUTED_SQL = with_txn(
-    """select t.trans_num, coalesce(t.merch_zipcode, n.zip) as merch_zipcode,
-      t.merch_zipcode is null as merch_zipcode_missing
-    from txn t left join nearest n
-      on t.merch_zipcode is null and t.merch_lat=n.lat and t.merch_long=n.long""",
+_NEAREST = (
     """places as (select merch_lat, merch_long, min(merch_zipcode) as zip from txn
       where merch_zipcode is not null group by all)""",
     """wanted as (select distinct merch_lat as lat, merch_long as long from txn
@@ -266,6 +344,11 @@ _IMPUTED_SQL = with_txn(
     """nearest as (select lat, long, min(zip) as zip from pairs join best using (lat, long, d)
       group by all)""",
 )
+_IMPUTED = """select t.trans_num, coalesce(t.merch_zipcode, n.zip) as merch_zipcode,
+      t.merch_zipcode is null as merch_zipcode_missing
+    from txn t left join nearest n
+      on t.merch_zipcode is null and t.merch_lat=n.lat and t.merch_long=n.long"""
+_IMPUTED_SQL = with_txn(_IMPUTED, *_NEAREST)
 
 
 def _split(spark, sf_dir):
@@ -363,6 +446,22 @@ QUERIES: dict[str, Query] = {
     "IO2_csv_text_codes": Query(_csv_codes, with_txn(
         "select trans_num, cc_num, zip, merch_zipcode, amt from txn")),
     "IO3_guarded_load": Query(_guarded, "select count(*) as rows from events"),
+    "IO1_good_lines": Query(_good_lines, with_raw(
+        f"""select "Unnamed: 0", city_pop, epoch_us({S.TIME}) as {S.TIME}, amt, is_fraud from raw
+        where "Unnamed: 0"%50 not in (1,2,3)""")),
+    "IO1_rejected_lines": Query(_rejected_lines, with_raw(
+        f"""select "Unnamed: 0" as id, case when "Unnamed: 0"%50=3 then 'values' else 'fields' end
+          as reason, case when "Unnamed: 0"%50=3 then 'city_pop,{S.TIME}' else '' end as "columns"
+        from raw where "Unnamed: 0"%50 in (1,2,3)""")),
+    "IO3_load_status": Query(_load_statuses, """select 'loaded' as status, count(*) as rows
+        from events union all select 'empty', 0 union all select 'missing', 0"""),
+    "M12_card_from_stage": Query(_by_card, with_raw(
+        f"""select trans_num, cc_num, epoch_us({S.TIME}) as {S.TIME}, amt, category from raw
+        where cc_num='4000000000000008'""")),
+    "E3_dataset_from_raw": Query(_from_raw, round_sql(with_copied_txn(
+        """select m.*, i.merch_zipcode, i.merch_zipcode_missing
+        from model m join imputed i using (trans_num)""",
+        *H.PARTS, H.MODEL, *_NEAREST, f"imputed as ({_IMPUTED})"), *H.MODEL_FRACTIONS)),
     "IO4_parquet_stage": Query(_stage, with_txn(f"select {_SHOWN_SQL} from txn")),
     "IO5_validation_report": Query(_report, _REPORT_SQL),
     "IO5_fraud_rate_report": Query(_rates_report, _RATES_SQL),
