@@ -7,7 +7,8 @@ many documents as the token budget holds.
 
 from __future__ import annotations
 
-import numpy as np
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,14 +16,15 @@ from tallyhawk.llm.common import cut_lineage, word_count
 
 BUCKETS = 16
 BUDGET = 8192
-#: Lengths up to 2 ** FINE are bounds of their own; above, there are 2 ** FINE to the octave.
-FINE = 7
+#: Lengths up to 2 ** FINE, the token budget, are counted one by one; above, where a
+#: document is a batch of its own, there are 2 ** FINE cells to the octave.
+FINE = 13
 #: Documents numbered together.
 CELL_ROWS = 20_000
 
 
 def grid(length: Column) -> Column:
-    """``length`` rounded up to the grid of possible bounds (under 0.8 % apart)."""
+    """The cell of the histogram that ``length`` is counted in: itself up to 2 ** FINE."""
     length = F.greatest(length, F.lit(1))
     step = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(length.cast("double"))) - FINE, F.lit(0)))
     return (F.ceil(length / step) * step).cast("long")
@@ -36,30 +38,58 @@ def best_bounds(histogram: list[tuple[int, int]], buckets: int = BUCKETS) -> lis
     """
     if not histogram:
         return []
-    sizes, counts = (np.array(x, dtype=np.float64) for x in zip(*sorted(histogram), strict=True))
+    sizes, counts = (list(x) for x in zip(*sorted(histogram), strict=True))
     n = len(sizes)
-    upto = np.concatenate([[0.0], np.cumsum(counts)])
-    cost = np.full(n + 1, np.inf)
-    cost[0] = 0.0
+    upto = [0, *itertools.accumulate(counts)]
+    cost: list[int | None] = [0] + [None] * n
     cuts = []
     for _ in range(min(buckets, n)):
-        new, cut = np.full(n + 1, np.inf), np.zeros(n + 1, dtype=np.int64)
-        new[0] = 0.0
-        for j in range(1, n + 1):
-            total = cost[:j] + sizes[j - 1] * (upto[j] - upto[:j])
-            cut[j] = int(np.argmin(total))
-            new[j] = total[cut[j]]
-        cost = new
+        cost, cut = _one_more(cost, sizes, upto)
         cuts.append(cut)
     bounds, j = [], n
     for cut in reversed(cuts):
         if j == 0:
             break
         bounds.append(int(sizes[j - 1]))
-        j = int(cut[j])
+        j = cut[j]
     return bounds[::-1]
 
 
+def _one_more(
+    cost: list[int | None], sizes: list[int], upto: list[int]
+) -> tuple[list[int | None], list[int]]:
+    """The least totals with one more bucket, and where that bucket starts.
+
+    A last bucket from i to j costs ``cost[i] + sizes[j] * (upto[j] - upto[i])``: for each
+    i a line over sizes[j]. Slopes fall with i and sizes grow with j, so the lowest line
+    only moves forward and a round is linear in the number of lengths. Whole numbers
+    keep it exact.
+    """
+    lines: list[int] = []
+    best = 0
+    new: list[int | None] = [0] + [None] * len(sizes)
+    cut = [0] * (len(sizes) + 1)
+    for j, size in enumerate(sizes, 1):
+        if (base := cost[j - 1]) is not None:
+            while len(lines) > 1:
+                one, two = lines[-2], lines[-1]
+                if (base - cost[one]) * (upto[two] - upto[one]) > (
+                    cost[two] - cost[one]
+                ) * (upto[j - 1] - upto[one]):
+                    break
+                lines.pop()
+            lines.append(j - 1)
+        best = min(best, len(lines) - 1)
+        while best + 1 < len(lines) and (
+            cost[lines[best + 1]] - size * upto[lines[best + 1]]
+            < cost[lines[best]] - size * upto[lines[best]]
+        ):
+            best += 1
+        cut[j] = lines[best]
+        new[j] = cost[cut[j]] + size * (upto[j] - upto[cut[j]])
+    return new, cut
+
+
 def pack(
     docs: DataFrame,
     length: Column | None = None,
@@ -76,22 +106,24 @@ def pack(
     a batch of its own. Documents are never cut. Equal rows are numbered in any order.
     An empty table gives an empty table.
 
-    Only the histogram comes to the driver: at most 128 counts to the octave of lengths.
+    A bucket's bound is the length of its longest document. Bounds are the best of all
+    that keep a cell of ``grid`` whole: lengths up to 8192 are cells of their own. Only the
+    histogram comes to the driver, at most 8192 counts to the octave of lengths.
     Rows of a bucket are numbered in cells of about ``cell_rows`` by hash.
     """
     own = ["pack_length", "pack_bucket", "pack_bound", "pack_batch", "pack_slot"]
     columns = [c for c in docs.columns if c not in own]
     length = word_count(F.col("text")) if length is None else F.coalesce(length, F.lit(0))
-    sized = docs.select(*columns, length.cast("long").alias("pack_length")).withColumn(
-        "pack_bound", grid(F.col("pack_length"))
-    )
-    rows = sized.groupBy("pack_bound").agg(F.count(F.lit(1)).alias("n")).collect()
-    histogram = [(r["pack_bound"], r["n"]) for r in rows]
+    sized = docs.select(*columns, length.cast("long").alias("pack_length"))
+    rows = sized.groupBy(grid(F.col("pack_length")).alias("cell")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("pack_length").alias("longest")
+    ).collect()
+    histogram = [(max(r["longest"], 1), r["n"]) for r in rows]
     bounds = best_bounds(histogram, buckets)
     cells = max(1, sum(n for _, n in histogram) // cell_rows)
     bucket = F.lit(max(len(bounds) - 1, 0))
     for k in reversed(range(len(bounds) - 1)):
-        bucket = F.when(F.col("pack_bound") <= bounds[k], F.lit(k)).otherwise(bucket)
+        bucket = F.when(F.col("pack_length") <= bounds[k], F.lit(k)).otherwise(bucket)
     limits = F.array(*[F.lit(b).cast("long") for b in bounds or [1]])
     dealt = sized.withColumn("pack_bucket", bucket.cast("int")).withColumn(
         "pack_cell", F.pmod(F.xxhash64("doc_id", "pack_length"), F.lit(cells)).cast("long")

@@ -36,6 +36,23 @@ def test_grid_rounds_up_by_under_one_percent(spark):
         assert r["g"] == max(r["n"], 1) if r["n"] <= 128 else True
 
 
+def test_bounds_are_real_lengths_and_optimal(spark):
+    rnd = random.Random(5)
+    lengths = [rnd.choice([3, 130, 131, 777, 2730, 2731, 5001]) + rnd.randrange(3) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate([*lengths, 100_003, 100_001])), "doc_id long, n long")
+    got = pack(df, length=F.col("n"), buckets=4).collect()
+    histogram = {}
+    for r in got:
+        histogram[r["n"]] = histogram.get(r["n"], 0) + 1
+    assert all(r["pack_bound"] == max(o["n"] for o in got if o["pack_bucket"] == r["pack_bucket"]) for r in got)
+    pairs = sorted(histogram.items())
+    best = min(
+        padded(pairs, (*some, 100_003))
+        for k in range(4) for some in itertools.combinations([s for s, _ in pairs][:-1], k)
+    )
+    assert sum(r["pack_bound"] for r in got) == best
+
+
 def test_batches_are_full_and_whole(spark):
     rnd = random.Random(2)
     rows = [(i, "w " * rnd.choice([1, 2, 9, 10, 50, 51, 400]), "s") for i in range(700)]
