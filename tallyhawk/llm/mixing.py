@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from tallyhawk.llm.common import cut_lineage, null_safe, uniform, word_count
 
 FAN_IN = 512
+#: Equal rows numbered together.
+CELL_ROWS = 20_000
 #: Fractions closer than this to 0 or 1 are settled.
 TINY = 1e-9
 
@@ -184,13 +186,18 @@ def mix_sources(
     The size of a document is its number of words. Columns of these four names are
     replaced; all others stay. Null and empty texts have size 0 and cost nothing; their
     copies are drawn one by one. A null source is a source of its own, the last one.
-    Rows equal in doc_id, source and size, a null doc_id included, get the same number
-    of copies. An empty table gives an empty table. Reruns give the same copies.
+    Of rows equal in doc_id, source and text, a null doc_id included, as many get one copy
+    more as their rate asks for, in whole rows, and only the row left over trades; which
+    of them does not matter to the mix and may differ between runs where their other
+    columns differ. An empty table gives an empty table. Reruns give the same copies.
     """
     own = ["mix_size", "mix_source_size", "mix_target", "mix_copies"]
     sized = docs.drop(*own).withColumn("mix_size", word_count(F.col("text")))
-    keys = sized.select("doc_id", "source", F.col("mix_size").alias("size"))
-    units = cut_lineage(keys.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("m")))
+    keys = sized.select(
+        "doc_id", "source", F.xxhash64("text").alias("th"), F.col("mix_size").alias("size")
+    )
+    key = ["doc_id", "source", "th", "size"]
+    units = cut_lineage(keys.groupBy(*key).agg(F.count(F.lit(1)).alias("m")))
     targets = cut_lineage(
         source_targets(
             units.select("source", (F.col("size") * F.col("m")).alias("size")), weights, share, most
@@ -203,35 +210,72 @@ def mix_sources(
         .select("u.*", "n_units", "source_size", "target", rate.alias("rate"))
         .withColumn("base", F.floor("rate").cast("int"))
         .withColumn("p", _snap(F.col("rate") - F.col("base")))
+        .withColumn("want", F.col("p") * F.col("m"))
+        .withColumn("sure", F.floor("want"))
+        .withColumn("rest", _snap(F.col("want") - F.col("sure")))
     )
-    key = F.struct("doc_id", "source", "size")
-    loose = rated.where((F.col("p") > 0) & (F.col("p") < 1) & (F.col("size") > 0)).select(
-        key.alias("key"), "source", (F.col("size") * F.col("m")).cast("double").alias("mass"), "p",
-        "n_units",
+    loose = rated.where((F.col("rest") > 0) & (F.col("rest") < 1) & (F.col("size") > 0)).select(
+        F.struct(*key).alias("key"), "source", F.col("size").cast("double").alias("mass"),
+        F.col("rest").alias("p"), "n_units",
     )
     ups = settle_fractions(loose, fan_in, seed).select("key.*", "up")
     lucky = (uniform(F.col("u.doc_id"), F.col("u.source"), F.lit(seed)) < F.col("p")).cast("int")
-    up = F.when(F.col("size") == 0, lucky).when(F.col("p") == 1, 1).otherwise(F.coalesce("up", F.lit(0)))
+    up = F.when(F.col("size") == 0, lucky * F.col("m")).otherwise(
+        F.col("sure") + F.when(F.col("rest") == 1, 1).otherwise(F.coalesce("up", F.lit(0)))
+    )
     granted = (
         rated.alias("u")
         .join(
-            ups.select(F.col("doc_id").alias("i"), F.col("source").alias("s"), F.col("size").alias("z"), "up"),
-            F.col("u.doc_id").eqNullSafe(F.col("i")) & F.col("u.source").eqNullSafe(F.col("s"))
-            & (F.col("u.size") == F.col("z")),
+            ups.toDF("up_doc", "up_source", "up_th", "up_size", "up"),
+            F.col("u.doc_id").eqNullSafe(F.col("up_doc"))
+            & F.col("u.source").eqNullSafe(F.col("up_source"))
+            & (F.col("u.th") == F.col("up_th")) & (F.col("u.size") == F.col("up_size")),
             "left",
         )
-        .select(
-            F.col("u.doc_id").alias("mix_doc"), F.col("u.source").alias("mix_from"),
-            F.col("u.size").alias("mix_words"), F.col("source_size").alias("mix_source_size"),
-            F.col("target").alias("mix_target"), (F.col("base") + up).cast("int").alias("mix_copies"),
+        .select(*[F.col(f"u.{c}") for c in key], "m", "source_size", "target", "base", up.alias("ups"))
+    )
+    # Structs keep the columns of the documents apart from those of the mix.
+    rows = sized.alias("d").join(
+        granted.alias("g"),
+        F.col("d.doc_id").eqNullSafe(F.col("g.doc_id"))
+        & F.col("d.source").eqNullSafe(F.col("g.source"))
+        & (F.xxhash64(F.col("d.text")) == F.col("g.th")) & (F.col("d.mix_size") == F.col("g.size")),
+    ).select(F.struct("d.*").alias("d"), F.struct("g.*").alias("g"))
+
+    def finished(part: DataFrame, more: Column) -> DataFrame:
+        return part.select(
+            "d.*", F.col("g.source_size").alias("mix_source_size"),
+            F.col("g.target").alias("mix_target"),
+            (F.col("g.base") + more).cast("int").alias("mix_copies"),
+        )
+
+    if units.where("m > 1").isEmpty():
+        return finished(rows, F.col("g.ups"))
+    numbered = _numbered(cut_lineage(rows.where("g.m > 1").withColumn("r", F.rand(seed))))
+    return finished(rows.where("g.m = 1"), F.col("g.ups")).unionByName(
+        finished(numbered, (F.col("place") <= F.col("g.ups")).cast("int"))
+    )
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows(d, g, r)`` with their place from 1 among the rows of one ``g``.
+
+    Rows are numbered in cells of about ``CELL_ROWS``, cut by the stored number ``r``, and
+    one small row a cell carries the numbers of the cells before it.
+    """
+    cells = F.ceil(F.col("g.m") / CELL_ROWS)
+    rows = rows.withColumn("cell", F.floor(F.col("r") * cells))
+    before = Window.partitionBy("g").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = cut_lineage(
+        rows.groupBy("g", "cell").agg(F.count(F.lit(1)).alias("n")).select(
+            F.col("g").alias("of"), F.col("cell").alias("at"),
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"),
         )
     )
-    return sized.join(
-        granted,
-        sized["doc_id"].eqNullSafe(granted["mix_doc"])
-        & sized["source"].eqNullSafe(granted["mix_from"])
-        & (sized["mix_size"] == granted["mix_words"]),
-    ).drop("mix_doc", "mix_from", "mix_words")
+    place = F.row_number().over(Window.partitionBy("g", "cell").orderBy("r"))
+    return rows.withColumn("place", place).join(
+        firsts, F.col("g").eqNullSafe(F.col("of")) & (F.col("cell") == F.col("at"))
+    ).withColumn("place", F.col("place") + F.col("first"))
 
 
 def repeat_rows(mixed: DataFrame) -> DataFrame:
