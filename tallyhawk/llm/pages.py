@@ -38,14 +38,19 @@ SEEN = 3
 BLOCK_SEEN = 8
 #: and this share of the pages that have text in that node.
 BLOCK_SHARE = 0.9
-#: Elements nested deeper hang their text on the one at this depth.
+#: Elements nested deeper hang their text on the one at this depth, but for noise and articles.
 DEPTH = 64
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style title textarea noscript iframe noembed noframes template xmp svg math".split())
+_RAW = frozenset(
+    "script style title textarea noscript iframe noembed noframes template xmp svg "
+    "annotation annotation-xml".split()
+)
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr br img".split()
+    "small span strike strong sub sup time tt u var wbr br img "
+    "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow "
+    "ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 #: Elements that are never part of an article.
 _NOISE_TAGS = frozenset("nav footer aside form button select menu dialog fieldset object applet".split())
@@ -58,6 +63,15 @@ _NOISE_WORDS = re.compile(
     r"(?=$|[\s_-])",
     re.I,
 )
+#: Words that say nothing beside those: inside an article, ``related-posts`` is noise and
+#: ``related-work`` is not.
+_PLAIN_WORDS = frozenset(
+    "area article articles bar block blog body bottom box btn button buttons card container content entry form "
+    "group icons inner item items left link links list main module outer page panel post posts right row section "
+    "side site slot story text title top unit wrap wrapper".split()
+)
+#: Elements whose id tells what they hold; that of a heading or paragraph is a link target.
+_CONTAINERS = frozenset("div section ul ol dl table header center ins".split())
 _ARTICLE = frozenset(["article", "main"])
 #: An element of the first kind ends an open one of the second.
 _CLOSES = {
@@ -74,6 +88,26 @@ _NAMES = re.compile(r"(?:^|\s)(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([
 _DIGITS = re.compile(r"\d+")
 
 
+def _says_noise(tag: str, names: list[tuple[str, str]], inside: bool) -> bool:
+    """Whether class, id, role or itemprop mark an element as no part of an article.
+
+    ``inside`` an article a compound name counts only if the rest of it says nothing.
+    """
+    for kind, value in names:
+        if kind == "id" and tag not in _CONTAINERS or not _NOISE_WORDS.search(value):
+            continue
+        if not inside:
+            return True
+        for word in value.lower().split():
+            parts = [p for p in re.split(r"[-_]+", word) if p and not p.isdigit()]
+            told = [bool(_NOISE_WORDS.fullmatch(p)) for p in parts]
+            if _NOISE_WORDS.fullmatch(word) or any(told) and all(
+                t or p in _PLAIN_WORDS for p, t in zip(parts, told, strict=True)
+            ):
+                return True
+    return False
+
+
 class Page:
     """The blocks of a page and the tree of elements that hold them."""
 
@@ -96,15 +130,18 @@ class Page:
 
     def _open(self, tag: str, attributes: str) -> None:
         parent = self._stack[-1][1]
-        names = " ".join(
-            a or b or c for _, a, b, c in _NAMES.findall(attributes)
-        ) if attributes.strip() else ""
-        inside = self.nodes[parent][2] or any(t in _ARTICLE for t, _ in self._stack)
+        named = [
+            (kind.lower(), a or b or c) for kind, a, b, c in _NAMES.findall(attributes)
+        ] if attributes.strip() else []
+        names = " ".join(value for _, value in named)
+        within = self.nodes[parent][2]
+        inside = within or any(t in _ARTICLE for t, _ in self._stack)
         noise = (
-            self.nodes[parent][2] or tag in _NOISE_TAGS or tag == "header" and not inside
-            or bool(names) and tag not in ("html", "body", "main") and bool(_NOISE_WORDS.search(names))
+            within or tag in _NOISE_TAGS or tag == "header" and not inside
+            or bool(named) and tag not in ("html", "body", "main") and _says_noise(tag, named, inside)
         )
-        if len(self._stack) > DEPTH:
+        # Noise, and an article, get a node at any depth; what is below them has one already.
+        if len(self._stack) > DEPTH and not (noise and not within or tag in _ARTICLE and not inside):
             self._stack.append((tag, parent))
             return
         label = f"{tag}.{_DIGITS.sub('0', names)}" if names else tag
@@ -135,7 +172,8 @@ class Page:
                 tag = tag.lower()
                 if tag in _RAW:
                     if not end and not attributes.endswith("/"):
-                        self._flush()
+                        if not tag.startswith("annotation"):
+                            self._flush()
                         close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(html, at)
                         at = close.end() if close else len(html)
                 elif tag == "a":

@@ -62,6 +62,25 @@ def test_shared_blocks_inside_articles_are_template(spark):
     assert all("spring offer" in text and "Buy one" in text for text in got[12:])
 
 
+def test_ids_compound_classes_and_formulas_stay_in_the_article(spark):
+    page = (
+        '<article><h2 id="search">Search trees</h2><section class="related-work"><p>Others did this.</p></section>'
+        '<p id="notice">We notice it.</p><p>So <math><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>no</annotation></math>'
+        ' holds.</p><div class="related-posts">no</div><div id="comments">no</div><ul class="share_buttons-2"><li>no</ul>'
+        '<div class="side-bar">no</div><p class="advert">no</article><div class="related-work">no</div>'
+    )
+    assert texts(spark, [("http://i.example/1", page)]) == ["Search trees\nOthers did this.\nWe notice it.\nSo x=1 holds."]
+
+
+def test_noise_and_articles_are_found_at_any_depth(spark):
+    deep = "<div>" * 70
+    pages = [
+        ("http://n.example/1", deep + '<p>Text</p><nav>no</nav><div class="ad">no <div>no</div></div><p>end'),
+        ("http://n.example/2", "<p>no</p>" + deep + "<article><p>Text</p><aside><div>no</div></aside><p>end</p></article><p>no"),
+    ]
+    assert texts(spark, pages) == ["Text\nend"] * 2
+
+
 def test_nulls_odd_markup_repeats_and_empty_tables(spark):
     pages = [
         (None, None), ("x", ""), ("http://a.example", "plain text only"), ("http://a.example", "<p>unclosed <b>tags <i>here"),
