@@ -12,6 +12,10 @@ is for; one position in 35 is sampled.
 3. Merge in the suffixes that were not sampled: every window start belongs to one anchor
    and is compared inside its name's group only, with the bytes around the anchor.
 4. Of equal prefixes of ``length`` bytes, the first in order stays, the others are removed.
+
+A name counted more than ``BUSY`` times would be one large group. Its windows go one by
+one instead, by hash of all their bytes, after equal windows of a piece are combined: what
+meets in a task is equal windows only, and one place is remembered of them.
 """
 
 from __future__ import annotations
@@ -39,11 +43,15 @@ _PLACE = np.uint64((1 << 24) - 1)
 BROADCAST_ROWS = 1_000_000
 #: Rounds that the names are compared in.
 ROUNDS = 4
+#: A name counted more often is compared window by window.
+BUSY = 20_000
 #: Texts that go to a Python worker at a time, so that workers stay small.
 BATCH_ROWS = 1_000
 LAST = (1 << 63) - 1
 #: A place and the size of its span travel as one number.
 _SPAN = 1 << 16
+#: Marks, in place of the bytes left of a name, a window that is compared alone.
+_WINDOW = -1
 
 
 def name_bytes(length: int) -> int:
@@ -126,6 +134,42 @@ def _pieces(texts: pa.Array, length: int):
         at += 1
 
 
+def _windows(anchors: tuple, total: np.ndarray, down: np.ndarray, place: tuple, length: int):
+    """The windows of the spans ``anchors``, of one piece, that are first in it, and the other runs.
+
+    ``place`` is the (owner, text hash, start) of each span. Gives window hashes, the index
+    of their spans and starts in the piece; then index, first and last start of each run of
+    windows that stand earlier in the piece.
+    """
+    _, _, first, last, _ = anchors
+    owner, th, at = place
+    sizes = last - first + 1
+    span = np.repeat(np.arange(len(sizes)), sizes)
+    start = first[span] + np.arange(len(span)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    window = mix((total[start + length] - total[start]) * down[start])
+    order = np.lexsort((at[span] + start - first[span], th[span], owner[span], window))
+    again = np.zeros(len(order), dtype=bool)
+    again[order[1:]] = window[order[1:]] == window[order[:-1]]
+    lead, rest = np.flatnonzero(~again), np.flatnonzero(again)
+    begins = np.ones(len(rest), dtype=bool)
+    begins[1:] = (rest[1:] != rest[:-1] + 1) | (span[rest[1:]] != span[rest[:-1]])
+    ends = np.concatenate([begins[1:], np.ones(min(1, len(rest)), dtype=bool)])
+    return window[lead], span[lead], start[lead], span[rest[begins]], start[rest[begins]], start[rest[ends]]
+
+
+def _not_first(key: np.ndarray, least: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of ``key``, sorted, differ from the first row of their first column's value.
+
+    ``least`` is the first row of the value that the rows before ended with.
+    """
+    lead = np.arange(len(key))
+    lead[1:][key[1:, 0] == key[:-1, 0]] = 0
+    firsts = key[np.maximum.accumulate(lead)]
+    if least is not None:
+        firsts[key[:, 0] == least[0]] = least
+    return (key != firsts).any(axis=1), firsts[-1].copy()
+
+
 def _cover(docs: DataFrame, length: int) -> DataFrame:
     """(ord, th, s, e): byte ranges of ``docs(ord, th, text)`` that occur earlier.
 
@@ -151,11 +195,30 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _compare_rounds(docs: DataFrame, length: int, names_of, width: int) -> DataFrame:
-    maps = common_bitmaps(docs, names_of, (1,))
+    maps = common_bitmaps(docs, names_of, (1, BUSY))
     bits = docs.sparkSession.sparkContext.broadcast(maps)
 
+    def one_by_one(anchors: tuple, total: np.ndarray, down: np.ndarray, place: tuple) -> pa.RecordBatch:
+        owner, th, at = place
+        window, span, start, later, s, e = _windows(anchors, total, down, place, length)
+        begin = at - anchors[2]
+        into = np.concatenate([span, later])
+        where = begin[into] + np.concatenate([start, s])
+        size = np.concatenate([np.full(len(span), length), e - s + length])
+        # A run that is known to stand earlier only travels: any key that spreads it will do.
+        key = np.concatenate([window, mix((begin[later] + s).astype(np.uint64) + th[later].view(np.uint64))])
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(key.view(np.int64)), pa.array(owner[into]), pa.array(th[into]),
+                pa.array(where * _SPAN + size),
+                pa.array(np.repeat(np.array([_WINDOW, 0], np.int16), [len(span), len(later)])),
+                pa.array([b""] * len(into), pa.binary()),
+            ],
+            ["name", "ord", "th", "at", "left", "span"],
+        )
+
     def sample(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
-        shared = np.frombuffer(bits.value[0], dtype=np.uint8)
+        shared, often = (np.frombuffer(b, dtype=np.uint8) for b in bits.value)
         for batch in batches:
             owners, hashes = (batch.column(k).to_numpy() for k in (0, 1))
             for data, bounds, row, start in _pieces(batch.column(2), length):
@@ -181,6 +244,13 @@ def _compare_rounds(docs: DataFrame, length: int, names_of, width: int) -> DataF
                 )
                 same[order] = again  # a repeated row
                 key = np.where(copy, mix(whole + at.astype(np.uint64) + th.view(np.uint64)), name)
+                busy = np.flatnonzero(~copy & ~same & marked(often, name))
+                if len(busy):
+                    yield one_by_one(
+                        tuple(x[busy] for x in (name, anchor, first, last, text)), total, down,
+                        (owner[busy], th[busy], at[busy]),
+                    )
+                    same[busy] = True
                 kept = np.flatnonzero(~same)
                 # The bytes of the name are the same in its whole group and stay behind.
                 sent = np.where(copy, 0, size - width)[kept]
@@ -202,11 +272,18 @@ def _compare_rounds(docs: DataFrame, length: int, names_of, width: int) -> DataF
                 )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_name, seen, last = None, np.empty(0, np.uint64), None
+        open_name, seen, last, least = None, np.empty(0, np.uint64), None, None
         for batch in batches:
             bare = np.asarray(pa.compute.binary_length(batch.column(5))) == 0
-            if bare.any():
-                rows = batch.filter(pa.array(bare))
+            gone = bare & (batch.column(4).to_numpy() != _WINDOW)
+            alone = np.flatnonzero(bare & ~gone)
+            if len(alone):
+                later, least = _not_first(
+                    np.column_stack([batch.column(k).to_numpy()[alone] for k in range(4)]), least
+                )
+                gone[alone] = later
+            if gone.any():
+                rows = batch.filter(pa.array(gone))
                 at, size = np.divmod(rows.column(3).to_numpy(), _SPAN)
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(1), rows.column(2), pa.array(at), pa.array(at + size)],

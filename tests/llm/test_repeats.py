@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from tallyhawk.llm import repeats
@@ -63,6 +64,49 @@ def test_nulls_periods_repeats_and_edges(spark):
     compare(spark, rows)
 
 
+@pytest.mark.parametrize("busy", [1, 30])
+def test_windows_of_frequent_names_are_compared_one_by_one(spark, monkeypatch, busy):
+    rnd = random.Random(busy)
+    letters = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    phrase = "a phrase of forty bytes, in all the texts"
+    # The phrase in other surroundings each time, in a longer passage, and in repeated rows.
+    rows = [(i, letters(rnd.randrange(90, 200)) + phrase + letters(rnd.randrange(90, 200)), "s") for i in range(120)]
+    longer = letters(150) + phrase + letters(80)
+    rows += [(200 + i, letters(rnd.randrange(60)) + longer + letters(20) + longer[40:], "s") for i in range(40)]
+    rows += passages(busy, 60) + rows[:5] + [(None, rows[130][1] + "!", "s"), (907, rows[7][1] + longer, "s"), (900, "a" * 700, "s")]
+    monkeypatch.setattr(repeats, "BUSY", busy)
+    compare(spark, rows)
+
+
+def test_windows_of_a_piece_are_combined_before_they_travel():
+    rnd = random.Random(6)
+    letters = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    shared = letters(260)
+    texts = [(letters(50) + shared + letters(50)).encode() for _ in range(30)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    anchors = repeats._anchors(data, bounds, 100)
+    total, down = repeats._sums(data)
+    text = anchors[4]
+    place = (text, np.zeros(len(text), np.int64), anchors[2] - bounds[text])
+    window, span, start, later, s, e = repeats._windows(anchors, total, down, place, 100)
+    assert len(set(window.tolist())) == len(window)  # one row for equal windows
+    assert (e >= s).all() and len(window) + (e - s + 1).sum() == sum(len(t) - 99 for t in texts)
+    assert len(window) == len({t[p : p + 100] for t in texts for p in range(len(t) - 99)})
+    assert set(text[later].tolist()) == set(range(1, 30))  # the first text has each first
+
+
+def test_only_the_first_place_of_a_key_is_kept_over_batches():
+    key = np.array([[1, 0, 0, 5], [1, 0, 0, 5], [1, 0, 0, 9], [2, 1, 0, 0], [2, 3, 0, 0], [2, 3, 0, 0], [4, 0, 0, 0]])
+    want = [False, False, True, False, True, True, False]
+    for size in range(1, 8):
+        got, least = [], None
+        for at in range(0, len(key), size):
+            later, least = repeats._not_first(key[at : at + size], least)
+            got += later.tolist()
+        assert got == want
+
+
 def test_long_documents_are_scanned_in_pieces(spark, monkeypatch):
     rnd = random.Random(4)
     text = "".join(rnd.choice("abcdefgh ") for _ in range(3000))
