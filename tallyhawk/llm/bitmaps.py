@@ -122,6 +122,14 @@ def common_bitmaps(
     return tuple(b"".join(maps.get(k, empty)[i] for k in range(SLICES)) for i in range(len(above)))
 
 
+def set_slots(bitmap: bytes) -> np.ndarray:
+    """The numbers of the bits that are set, in order: a small list where few are."""
+    data = np.frombuffer(bitmap, dtype=np.uint8)
+    at = np.flatnonzero(data)
+    byte, bit = np.nonzero(np.unpackbits(data[at, None], axis=1))
+    return (at[byte] * 8 + bit).astype(np.uint64)
+
+
 def marked(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether each hash's bit is set in ``bitmap``, the bytes of one bitmap."""
     map_bits = len(bitmap).bit_length() + 2

@@ -31,13 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructType
 
-from tallyhawk.llm.bitmaps import common_bitmaps, marked
+from tallyhawk.llm.bitmaps import MAP_BITS, common_bitmaps, marked, set_slots
 from tallyhawk.llm.common import cut_lineage, ship_package, spread
 from tallyhawk.llm.shingles import mix, powers
 
 LENGTH = 100
 #: Bytes scanned together; a longer document is scanned in pieces.
-PIECE = 2_000_000
+PIECE = 1_000_000
 _PLACE = np.uint64((1 << 24) - 1)
 #: A list of so many copies, 16 bytes each, may be broadcast.
 BROADCAST_ROWS = 1_000_000
@@ -196,7 +196,7 @@ def _cover(docs: DataFrame, length: int) -> DataFrame:
 
 def _compare_rounds(docs: DataFrame, length: int, names_of, width: int) -> DataFrame:
     maps = common_bitmaps(docs, names_of, (1, BUSY))
-    bits = docs.sparkSession.sparkContext.broadcast(maps)
+    bits = docs.sparkSession.sparkContext.broadcast((maps[0], set_slots(maps[1])))
 
     def one_by_one(anchors: tuple, total: np.ndarray, down: np.ndarray, place: tuple) -> pa.RecordBatch:
         owner, th, at = place
@@ -218,7 +218,7 @@ def _compare_rounds(docs: DataFrame, length: int, names_of, width: int) -> DataF
         )
 
     def sample(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
-        shared, often = (np.frombuffer(b, dtype=np.uint8) for b in bits.value)
+        shared, often = np.frombuffer(bits.value[0], dtype=np.uint8), bits.value[1]
         for batch in batches:
             owners, hashes = (batch.column(k).to_numpy() for k in (0, 1))
             for data, bounds, row, start in _pieces(batch.column(2), length):
@@ -244,7 +244,7 @@ def _compare_rounds(docs: DataFrame, length: int, names_of, width: int) -> DataF
                 )
                 same[order] = again  # a repeated row
                 key = np.where(copy, mix(whole + at.astype(np.uint64) + th.view(np.uint64)), name)
-                busy = np.flatnonzero(~copy & ~same & marked(often, name))
+                busy = np.flatnonzero(~copy & ~same & np.isin(name >> np.uint64(64 - MAP_BITS), often))
                 if len(busy):
                     yield one_by_one(
                         tuple(x[busy] for x in (name, anchor, first, last, text)), total, down,

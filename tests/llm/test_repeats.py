@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from tallyhawk.llm import repeats
+from tallyhawk.llm.bitmaps import marked, set_slots
 from tallyhawk.llm.repeats import remove_repeats, repeats_digest, without_repeats
 from tests.llm.helpers import documents
 
@@ -96,6 +97,17 @@ def test_windows_of_a_piece_are_combined_before_they_travel():
     assert set(text[later].tolist()) == set(range(1, 30))  # the first text has each first
 
 
+def test_frequent_names_are_listed_by_their_bits():
+    rnd = np.random.default_rng(2)
+    hashes = rnd.integers(0, 1 << 63, 500, dtype=np.uint64) * np.uint64(2)
+    bitmap = np.zeros(1 << 9, np.uint8)
+    slots = hashes[:40] >> np.uint64(64 - 12)
+    np.bitwise_or.at(bitmap, (slots >> np.uint64(3)).astype(np.int64), np.uint8(128) >> (slots & np.uint64(7)).astype(np.uint8))
+    found = set_slots(bitmap.tobytes())
+    assert found.tolist() == sorted(set(slots.tolist()))
+    assert (np.isin(hashes >> np.uint64(64 - 12), found) == marked(bitmap, hashes)).all()
+
+
 def test_only_the_first_place_of_a_key_is_kept_over_batches():
     key = np.array([[1, 0, 0, 5], [1, 0, 0, 5], [1, 0, 0, 9], [2, 1, 0, 0], [2, 3, 0, 0], [2, 3, 0, 0], [4, 0, 0, 0]])
     want = [False, False, True, False, True, True, False]
