@@ -14,7 +14,7 @@ from tallyhawk.plans.driver_view import raw_transactions, table, with_raw, with_
 from tallyhawk.plans.registry import Query, round_sql, rounded
 from tallyhawk.session import new_folder, prepare
 from tallyhawk.sources.commit_log import read_commit_log
-from tallyhawk.streaming.bursts import stream_bursts
+from tallyhawk.streaming.bursts import sliding_totals, stream_bursts
 from tallyhawk.streaming.dedup import stream_dedup
 from tallyhawk.streaming.features import OUTPUT
 from tallyhawk.streaming.ordered import end_marker, stream_ordered_features
@@ -26,6 +26,10 @@ AS_OF = dt.date(2024, 1, 30)
 _ACTOR = "case when user_id%20=0 then 'ci-Bot-'||cast(user_id as string) " \
          "else 'user'||cast(user_id%40 as string) end"
 _DELETED = "event_id%17"
+#: Rows of a step of a stream, about, and of a file of it: what a stream holds at a time
+#: follows from them, not from the table.
+STEP_ROWS = 2_000_000
+FILE_ROWS = 250_000
 
 
 def events_log(spark, sf_dir):
@@ -155,19 +159,30 @@ def _dedup(spark, sf_dir):
     return out.withColumn(S.TIME, micros(F.col(S.TIME)))
 
 
-def arrivals(spark, rows, steps=3, hours=2):
+def arrivals(spark, rows, steps=3, hours=2.0, marker=True):
     """``rows`` as a stream that arrives step by step, each row up to ``hours`` late.
 
-    The last file has the marker that ends the stream.
+    There are ``steps`` steps, more where one would have over STEP_ROWS. All steps have the
+    same number of files, so that a micro-batch is a step: no row of a step comes behind
+    newer rows of the same step. With ``marker`` the last file ends the stream.
     """
     folder = new_folder(spark, "arrivals")
-    at = micros(F.col(S.TIME)) + F.pmod(F.xxhash64(S.TXN), F.lit(hours * 3_600_000_000))
-    low, high = rows.agg(F.min(at), F.max(at)).first()
-    step = F.floor((at - F.lit(low)) * steps / F.lit(high - low + 1))
+    at = micros(F.col(S.TIME)) + F.pmod(F.xxhash64(S.TXN), F.lit(max(1, int(hours * 3_600_000_000))))
+    low, high, count = rows.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
+    steps = max(steps, -(-count // STEP_ROWS))
+    if low is None:
+        low = high = 0
+    step = F.coalesce(F.floor((at - F.lit(low)) * steps / F.lit(high - low + 1)), F.lit(0))
+    largest = rows.groupBy(step.alias("step")).count().agg(F.max("count")).first()[0] or 0
+    files = max(1, -(-largest // FILE_ROWS))
     for k in range(steps):
-        rows.where(F.coalesce(step, F.lit(0)) == k).write.mode("append").parquet(folder)
-    end_marker(rows).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 8).parquet(folder)
+        rows.where(step == k).repartition(files).write.mode("append").parquet(folder)
+        written = len(spark.read.schema(rows.schema).parquet(folder).inputFiles())
+        for _ in range(written, (k + 1) * files):  # a step of few rows
+            spark.createDataFrame([], rows.schema).write.mode("append").parquet(folder)
+    if marker:
+        end_marker(rows).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def _features(spark, sf_dir):
@@ -179,9 +194,12 @@ def _features(spark, sf_dir):
 
 def _bursts(spark, sf_dir):
     """All windows, those that are still open included."""
-    stream = _stream(spark, sf_dir).select(S.CARD, S.TIME, S.AMOUNT)
+    rows = raw_transactions(prepare(spark), sf_dir).select(S.TXN, S.CARD, S.TIME, S.AMOUNT)
+    stream = arrivals(spark, rows, steps=1, hours=0.5, marker=False).select(S.CARD, S.TIME, S.AMOUNT)
     stream = stream.withColumn(S.TIME, F.col(S.TIME).cast("timestamp"))
-    out = upsert_to_end(spark, stream_bursts(stream), ["window_start", "window_end", S.CARD])
+    # A window is the sum of its twelve panes, so the stream's state has panes alone.
+    panes = upsert_to_end(spark, stream_bursts(stream, width="5 minutes"), ["window_start", "window_end", S.CARD])
+    out = sliding_totals(panes)
     return rounded(out.withColumns({"window_start": F.unix_micros("window_start"),
                                     "window_end": F.unix_micros("window_end")}))
 

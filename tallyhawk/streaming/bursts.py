@@ -21,3 +21,17 @@ def stream_bursts(stream: DataFrame, *, width: str = "60 minutes", slide: str =
         .select(F.col("window.start").alias("window_start"),
                 F.col("window.end").alias("window_end"), CARD, "transactions", "spent")
     )
+
+
+def sliding_totals(panes: DataFrame, *, width: str = "60 minutes", slide: str = "5 minutes") -> DataFrame:
+    """Sliding windows from what ``stream_bursts`` gives for windows of ``slide`` that do not overlap.
+
+    A stream then keeps one row per card and slide instead of one per card and window;
+    ``width`` is a multiple of ``slide``.
+    """
+    return (
+        panes.groupBy(F.window("window_start", width, slide), CARD)
+        .agg(F.sum("transactions").alias("transactions"), F.sum("spent").alias("spent"))
+        .select(F.col("window.start").alias("window_start"),
+                F.col("window.end").alias("window_end"), CARD, "transactions", "spent")
+    )

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhawk.operators.behaviour import add_behaviour
+from tallyhawk.plans import queries_activity
 from tallyhawk.plans.driver_view import raw_transactions
 from tallyhawk.plans.queries_activity import run_to_end
 from tallyhawk.streaming.bursts import stream_bursts
@@ -72,3 +73,27 @@ def test_stream_bursts_count_closed_windows(spark, sf_dir, tmp_path):
     closed = df.agg(F.max("trans_date_trans_time") - F.expr("interval 1 hour")).first()[0]
     want = {tuple(r) for r in batch.filter(F.col("end") <= closed).collect()}
     assert {(r.window_end, r.cc_num, r.transactions) for r in got.collect()} == want
+
+
+def test_panes_add_up_to_sliding_windows(spark, monkeypatch):
+    """The stream keeps a row per card and pane, and its windows are those of a batch."""
+    monkeypatch.setattr(queries_activity, "STEP_ROWS", 150)
+    monkeypatch.setattr(queries_activity, "FILE_ROWS", 20)
+    df = table(spark, random_rows(400, 11))
+    monkeypatch.setattr(queries_activity, "raw_transactions", lambda *_: df)
+    held = []
+
+    def panes(stream, **windows):
+        held.append(windows)
+        return stream_bursts(stream, **windows)
+
+    monkeypatch.setattr(queries_activity, "stream_bursts", panes)
+    got = queries_activity._bursts(spark, "")
+    assert held == [{"width": "5 minutes"}]
+    at = F.col("trans_date_trans_time").cast("timestamp")
+    want = df.groupBy(F.window(at, "60 minutes", "5 minutes"), "cc_num").agg(
+        F.count("amt").alias("n"), F.sum("amt").alias("s")).select(
+        F.unix_micros("window.start").alias("w"), F.unix_micros("window.end"), "cc_num", "n", F.round("s", 4))
+    found = got.select("window_start", "window_end", "cc_num", "transactions", F.round("spent", 4))
+    key = lambda r: repr(tuple(r))
+    assert sorted(map(tuple, found.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
