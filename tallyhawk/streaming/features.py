@@ -51,27 +51,48 @@ def _distance(lat1, lon1, lat2, lon2) -> np.ndarray:
     return 2 * EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.minimum(chord, 1.0)))
 
 
-def _shifted(first, values: np.ndarray) -> np.ndarray:
-    """Each row's predecessor; the first row gets what the state remembers."""
-    return np.concatenate(([first], values[:-1]))
+def _shifted(first: np.ndarray, values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Each row's predecessor; a card's first row gets what its state remembers."""
+    out = np.concatenate(([np.nan], values[:-1]))
+    out[starts] = first
+    return out
+
+
+def _before(first: np.ndarray, values: np.ndarray, starts: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Sum of what a card's state remembers and of its rows before each row."""
+    running = np.cumsum(values) - values
+    return first[of] + running - running[starts][of]
 
 
 def history_features(rows: pd.DataFrame, state: tuple | None, limits: Thresholds):
-    seen, units0, hours0, lat0, long0, us0, recent0 = state or (0, 0, 0, None, None, None, [])
+    """Features of one card's rows in order, and the state after them."""
+    out, (remembered,) = cards_features(rows, np.array([0]), [state], limits)
+    return out, remembered
+
+
+def cards_features(rows: pd.DataFrame, starts: np.ndarray, states: list[tuple | None], limits: Thresholds):
+    """Features of the rows of several cards, card after card, and the states after them.
+
+    ``starts`` has the place of each card's first row, ``states`` what is known of the card.
+    """
+    states = [state or (0, 0, 0, None, None, None, []) for state in states]
+    seen, units0, hours0 = (np.array([s[i] for s in states], np.int64) for i in range(3))
+    nan = float("nan")
+    lat0, long0, us0 = (np.array([nan if s[i] is None else float(s[i]) for s in states]) for i in range(3, 6))
+    ends = np.append(starts[1:], len(rows))
+    of = np.repeat(np.arange(len(starts)), ends - starts)
     us = rows["us"].to_numpy(np.int64)
     amount = rows[AMOUNT].to_numpy(float)
     units = rows["units"].fillna(0).to_numpy(np.int64)
     hour = rows["hour"].to_numpy(np.int64)
     lat, long = rows["merch_lat"].to_numpy(float), rows["merch_long"].to_numpy(float)
 
-    prior = seen + np.arange(len(rows))
+    prior = seen[of] + np.arange(len(rows)) - starts[of]
     known = prior > 0
-    out = pd.DataFrame({"trans_num": rows[TXN], "cc_num": rows[CARD], "us": us})
+    out = {"trans_num": rows[TXN], "cc_num": rows[CARD], "us": us}
 
-    nan = float("nan")
-    prev_lat = _shifted(nan if lat0 is None else lat0, lat)
-    prev_long = _shifted(nan if long0 is None else long0, long)
-    prev_us = _shifted(nan if us0 is None else float(us0), us.astype(float))
+    prev_lat, prev_long = _shifted(lat0, lat, starts), _shifted(long0, long, starts)
+    prev_us = _shifted(us0, us.astype(float), starts)
     moved = np.nan_to_num(_distance(lat, long, prev_lat, prev_long), nan=0.0)
     gap = np.maximum(us - prev_us, 0.0) / 3.6e9
     changed = (moved > limits.moved_km) & ~np.isnan(prev_lat)
@@ -81,11 +102,10 @@ def history_features(rows: pd.DataFrame, state: tuple | None, limits: Thresholds
     out["rapid_location_change"] = (changed & (gap < limits.rapid_move_hours)).astype(int)
 
     with np.errstate(divide="ignore", invalid="ignore"):
-        units_before = units0 + np.cumsum(units) - units
-        mean = np.where(known, units_before / UNITS_PER_AMOUNT / prior, nan)
+        mean = np.where(known, _before(units0, units, starts, of) / UNITS_PER_AMOUNT / prior, nan)
         mean = np.where(np.isnan(amount), nan, mean)
         ratio = np.where(known & (mean != 0), amount / mean, 1.0)
-        usual = np.where(known, (hours0 + np.cumsum(hour) - hour) / prior, nan)
+        usual = np.where(known, _before(hours0, hour, starts, of) / prior, nan)
     ratio = np.where(np.isnan(ratio), 1.0, ratio)
     out["customer_avg_amt_so_far"] = mean
     out["customer_relative_amount_deviation"] = np.where(known, amount - mean, 0.0)
@@ -103,24 +123,31 @@ def history_features(rows: pd.DataFrame, state: tuple | None, limits: Thresholds
         (deviation > limits.odd_hour_deviation) & known
     ).astype(int)
 
-    times = np.sort(np.concatenate((np.array(recent0, np.int64), us[~np.isnan(amount)])))
-    before = np.searchsorted(times, us, "left")
-    for name, seconds in TRAILING.items():
-        too_old = np.searchsorted(times, us - seconds * 1_000_000, "left")
-        out[f"txn_count_{name}"] = before - too_old
+    counts = {name: np.zeros(len(rows), np.int64) for name in TRAILING}
+    counted = ~np.isnan(amount)
+    units_after, hours_after = np.add.reduceat(units, starts), np.add.reduceat(hour, starts)
+    remembered = []
+    for k, (start, end) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
+        mine = us[start:end]
+        times = np.sort(np.concatenate((np.array(states[k][6], np.int64), mine[counted[start:end]])))
+        before = np.searchsorted(times, mine, "left")
+        for name, seconds in TRAILING.items():
+            counts[name][start:end] = before - np.searchsorted(times, mine - seconds * 1_000_000, "left")
+        last, known_us = int(mine[-1]), states[k][5]
+        newest = last if known_us is None else max(last, int(known_us))
+        stays = known_us is not None and last < known_us
+        place = states[k][3:5] if stays else (_or_none(lat[end - 1]), _or_none(long[end - 1]))
+        remembered.append((
+            int(seen[k] + end - start), int(units0[k] + units_after[k]), int(hours0[k] + hours_after[k]),
+            *place, newest, times[times >= newest - _KEEP_MICROS].tolist(),
+        ))
+    for name, found in counts.items():
+        out[f"txn_count_{name}"] = found
     out["transaction_velocity"] = out["txn_count_last_60min"]
     out["rapid_transaction_flag"] = (
         out["txn_count_last_5min"] >= limits.rapid_count
     ).astype(int)
-
-    newest = int(us[-1]) if us0 is None else max(int(us[-1]), int(us0))
-    stays = us0 is not None and us[-1] < us0
-    last = (lat0, long0) if stays else (_or_none(lat[-1]), _or_none(long[-1]))
-    remembered = (
-        int(seen + len(rows)), int(units0 + units.sum()), int(hours0 + hour.sum()),
-        *last, newest, [int(t) for t in times[times >= newest - _KEEP_MICROS]],
-    )
-    return out, remembered
+    return pd.DataFrame(out, index=rows.index), remembered
 
 
 def _or_none(value: float) -> float | None:

@@ -1,13 +1,15 @@
 """Behaviour features on a stream whose rows arrive out of order.
 
-A card's rows are held in its state until the watermark has passed them, then released in
+A card's rows are held in a state until the watermark has passed them, then released in
 the order of their times, so each sees the history it would see in a batch. An event-time
-timer wakes a card that gets no more rows. Rows without a card or a time have no history;
+timer wakes cards that get no more rows. Rows without a card or a time have no history;
 they pass at once, without state.
 
-What is held is bounded by the rows of a card within ``delay``; what a micro-batch releases
-is worked through ``RELEASE`` rows at a time. Rows that come later than ``delay`` behind the
-newest are late for the whole stream and Spark leaves them out.
+Cards share BUCKETS states by a hash, as a call from Spark costs far more than the few rows
+of one card in one micro-batch. What is held is bounded by the rows of a bucket's cards
+within ``delay``; what a micro-batch releases is worked through ``RELEASE`` rows at a time.
+Rows that come later than ``delay`` behind the newest are late for the whole stream and
+Spark leaves them out.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -24,34 +27,60 @@ from tallyhawk.functions.numbers import money_units
 from tallyhawk.schema import AMOUNT, CARD, TIME, TXN
 from tallyhawk.session import ship_package
 from tallyhawk.settings import PROFILE_A, Thresholds
-from tallyhawk.streaming.features import OUTPUT, STATE, history_features
+from tallyhawk.streaming.features import OUTPUT, cards_features
 
-#: Rows of a card that are worked through together.
+#: Rows that are worked through together.
 RELEASE = 50_000
+#: States that the cards are dealt to.
+BUCKETS = 256
 #: Card of the row that ends a stream; see ``end_marker``.
 END = "end-of-stream"
-_HELD = {TXN: "string", "us": "bigint", "hour": "int", AMOUNT: "double", "units": "bigint", "merch_lat": "double", "merch_long": "double"}
+_ROW = pa.schema([
+    (TXN, pa.string()), (CARD, pa.string()), ("us", pa.int64()), ("hour", pa.int32()), (AMOUNT, pa.float64()),
+    ("units", pa.int64()), ("merch_lat", pa.float64()), ("merch_long", pa.float64()),
+])
+_HISTORY = pa.schema([
+    (CARD, pa.string()), ("rows", pa.int64()), ("units", pa.int64()), ("hours", pa.int64()), ("lat", pa.float64()),
+    ("long", pa.float64()), ("us", pa.int64()), ("recent", pa.list_(pa.int64())),
+])
+#: Histories and held rows of a bucket's cards, as Arrow streams.
+_STATE = "history binary, held binary"
 _COLUMNS = [part.split()[0] for part in OUTPUT.split(", ")]
 
 
-def _listed(rows: pd.DataFrame) -> list[list]:
-    """The held rows, column by column, as a state keeps them."""
-    out = []
-    for name, kind in _HELD.items():
-        convert = {"bigint": int, "int": int, "double": float, "string": str}[kind]
-        out.append([None if pd.isna(v) else convert(v) for v in rows[name]])
-    return out
+def _packed(rows: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema) as writer:
+        writer.write_table(rows)
+    return out.getvalue().to_pybytes()
 
 
-def _release(card: str, rows: pd.DataFrame, history: tuple | None, limits: Thresholds):
-    """Features of rows in order, some at a time, and the history after them."""
-    rows = rows.sort_values(["us", TXN], kind="stable", ignore_index=True)
-    rows[CARD] = card
-    done = []
+def _unpacked(raw: bytes) -> pa.Table:
+    return pa.ipc.open_stream(pa.py_buffer(bytes(raw))).read_all()
+
+
+def _pack_histories(histories: dict[str, tuple]) -> bytes:
+    columns = list(zip(*((card, *history) for card, history in histories.items()), strict=True)) or [()] * len(_HISTORY)
+    return _packed(pa.Table.from_arrays(
+        [pa.array(column, kind) for column, kind in zip(columns, _HISTORY.types, strict=True)], schema=_HISTORY
+    ))
+
+
+def _unpack_histories(raw: bytes) -> dict[str, tuple]:
+    cards, *columns = (column.to_pylist() for column in _unpacked(raw).columns)
+    return dict(zip(cards, zip(*columns, strict=True), strict=True))
+
+
+def _release(rows: pd.DataFrame, histories: dict[str, tuple], limits: Thresholds) -> Iterator[pd.DataFrame]:
+    """Features of rows, each card's in order, some at a time; ``histories`` goes along."""
+    rows = rows.sort_values([CARD, "us", TXN], kind="stable", ignore_index=True)
     for start in range(0, len(rows), RELEASE):
-        found, history = history_features(rows.iloc[start : start + RELEASE].reset_index(drop=True), history, limits)
-        done.append(found[_COLUMNS])
-    return done, history
+        part = rows.iloc[start : start + RELEASE].reset_index(drop=True)
+        cards = part[CARD].to_numpy()
+        starts = np.flatnonzero(np.append(True, cards[1:] != cards[:-1]))
+        found, after = cards_features(part, starts, [histories.get(card) for card in cards[starts]], limits)
+        histories.update(zip(cards[starts], after, strict=True))
+        yield found[_COLUMNS]
 
 
 def stream_ordered_features(
@@ -75,23 +104,24 @@ def stream_ordered_features(
     timed = stream.filter(known).withColumn("_event", event).withWatermark("_event", delay).select(*columns, "_event")
 
     def update(key, chunks: Iterator[pd.DataFrame], state: GroupState):
-        kept = state.get if state.exists else None
-        history = None if kept is None or not kept[0] else kept[:7]
-        parts = [] if kept is None else [pd.DataFrame(dict(zip(_HELD, kept[7:], strict=True)))]
-        parts += [chunk[list(_HELD)] for chunk in chunks]
-        rows = pd.concat([p for p in parts if len(p)]) if any(len(p) for p in parts) else pd.DataFrame(columns=list(_HELD))
-        rows = rows.astype({"us": "int64"})
-        passed = rows["us"].to_numpy() <= state.getCurrentWatermarkMs() * 1000
-        done, history = _release(key[0], rows[passed], history, limits)
+        histories, parts = {}, [chunk[_ROW.names] for chunk in chunks]
+        if state.exists:
+            history, held = state.get
+            histories = _unpack_histories(history)
+            parts.insert(0, _unpacked(held).to_pandas())
+        parts = [part for part in parts if len(part)]
+        rows = pd.concat(parts) if parts else _ROW.empty_table().to_pandas()
+        passed = rows["us"].to_numpy(np.int64) <= state.getCurrentWatermarkMs() * 1000
         waiting = rows[~passed]
-        state.update((*(history or (0, 0, 0, None, None, None, [])), *_listed(waiting)))
+        yield from _release(rows[passed], histories, limits)
+        held = pa.Table.from_pandas(waiting, schema=_ROW, preserve_index=False)
+        state.update((_pack_histories(histories), _packed(held)))
         if len(waiting):
             state.setTimeoutTimestamp(int(waiting["us"].min()) // 1000 + 1)
-        yield from done
 
-    held = ", ".join(f"held_{i} array<{kind}>" for i, kind in enumerate(_HELD.values()))
-    ordered = timed.groupBy(CARD).applyInPandasWithState(
-        update, OUTPUT, f"{STATE}, {held}", "append", GroupStateTimeout.EventTimeTimeout
+    bucket = F.pmod(F.xxhash64(CARD), F.lit(BUCKETS)).cast("int")
+    ordered = timed.withColumn("_bucket", bucket).groupBy("_bucket").applyInPandasWithState(
+        update, OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
     def alone(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

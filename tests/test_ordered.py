@@ -1,11 +1,16 @@
 import time
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tallyhawk.operators.behaviour import add_behaviour
+from tallyhawk.plans import queries_activity
 from tallyhawk.plans.queries_activity import arrivals, run_to_end
+from tallyhawk.settings import PROFILE_A
 from tallyhawk.streaming import ordered
+from tallyhawk.streaming.features import cards_features, history_features
 from tallyhawk.streaming.ordered import END, end_marker, stream_ordered_features
 from tests.helpers import table
 from tests.test_history import random_rows
@@ -57,3 +62,35 @@ def test_the_marker_has_the_columns_of_the_rows(spark):
     row = end_marker(df)
     assert row.schema.simpleString() == df.schema.simpleString()
     assert row.first()["cc_num"] == END and row.first()["trans_num"] is None
+
+
+def test_steps_of_many_files_lose_no_row(spark, monkeypatch):
+    # A step whose files came in two micro-batches left rows behind the watermark.
+    monkeypatch.setattr(queries_activity, "FILE_ROWS", 8)
+    monkeypatch.setattr(queries_activity, "STEP_ROWS", 100)
+    df = table(spark, random_rows(260, 4))
+    stream = arrivals(spark, df, steps=2, hours=5)
+    same(run_to_end(spark, stream_ordered_features(stream, delay="6 hours")), add_behaviour(df))
+
+
+def test_cards_together_equal_cards_alone():
+    rng = np.random.default_rng(7)
+    rows = pd.DataFrame({
+        "trans_num": [f"{k:03d}" for k in range(90)], "cc_num": [f"c{k % 4}" for k in range(90)],
+        "us": rng.integers(0, 4 * 3_600_000_000, 90), "hour": rng.integers(0, 24, 90),
+        "amt": np.where(rng.random(90) < 0.1, np.nan, rng.integers(1, 90, 90) / 4),
+        "merch_lat": np.where(rng.random(90) < 0.1, np.nan, 40 + rng.random(90)), "merch_long": -75 + rng.random(90),
+    }).assign(units=lambda r: (r["amt"] * 10_000).round())
+    rows = rows.sort_values(["cc_num", "us"], ignore_index=True)
+    limits = PROFILE_A.limits
+    firsts, lasts = rows.groupby("cc_num").head(8), rows.groupby("cc_num").tail(-8).reset_index(drop=True)
+    known = {"c1": None}  # a card of which nothing is known beside others
+    for card in ("c0", "c2", "c3"):
+        known[card] = history_features(firsts[firsts["cc_num"] == card], None, limits)[1]
+    starts = np.flatnonzero(~lasts["cc_num"].duplicated().to_numpy())
+    got, after = cards_features(lasts, starts, [known[c] for c in lasts["cc_num"][starts]], limits)
+    alone = [history_features(part.reset_index(drop=True), known[card], limits) for card, part in lasts.groupby("cc_num")]
+    pd.testing.assert_frame_equal(got, pd.concat([a[0] for a in alone], ignore_index=True))
+    assert after == [a[1] for a in alone]
+    assert ordered._unpack_histories(ordered._pack_histories({"c": after[0]})) == {"c": after[0]}
+    assert ordered._unpack_histories(ordered._pack_histories({})) == {}
