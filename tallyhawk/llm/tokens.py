@@ -47,9 +47,12 @@ SAMPLE_BYTES = 16_384
 SHARD_ROWS = 50_000
 #: Distinct pieces an encoder remembers.
 PIECES = 800_000
+#: Pieces that are encoded as one text.
+JOINED = 256
 LEVEL = 3
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_SPACE_BYTES = frozenset(np.flatnonzero(_SPACE).tolist())
 #: Lead bytes of white space outside ASCII.
 _LEADS = np.zeros(256, dtype=bool)
 _LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
@@ -72,6 +75,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        vocabulary = self.tokenizer.get_vocab()
+        # A byte-level token has a character for each byte that it stands for.
+        self._bytes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self._bytes[list(vocabulary.values())] = [len(token) for token in vocabulary]
         self._forget()
 
     def _forget(self) -> None:
@@ -92,24 +99,58 @@ class Encoder:
         ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
         return np.array(ids, dtype=self.dtype)
 
-    def _learn(self, keys: list[int], seconds: np.ndarray, pieces: list[str]) -> np.ndarray:
+    def _alone(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one after the other, and how many each has."""
+        found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
+        return np.array([k for ids in found for k in ids], self.dtype), np.array([len(ids) for ids in found], np.int64)
+
+    def _pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_alone``, but JOINED pieces at a time as one text.
+
+        Pieces begin at white space and end without any, so their ids are those of the text, cut
+        where the bytes that the ids stand for come to a piece's end. Where they do not, as under
+        a tokenizer that changes texts, the pieces are encoded alone.
+        """
+        ends = [np.cumsum([len(p) for p in pieces[k : k + JOINED]]) for k in range(0, len(pieces), JOINED)]
+        texts = [b"".join(pieces[k : k + JOINED]).decode() for k in range(0, len(pieces), JOINED)]
+        ids, sizes = [], []
+        for k, (found, end) in enumerate(zip(self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), ends, strict=True)):
+            got = np.array(found.ids, np.int64)
+            reached = np.cumsum(self._bytes[got])
+            places = np.searchsorted(reached, end)
+            if len(got) and reached[-1] == end[-1] and (reached[places] == end).all():
+                ids.append(got.astype(self.dtype))
+                sizes.append(np.diff(places, prepend=-1))
+            else:
+                alone = self._alone(pieces[k * JOINED : (k + 1) * JOINED])
+                ids.append(alone[0])
+                sizes.append(alone[1])
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _learn(self, keys: list[int], seconds: np.ndarray, pieces: list[bytes]) -> np.ndarray:
+        """Remember pieces; returns the slot of each."""
+        # Neither side of a seam may be white space but for the one a piece begins with.
+        joins = np.array([p[0] in _SPACE_BYTES and p[-1] < 0x80 and p[-1] not in _SPACE_BYTES for p in pieces])
+        order = np.concatenate([np.flatnonzero(joins), np.flatnonzero(~joins)])
+        n = int(joins.sum())
+        parts = [
+            encode([pieces[k] for k in some.tolist()])
+            for encode, some in ((self._pieces, order[:n]), (self._alone, order[n:])) if len(some)
+        ]
+        ids, sizes = (np.concatenate(column) for column in zip(*parts, strict=True))
         first, total = len(self._slots), self._used
-        sizes, parts = [], []
-        for found in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False):
-            ids = found.ids
-            sizes.append(len(ids))
-            parts.extend(ids)
-        self._slots.update(zip(keys, range(first, first + len(keys)), strict=True))
-        end = first + len(keys)
+        end, slots = first + len(keys), np.empty(len(keys), np.int64)
+        slots[order] = np.arange(first, end)
+        self._slots.update(zip(keys, slots.tolist(), strict=True))
         for name in ("_second", "_from", "_size"):
             setattr(self, name, self._room(getattr(self, name), end))
-        self._second[first:end] = seconds
+        self._second[first:end] = seconds[order]
         self._size[first:end] = sizes
         self._from[first:end] = total + np.cumsum(sizes) - sizes
-        self._flat = self._room(self._flat, total + len(parts))
-        self._flat[total : total + len(parts)] = parts
-        self._used = total + len(parts)
-        return np.arange(first, end)
+        self._flat = self._room(self._flat, total + len(ids))
+        self._flat[total : total + len(ids)] = ids
+        self._used = total + len(ids)
+        return slots
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, in order; a missing text has none."""
@@ -139,7 +180,7 @@ class Encoder:
         if len(new):
             view = data.tobytes()
             pieces = [
-                view[s:e].decode()
+                view[s:e]
                 for s, e in zip(starts[where[new]].tolist(), stops[where[new]].tolist(), strict=True)
             ]
             slots[new] = self._learn([listed[k] for k in new], seconds[where[new]], pieces)

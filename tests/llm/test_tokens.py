@@ -91,3 +91,33 @@ def test_null_ids_clashes_and_empty_tables(spark):
     assert tokens_digest(docs.limit(0)).collect() == []
     assert train_dictionary([]) == b"" and train_dictionary([b"", b"ab"]) == b"ab"
     assert len(train_dictionary([bytes(np.random.default_rng(k).integers(0, 9, 400, np.uint8)) for k in range(500)], 4096)) <= 4096
+
+
+def test_new_pieces_are_encoded_together():
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.texts = inner, 0
+
+        def encode_batch_fast(self, texts, **how):
+            self.texts += len(texts)
+            return self.inner.encode_batch_fast(texts, **how)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+    code = Encoder(str(public_tokenizers.path("byte_bpe_50k.json")))
+    code.tokenizer = Counted(code.tokenizer)
+    words = [f"{a}{b}{c}'s" for a in "bdfgk" for b in ("ou", "é", "ä3", "x_y") for c in ("n", "rt", "日", "<P>", "　", "é")]
+    texts = [" ".join(words), "\n\t ".join(words), " ", "", f"  {words[0]} \n", "a　 b", None] * 2
+    got = [ids.tolist() for ids in code.encode(pa.array(texts))]
+    alone = Encoder(str(public_tokenizers.path("byte_bpe_50k.json"))).tokenizer
+    assert got == [alone.encode(t or "", add_special_tokens=False).ids for t in texts]
+    code._forget()
+    code.tokenizer.texts = 0
+    plain = " ".join(f"w{k}" for k in range(3_000))
+    assert [i.tolist() for i in code.encode(pa.array([plain]))] == [alone.encode(plain, add_special_tokens=False).ids]
+    assert code.tokenizer.texts < 30
+    # Where bytes of ids and of the text differ, pieces are encoded alone.
+    code._forget()
+    code._bytes = code._bytes + 1
+    assert [i.tolist() for i in code.encode(pa.array([plain]))] == [alone.encode(plain, add_special_tokens=False).ids]
