@@ -154,3 +154,21 @@ def test_default_settings_of_the_models():
     forest, boosted = M.random_forest(), M.boosted_trees()
     assert (forest.getNumTrees(), forest.getSeed()) == (200, 42)
     assert (boosted.getMaxIter(), boosted.getStepSize(), boosted.getMaxDepth()) == (300, 0.1, 6)
+
+
+def test_rows_keep_their_nodes_and_the_forest_stays_the_same(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from tallyhawk.plans.queries_risk import _ESTIMATORS
+
+    forest = _ESTIMATORS["random_forest"]()
+    assert forest.getCacheNodeIds() and (forest.getNumTrees(), forest.getMaxDepth()) == (200, 30)
+    rows = [(f"t{i}", int(i * 7919 % 101 < 20), 1.0 + i % 3, Vectors.dense([i % 5, i * 31 % 97, i % 11, 1.0]))
+            for i in range(600)]
+    rows += rows[:50]
+    df = spark.createDataFrame(rows, ["trans_num", "is_fraud", "class_weight", "features"]).coalesce(2).cache()
+    forest = forest.setNumTrees(6).setMaxDepth(12)
+    kept, walked = (M.train(e, df).stages[-1] for e in (forest, forest.copy().setCacheNodeIds(False)))
+    assert kept.totalNumNodes > 100
+    # The first line holds the model's own id.
+    assert kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
