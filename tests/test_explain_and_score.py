@@ -172,3 +172,43 @@ def test_rows_keep_their_nodes_and_the_forest_stays_the_same(spark):
     assert kept.totalNumNodes > 100
     # The first line holds the model's own id.
     assert kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
+
+
+def test_both_models_are_trained_side_by_side(spark, sf_dir, monkeypatch):
+    from threading import Barrier
+
+    from tallyhawk.plans import queries_risk as Q
+
+    # Breaks if one model waits for the end of the other.
+    both = Barrier(2, timeout=60)
+    seen = []
+
+    def train(estimator, rows):
+        seen.append((type(estimator).__name__, rows.count()))
+        both.wait()
+        return type(estimator).__name__
+
+    def importances(model, spark):
+        return spark.createDataFrame([(0, "amt", float(len(model)))], "position int, feature string, importance double")
+
+    parts = spark.range(7), spark.range(2)
+    monkeypatch.setattr(Q, "_TRAINED", {})
+    monkeypatch.setattr(Q, "_parts", lambda spark, sf_dir: parts)
+    monkeypatch.setattr(M, "train", train)
+    monkeypatch.setattr(M, "importances", importances)
+    names = ("GBTClassifier", "RandomForestClassifier")
+    for _ in range(2):
+        row = Q._importance(spark, sf_dir).first()
+        assert (row["xgboost_importance"], row["random_forest_importance"]) == tuple(float(len(n)) for n in names)
+    # The second time both are there.
+    assert sorted(seen) == [(n, 7) for n in names]
+    assert not parts[0].coalesce(1).storageLevel.useMemory
+
+
+def test_a_failure_of_a_model_is_raised(spark):
+    def fails():
+        raise ValueError("no rows")
+
+    assert M.side_by_side(spark, {"a": lambda: 1}) == {"a": 1}
+    with pytest.raises(ValueError, match="no rows"):
+        M.side_by_side(spark, {"a": lambda: 1, "b": fails})
