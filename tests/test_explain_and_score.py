@@ -212,3 +212,19 @@ def test_a_failure_of_a_model_is_raised(spark):
     assert M.side_by_side(spark, {"a": lambda: 1}) == {"a": 1}
     with pytest.raises(ValueError, match="no rows"):
         M.side_by_side(spark, {"a": lambda: 1, "b": fails})
+
+
+def test_nodes_are_stored_every_few_levels_and_the_forest_stays_the_same(spark, tmp_path):
+    from pyspark.ml.linalg import Vectors
+
+    from tallyhawk.plans.queries_risk import _ESTIMATORS
+
+    forest = _ESTIMATORS["random_forest"]()
+    assert forest.getCheckpointInterval() == 3
+    rows = [(int(i * 7919 % 101 < 20), 1.0 + i % 3, Vectors.dense([i % 5, i * 31 % 97, i % 11])) for i in range(400)]
+    df = spark.createDataFrame(rows, ["is_fraud", "class_weight", "features"]).coalesce(2).cache()
+    forest = forest.setNumTrees(4).setMaxDepth(9)
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    often, seldom = (M.train(e, df).stages[-1] for e in (forest, forest.copy().setCheckpointInterval(10)))
+    # The first line holds the model's own id.
+    assert often.toDebugString.split("\n")[1:] == seldom.toDebugString.split("\n")[1:]
