@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import partial
 from itertools import combinations
-from math import factorial
+from math import ceil, factorial
 
 from pyspark.sql import functions as F
 
@@ -397,7 +397,9 @@ def _vectors(spark, sf_dir):
 # Both models at their stated size. Training is the costly part and the same for all
 # queries on the same tables, so a session trains each model once.
 _TRAINED: dict[tuple, object] = {}
+# A partition of the training rows: what pays for a task, and what one task should hold at most.
 _ROWS_PER_PARTITION = 20_000
+_MOST_ROWS_PER_PARTITION = 500_000
 _ESTIMATORS = {
     # Hundreds of rounds make a long lineage; it is cut in the shared folder.
     "xgboost": lambda: M.boosted_trees(checkpointInterval=25, maxMemoryInMB=512),
@@ -422,14 +424,27 @@ def _parts(spark, sf_dir):
     return _TRAINED[key]
 
 
+def _dealt(rows):
+    """Training rows in partitions of which the cores finish a level together.
+
+    A round is a handful of jobs, so small tables go into few partitions. Large ones are dealt
+    evenly, one partition a core or a multiple: the files give a few uneven ones, and then every
+    level waits for a last task that runs alone. The order is that of the rows' content, because
+    what a tree samples depends on a row's place.
+    """
+    count, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    if count < cores * _ROWS_PER_PARTITION:
+        return rows.coalesce(max(1, count // _ROWS_PER_PARTITION))
+    waves = ceil(count / (cores * _MOST_ROWS_PER_PARTITION))
+    return rows.repartition(cores * waves).sortWithinPartitions(S.TXN, F.xxhash64(S.TARGET, "features"))
+
+
 def _models(spark, sf_dir, names=tuple(_ESTIMATORS)):
     """Models by name, those not trained yet side by side on the same stored rows."""
     keys = {name: _key(spark, sf_dir, name) for name in names}
     missing = [name for name in names if keys[name] not in _TRAINED]
     if missing:
-        train = _parts(spark, sf_dir)[0]
-        # A round is a handful of jobs, so small tables go into few partitions.
-        train = train.coalesce(max(1, train.count() // _ROWS_PER_PARTITION)).persist()
+        train = _dealt(_parts(spark, sf_dir)[0]).persist()
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
         fit = {keys[name]: partial(M.train, _ESTIMATORS[name](), train) for name in missing}
         _TRAINED.update(M.side_by_side(spark, fit))

@@ -228,3 +228,37 @@ def test_nodes_are_stored_every_few_levels_and_the_forest_stays_the_same(spark,
     often, seldom = (M.train(e, df).stages[-1] for e in (forest, forest.copy().setCheckpointInterval(10)))
     # The first line holds the model's own id.
     assert often.toDebugString.split("\n")[1:] == seldom.toDebugString.split("\n")[1:]
+
+
+def test_large_training_tables_are_dealt_evenly(spark, tmp_path, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+
+    from tallyhawk.plans import queries_risk as Q
+
+    def sizes(df):
+        return df.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+
+    def places(df):
+        return df.rdd.mapPartitions(lambda part: [[tuple(r) for r in part]]).collect()
+
+    rows = [(f"t{i}", i % 2, 1.0, Vectors.dense([i % 5, i % 7])) for i in range(900)]
+    rows += rows[:40] + [(None, 0, 1.0, Vectors.dense([i % 3, 2])) for i in range(60)]
+    names = ["trans_num", "is_fraud", "class_weight", "features"]
+    # Two files, one of them with most of the rows.
+    for part, name in ((rows[:100], "a"), (rows[100:], "b")):
+        spark.createDataFrame(part, names).coalesce(1).write.parquet(f"{tmp_path}/rows/{name}")
+    stored = spark.read.parquet(f"{tmp_path}/rows/a", f"{tmp_path}/rows/b")
+    assert len(sizes(stored)) < 8
+
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(Q, "_ROWS_PER_PARTITION", 10)
+    dealt = Q._dealt(stored)
+    found = sizes(dealt)
+    assert len(found) == cores and max(found) - min(found) <= 2 and sum(found) == len(rows)
+    assert places(dealt) == places(Q._dealt(stored))
+    assert sorted(map(repr, sum(places(dealt), []))) == sorted(map(repr, rows))
+    # A task holds a bounded number of rows; few rows are left where they are.
+    monkeypatch.setattr(Q, "_MOST_ROWS_PER_PARTITION", 50)
+    assert len(sizes(Q._dealt(stored))) == cores * -(-len(rows) // (cores * 50))
+    monkeypatch.setattr(Q, "_ROWS_PER_PARTITION", 20_000)
+    assert len(sizes(Q._dealt(stored))) == 1
