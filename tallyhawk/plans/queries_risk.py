@@ -397,8 +397,10 @@ def _vectors(spark, sf_dir):
 # Both models at their stated size. Training is the costly part and the same for all
 # queries on the same tables, so a session trains each model once.
 _TRAINED: dict[tuple, object] = {}
-# A partition of the training rows: what pays for a task, and what one task should hold at most.
+# A partition of the training rows: what pays for a task, what a core has where an uneven deal
+# costs more than dealing anew, and what one task should hold at most.
 _ROWS_PER_PARTITION = 20_000
+_EVEN_ROWS_PER_CORE = 100_000
 _MOST_ROWS_PER_PARTITION = 500_000
 _ESTIMATORS = {
     # Hundreds of rounds make a long lineage; it is cut in the shared folder.
@@ -433,7 +435,7 @@ def _dealt(rows):
     what a tree samples depends on a row's place.
     """
     count, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
-    if count < cores * _ROWS_PER_PARTITION:
+    if count < cores * _EVEN_ROWS_PER_CORE:
         return rows.coalesce(max(1, count // _ROWS_PER_PARTITION))
     waves = ceil(count / (cores * _MOST_ROWS_PER_PARTITION))
     return rows.repartition(cores * waves).sortWithinPartitions(S.TXN, F.xxhash64(S.TARGET, "features"))

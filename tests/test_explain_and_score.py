@@ -252,6 +252,7 @@ def test_large_training_tables_are_dealt_evenly(spark, tmp_path, monkeypatch):
 
     cores = spark.sparkContext.defaultParallelism
     monkeypatch.setattr(Q, "_ROWS_PER_PARTITION", 10)
+    monkeypatch.setattr(Q, "_EVEN_ROWS_PER_CORE", 10)
     dealt = Q._dealt(stored)
     found = sizes(dealt)
     assert len(found) == cores and max(found) - min(found) <= 2 and sum(found) == len(rows)
@@ -261,4 +262,5 @@ def test_large_training_tables_are_dealt_evenly(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(Q, "_MOST_ROWS_PER_PARTITION", 50)
     assert len(sizes(Q._dealt(stored))) == cores * -(-len(rows) // (cores * 50))
     monkeypatch.setattr(Q, "_ROWS_PER_PARTITION", 20_000)
+    monkeypatch.setattr(Q, "_EVEN_ROWS_PER_CORE", 100_000)
     assert len(sizes(Q._dealt(stored))) == 1
